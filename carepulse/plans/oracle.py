@@ -295,3 +295,139 @@ FROM (SELECT LA_NAME, SOURCE_SYSTEM, SEGMENT, CAST(SUM(QUERY_COUNT) AS BIGINT) A
 SQL["mart_la_query_summary"] = compose("""
 SELECT LA_NAME, SOURCE_SYSTEM, SEGMENT, CAST(SUM(QUERY_COUNT) AS BIGINT) AS QUERY_COUNT
 FROM stg_la_topic_mentions GROUP BY LA_NAME, SOURCE_SYSTEM, SEGMENT""")
+
+# ----------------------------------------------------------------- chatbot ---
+cte("persona_bridge", """
+SELECT transcript_id AS TRANSCRIPT_ID, trim(v) AS PERSONA
+FROM (SELECT transcript_id, unnest(string_split(persona, ';')) AS v FROM accessava WHERE persona IS NOT NULL) s
+WHERE trim(v) <> ''""")
+cte("legacy_bridge", """
+SELECT transcript_id AS TRANSCRIPT_ID, unnest(string_split(persona, '; ')) AS PERSONA
+FROM accessava WHERE persona IS NOT NULL""")
+cte("conversations_total", """
+SELECT tenant_name AS TENANT_NAME, COUNT(*) AS TOTAL_CONVERSATIONS,
+  COUNT(DISTINCT transcript_id) AS UNIQUE_CONVERSATIONS,
+  MIN(created_at) AS FIRST_CONVERSATION_DATE, MAX(created_at) AS LAST_CONVERSATION_DATE,
+  CAST(datediff('day', MIN(created_at), MAX(created_at)) AS INTEGER) AS DAYS_ACTIVE
+FROM accessava WHERE tenant_name IS NOT NULL GROUP BY 1""")
+cte("conversations_monthly", """
+SELECT tenant_name AS TENANT_NAME, CAST(date_trunc('month', created_at) AS DATE) AS CONVERSATION_MONTH,
+  COUNT(*) AS CONVERSATION_COUNT, COUNT(DISTINCT transcript_id) AS UNIQUE_CONVERSATIONS,
+  MIN(created_at) AS FIRST_CONVERSATION_DATE, MAX(created_at) AS LAST_CONVERSATION_DATE
+FROM accessava WHERE tenant_name IS NOT NULL GROUP BY 1, 2""")
+
+SQL["conversations_monthly"] = compose("SELECT * FROM conversations_monthly")
+SQL["conversations_total"] = compose("SELECT * FROM conversations_total")
+SQL["top_tenants"] = compose("""
+SELECT TENANT_NAME, TOTAL_CONVERSATIONS FROM conversations_total
+ORDER BY TOTAL_CONVERSATIONS DESC NULLS FIRST, TENANT_NAME LIMIT 5""")
+SQL["persona_bridge"] = compose("SELECT * FROM persona_bridge")
+SQL["persona_dim"] = compose("""
+SELECT ROW_NUMBER() OVER (ORDER BY PERSONA) AS PERSONA_ID, PERSONA
+FROM (SELECT DISTINCT PERSONA FROM persona_bridge) d""")
+SQL["bridge_diff"] = compose("""
+SELECT *, 'only_rebuilt' AS DIFF_SIDE FROM (SELECT * FROM persona_bridge EXCEPT ALL SELECT * FROM legacy_bridge) a
+UNION ALL
+SELECT *, 'only_existing' AS DIFF_SIDE FROM (SELECT * FROM legacy_bridge EXCEPT ALL SELECT * FROM persona_bridge) b""")
+
+# ------------------------------------------------------------------ checks ---
+
+
+def _summary_sql(model: str, test: str, column: str, severity: str, failures: str, source: str) -> str:
+    return (f"SELECT '{model}' AS MODEL, '{test}' AS TEST_NAME, '{column}' AS COLUMN_NAME, "
+            f"'{severity}' AS SEVERITY, CAST({failures} AS BIGINT) AS FAILURES FROM {source}")
+
+
+SQL["test_not_null"] = compose("\nUNION ALL\n".join(
+    [_summary_sql("stg_la_topic_mentions", "not_null", c, "error", f"COUNT(*) FILTER (WHERE {c} IS NULL)",
+                  "stg_la_topic_mentions") for c in ("LA_NAME", "QUERY_DATE", "SOURCE_SYSTEM")]
+    + [_summary_sql("accessava", "not_null", c, "error", f"COUNT(*) FILTER (WHERE {c} IS NULL)", "accessava")
+       for c in ("transcript_id", "tenant_name", "la_name")]))
+SQL["test_accepted_values"] = compose(
+    _summary_sql("stg_la_topic_mentions", "accepted_values", "SOURCE_SYSTEM", "error", "COUNT(*)",
+                 "(SELECT SOURCE_SYSTEM FROM stg_la_topic_mentions WHERE SOURCE_SYSTEM IS NOT NULL AND "
+                 "SOURCE_SYSTEM NOT IN ('AccessAva', 'AdvicePro', 'Helplines') GROUP BY 1) f")
+    + "\nUNION ALL\n"
+    + _summary_sql("accessava", "accepted_values", "tenant_name", "warn", "COUNT(*)",
+                   "(SELECT tenant_name FROM accessava WHERE tenant_name IS NOT NULL AND tenant_name NOT IN "
+                   "('HOUSEHOLD', 'MACHINERY', 'FURNITURE', 'BUILDING') GROUP BY 1) f"))
+
+
+def _unique_sql(model: str, column: str, source: str) -> str:
+    return _summary_sql(model, "unique", column, "error", "COUNT(*)",
+                        f"(SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY 1 "
+                        "HAVING COUNT(*) > 1) f")
+
+
+SQL["test_unique"] = compose("\nUNION ALL\n".join([
+    _unique_sql("s_c_csi_map", "s_c_csi_id", "s_c_csi_map"),
+    _unique_sql("conversations_total", "TENANT_NAME", "conversations_total"),
+    _unique_sql("persona_bridge", "TRANSCRIPT_ID", "persona_bridge")]))
+SQL["test_unique_combination"] = compose("\nUNION ALL\n".join([
+    _summary_sql("conversations_monthly", "unique_combination_of_columns", "TENANT_NAME,CONVERSATION_MONTH",
+                 "error", "COUNT(*)", "(SELECT TENANT_NAME, CONVERSATION_MONTH FROM conversations_monthly "
+                 "GROUP BY 1, 2 HAVING COUNT(*) > 1) f"),
+    _summary_sql("persona_bridge", "unique_combination_of_columns", "TRANSCRIPT_ID,PERSONA", "error", "COUNT(*)",
+                 "(SELECT TRANSCRIPT_ID, PERSONA FROM persona_bridge GROUP BY 1, 2 HAVING COUNT(*) > 1) f")]))
+SQL["test_relationships"] = compose(_summary_sql(
+    "case_topic_bridge", "relationships", "s_c_csi_id", "warn", "COUNT(*)",
+    "(SELECT * FROM case_topic_bridge b WHERE b.s_c_csi_id IS NOT NULL AND NOT EXISTS "
+    "(SELECT 1 FROM s_c_csi_map m WHERE m.s_c_csi_id = b.s_c_csi_id)) f"))
+
+cte("unmapped_shares", """
+SELECT SOURCE_SYSTEM,
+  CAST(SUM(CASE WHEN UT1 = 'Unmapped' THEN QUERY_COUNT ELSE 0 END) AS BIGINT) AS UNMAPPED_COUNT,
+  CAST(SUM(QUERY_COUNT) AS BIGINT) AS TOTAL_COUNT
+FROM helplines_advicepro_accessava GROUP BY SOURCE_SYSTEM""")
+# share rounded half-up to 6 decimals, then x100 rounded half-up to 2 (integer arithmetic)
+cte("unmapped_scaled", """
+SELECT *, CASE WHEN TOTAL_COUNT = 0 THEN NULL
+               ELSE (2 * UNMAPPED_COUNT * 1000000 + TOTAL_COUNT) // (2 * TOTAL_COUNT) END AS share_e6
+FROM unmapped_shares""")
+SQL["unmapped_share_all"] = compose("""
+SELECT SOURCE_SYSTEM, UNMAPPED_COUNT, TOTAL_COUNT,
+  CAST((share_e6 + 50) // 100 AS DECIMAL(38, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS UNMAPPED_PCT
+FROM unmapped_scaled""")
+SQL["warn_unmapped_share"] = compose("""
+SELECT SOURCE_SYSTEM, UNMAPPED_COUNT, TOTAL_COUNT,
+  CAST((share_e6 + 50) // 100 AS DECIMAL(38, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS UNMAPPED_PCT
+FROM unmapped_scaled WHERE TOTAL_COUNT > 0 AND share_e6 > 20000""")
+
+RECON = f"DATE '{RECON_MONTH}'"
+cte("recon_model", f"""
+SELECT SOURCE_SYSTEM, UT1, UT2, CAST(SUM(QUERY_COUNT) AS BIGINT) AS N
+FROM helplines_advicepro_accessava WHERE LA_NAME = '{TARGET_LA}' AND MONTH_DATE = {RECON}
+GROUP BY 1, 2, 3""")
+cte("recon_helplines", f"""
+SELECT ut1 AS UT1, CAST(SUM(n) AS BIGINT) AS N FROM helplines_aggregated_full
+WHERE la_name = '{TARGET_LA}' AND CAST(date_trunc('month', month_date) AS DATE) = {RECON} GROUP BY 1""")
+cte("recon_accessava", f"""
+SELECT COUNT(*) AS CONVERSATIONS, COUNT(topic_entry_point) AS WITH_ENTRY_POINT FROM accessava
+WHERE la_name = '{TARGET_LA}' AND CAST(date_trunc('month', created_at) AS DATE) = {RECON}""")
+cte("recon_advicepro", f"""
+SELECT COUNT(*) AS TOPIC_PAIRS, COUNT(b.s_c_csi_id) AS RESOLVED_TO_TAXONOMY
+FROM advicepro_casework c JOIN case_topic_bridge b ON c.case_reference = b.case_reference
+WHERE c.la_name = '{TARGET_LA}' AND CAST(replace(c.case_open_month, '/', '-') || '-01' AS DATE) = {RECON}""")
+SQL["recon_model_breakdown"] = compose("SELECT * FROM recon_model")
+SQL["recon_helplines_raw"] = compose("SELECT * FROM recon_helplines")
+SQL["recon_accessava_raw"] = compose("SELECT * FROM recon_accessava")
+SQL["recon_advicepro_raw"] = compose("SELECT * FROM recon_advicepro")
+SQL["fanout_guard"] = compose("""
+SELECT lower(trim(t1)) AS K1, lower(trim(t2)) AS K2, COUNT(*) AS N FROM universal_themes_map
+WHERE org = 'advicepro' GROUP BY 1, 2 HAVING COUNT(*) > 1
+UNION ALL
+SELECT lower(trim(topic_entry_point)) AS K1, '' AS K2, COUNT(*) AS N FROM topic_entry_point_map
+GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+SQL["recon_totals"] = compose("""
+SELECT COALESCE(m.SOURCE_SYSTEM, r.SOURCE_SYSTEM) AS SOURCE_SYSTEM, m.TOTAL AS MODEL_TOTAL, r.TOTAL AS RAW_TOTAL,
+  COALESCE(m.TOTAL, 0) - COALESCE(r.TOTAL, 0) AS DIFF
+FROM (SELECT SOURCE_SYSTEM, CAST(SUM(N) AS BIGINT) AS TOTAL FROM recon_model GROUP BY 1) m
+FULL OUTER JOIN (
+  SELECT 'Helplines' AS SOURCE_SYSTEM, CAST(SUM(N) AS BIGINT) AS TOTAL FROM recon_helplines
+  UNION ALL SELECT 'AccessAva', CONVERSATIONS FROM recon_accessava
+  UNION ALL SELECT 'AdvicePro', TOPIC_PAIRS FROM recon_advicepro) r
+ON m.SOURCE_SYSTEM = r.SOURCE_SYSTEM""")
+SQL["window_row_counts"] = compose(
+    "SELECT TIME_WINDOW_MONTHS, COUNT(*) AS N_ROWS FROM int_query_segments GROUP BY 1")
+SQL["source_coverage"] = compose("""
+SELECT SOURCE_SYSTEM, COUNT(*) AS N_ROWS, MAX(QUERY_DATE) AS LATEST_DATE FROM stg_la_topic_mentions GROUP BY 1""")

@@ -159,3 +159,156 @@ def q_suppress_small(spark, sf):
 @register("mart_la_query_summary")
 def q_la_query_summary(spark, sf):
     return marts.la_query_summary(mentions(Fixtures(spark, sf)))
+
+
+# ---------------------------------------------------------------- chatbot ---
+from carepulse.operators import chatbot, checks  # noqa: E402
+from carepulse.sources.fixtures import RECON_MONTH  # noqa: E402
+
+
+@register("conversations_monthly")
+def q_conv_monthly(spark, sf):
+    return chatbot.conversations_monthly(Fixtures(spark, sf).accessava)
+
+
+@register("conversations_total")
+def q_conv_total(spark, sf):
+    return chatbot.conversations_total(Fixtures(spark, sf).accessava)
+
+
+@register("top_tenants")
+def q_top_tenants(spark, sf):
+    return chatbot.top_tenants(chatbot.conversations_total(Fixtures(spark, sf).accessava))
+
+
+@register("persona_bridge")
+def q_persona_bridge(spark, sf):
+    return chatbot.persona_bridge(Fixtures(spark, sf).accessava)
+
+
+@register("persona_dim")
+def q_persona_dim(spark, sf):
+    return chatbot.persona_dim(chatbot.persona_bridge(Fixtures(spark, sf).accessava))
+
+
+@register("bridge_diff")
+def q_bridge_diff(spark, sf):
+    a = Fixtures(spark, sf).accessava
+    return chatbot.bridge_diff(chatbot.persona_bridge(a), chatbot.legacy_persona_bridge(a))
+
+
+# ----------------------------------------------------------------- checks ---
+@register("test_not_null")
+def q_test_not_null(spark, sf):
+    fx = Fixtures(spark, sf)
+    return checks.union_summaries([
+        checks.not_null_summary(mentions(fx), "stg_la_topic_mentions", ["LA_NAME", "QUERY_DATE", "SOURCE_SYSTEM"]),
+        checks.not_null_summary(fx.accessava, "accessava", ["transcript_id", "tenant_name", "la_name"]),
+    ])
+
+
+@register("test_accepted_values")
+def q_test_accepted(spark, sf):
+    fx = Fixtures(spark, sf)
+    return checks.union_summaries([
+        checks.accepted_values_summary(mentions(fx), "stg_la_topic_mentions", "SOURCE_SYSTEM",
+                                       ["AccessAva", "AdvicePro", "Helplines"]),
+        checks.accepted_values_summary(fx.accessava, "accessava", "tenant_name",
+                                       ["HOUSEHOLD", "MACHINERY", "FURNITURE", "BUILDING"], "warn"),
+    ])
+
+
+@register("test_unique")
+def q_test_unique(spark, sf):
+    fx = Fixtures(spark, sf)
+    return checks.union_summaries([
+        checks.unique_summary(fx.s_c_csi_map, "s_c_csi_map", "s_c_csi_id"),
+        checks.unique_summary(chatbot.conversations_total(fx.accessava), "conversations_total", "TENANT_NAME"),
+        checks.unique_summary(chatbot.persona_bridge(fx.accessava), "persona_bridge", "TRANSCRIPT_ID"),
+    ])
+
+
+@register("test_unique_combination")
+def q_test_unique_combo(spark, sf):
+    fx = Fixtures(spark, sf)
+    return checks.union_summaries([
+        checks.unique_combination_summary(chatbot.conversations_monthly(fx.accessava), "conversations_monthly",
+                                          ["TENANT_NAME", "CONVERSATION_MONTH"]),
+        checks.unique_combination_summary(chatbot.persona_bridge(fx.accessava), "persona_bridge",
+                                          ["TRANSCRIPT_ID", "PERSONA"]),
+    ])
+
+
+@register("test_relationships")
+def q_test_relationships(spark, sf):
+    fx = Fixtures(spark, sf)
+    return checks.relationships_summary(fx.case_topic_bridge, "case_topic_bridge", "s_c_csi_id",
+                                        fx.s_c_csi_map, "s_c_csi_id")
+
+
+def _monthly(fx):
+    return staging.monthly_theme_counts(mentions(fx))
+
+
+@register("warn_unmapped_share")
+def q_unmapped_share(spark, sf):
+    return checks.unmapped_share(_monthly(Fixtures(spark, sf)))
+
+
+@register("unmapped_share_all")
+def q_unmapped_share_all(spark, sf):
+    return checks.unmapped_share(_monthly(Fixtures(spark, sf)), only_failing=False)
+
+
+@register("recon_model_breakdown")
+def q_recon_model(spark, sf):
+    return checks.recon_model_breakdown(_monthly(Fixtures(spark, sf)), TARGET_LA, RECON_MONTH)
+
+
+@register("recon_helplines_raw")
+def q_recon_help(spark, sf):
+    return checks.recon_helplines_raw(Fixtures(spark, sf).helplines_aggregated_full, TARGET_LA, RECON_MONTH)
+
+
+@register("recon_accessava_raw")
+def q_recon_ava(spark, sf):
+    return checks.recon_accessava_raw(Fixtures(spark, sf).accessava, TARGET_LA, RECON_MONTH)
+
+
+@register("recon_advicepro_raw")
+def q_recon_ap(spark, sf):
+    fx = Fixtures(spark, sf)
+    return checks.recon_advicepro_raw(fx.advicepro_casework, fx.case_topic_bridge, TARGET_LA, RECON_MONTH)
+
+
+@register("fanout_guard")
+def q_fanout(spark, sf):
+    fx = Fixtures(spark, sf)
+    themes = checks.fanout_guard(fx.universal_themes_map, ["t1", "t2"], org="advicepro")
+    topics = checks.fanout_guard(fx.topic_entry_point_map.withColumn("_none", F.lit("")),
+                                 ["topic_entry_point", "_none"])
+    return themes.unionByName(topics)
+
+
+@register("recon_totals")
+def q_recon_totals(spark, sf):
+    fx = Fixtures(spark, sf)
+    model = (checks.recon_model_breakdown(_monthly(fx), TARGET_LA, RECON_MONTH)
+             .groupBy("SOURCE_SYSTEM").agg(F.sum("N").cast("bigint").alias("TOTAL")))
+    h = checks.recon_helplines_raw(fx.helplines_aggregated_full, TARGET_LA, RECON_MONTH).agg(
+        F.lit("Helplines").alias("SOURCE_SYSTEM"), F.sum("N").cast("bigint").alias("TOTAL"))
+    a = checks.recon_accessava_raw(fx.accessava, TARGET_LA, RECON_MONTH).select(
+        F.lit("AccessAva").alias("SOURCE_SYSTEM"), F.col("CONVERSATIONS").alias("TOTAL"))
+    p = checks.recon_advicepro_raw(fx.advicepro_casework, fx.case_topic_bridge, TARGET_LA, RECON_MONTH).select(
+        F.lit("AdvicePro").alias("SOURCE_SYSTEM"), F.col("TOPIC_PAIRS").alias("TOTAL"))
+    return checks.recon_totals(model, h.unionByName(a).unionByName(p))
+
+
+@register("window_row_counts")
+def q_window_rows(spark, sf):
+    return checks.window_row_counts(windows.family_windows(la_slice(Fixtures(spark, sf)), "query_segments", AS_OF))
+
+
+@register("source_coverage")
+def q_source_coverage(spark, sf):
+    return checks.source_coverage(mentions(Fixtures(spark, sf)))
