@@ -431,3 +431,105 @@ SQL["window_row_counts"] = compose(
     "SELECT TIME_WINDOW_MONTHS, COUNT(*) AS N_ROWS FROM int_query_segments GROUP BY 1")
 SQL["source_coverage"] = compose("""
 SELECT SOURCE_SYSTEM, COUNT(*) AS N_ROWS, MAX(QUERY_DATE) AS LATEST_DATE FROM stg_la_topic_mentions GROUP BY 1""")
+
+# ----------------------------------------------------------------- explore ---
+from carepulse.sources.fixtures import (  # noqa: E402
+    ILTA_MAP_AVA_ROWS, ILTA_MAP_CASEWORK_ROWS, PERIOD_END, PERIOD_START)
+
+
+def _values(rows, names: str) -> str:
+    def lit(v):
+        return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) AS t({names})"
+
+
+cte("ilta_map_ava", _values(ILTA_MAP_AVA_ROWS, "FEATURE, ACCESSAVA, ILTA"))
+cte("ilta_map_casework", _values(ILTA_MAP_CASEWORK_ROWS, "CASEWORK, FEATURE, ILTA"))
+cte("casework_demo_report", """
+SELECT strftime(o_orderdate, '%d/%m/%Y') AS "Case Open Date",
+  l_linenumber - 1 AS "Number of Person with Care Needss",
+  CASE WHEN c_acctbal < 0 THEN '[Not Specified]' WHEN c_acctbal < 3000 THEN '18-24'
+       WHEN c_acctbal < 6000 THEN '25-64' ELSE '65+' END AS "Age Range",
+  CASE WHEN c_acctbal < 1000 THEN 'Not Stated' WHEN c_acctbal < 5000 THEN 'No' ELSE 'Yes' END
+    AS "Do you have a disability",
+  CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Household' WHEN 'MACHINERY' THEN 'Machinery'
+       WHEN 'BUILDING' THEN NULL ELSE 'Other' END AS "Ethnic Origin"
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
+P_LO, P_HI = f"DATE '{PERIOD_START}'", f"DATE '{PERIOD_END}'"
+cte("ava_period", f"""
+SELECT * FROM accessava WHERE created_at >= {P_LO} AND created_at < {P_HI}""")
+cte("ava_long", "\nUNION ALL\n".join(
+    f"SELECT transcript_id, '{f}' AS FEATURE, {f} AS ACCESSAVA FROM ava_period"
+    for f in ("disability_text", "disability_n_y", "age_range", "ethnicity")))
+cte("ava_mapped", """
+SELECT l.transcript_id, l.FEATURE, l.ACCESSAVA, m.ILTA FROM ava_long l
+LEFT JOIN ilta_map_ava m ON l.FEATURE = m.FEATURE AND l.ACCESSAVA IS NOT DISTINCT FROM m.ACCESSAVA""")
+cte("ava_counts", "SELECT FEATURE, ILTA, COUNT(*) AS N FROM ava_mapped GROUP BY 1, 2")
+cte("cw_rows", f"""
+SELECT "Age Range", "Do you have a disability", "Ethnic Origin"
+FROM (SELECT *, unnest(range("Number of Person with Care Needss")) AS _r FROM casework_demo_report
+      WHERE CAST(strptime("Case Open Date", '%d/%m/%Y') AS DATE) >= {P_LO}
+        AND CAST(strptime("Case Open Date", '%d/%m/%Y') AS DATE) < {P_HI}) r""")
+cte("cw_long", """
+SELECT "Age Range" AS CASEWORK FROM cw_rows UNION ALL SELECT "Do you have a disability" FROM cw_rows
+UNION ALL SELECT "Ethnic Origin" FROM cw_rows""")
+cte("cw_counts", """
+SELECT CASE WHEN m.FEATURE = 'Do you have a disability' THEN 'disability_n_y' ELSE m.FEATURE END AS FEATURE,
+  m.ILTA, COUNT(*) AS N
+FROM (SELECT CASE WHEN CASEWORK IN ('[Not Specified]', 'Not Stated') THEN NULL ELSE CASEWORK END AS CASEWORK
+      FROM cw_long) l
+LEFT JOIN ilta_map_casework m ON l.CASEWORK IS NOT DISTINCT FROM m.CASEWORK
+GROUP BY 1, 2""")
+cte("combined", """
+SELECT source, id, month, trim(cat) AS category, la FROM (
+  SELECT source, id, month, unnest(coalesce(string_split(category, ';'), [NULL::VARCHAR])) AS cat, la FROM (
+    SELECT 'AVA' AS source, transcript_id AS id, strftime(created_at, '%Y-%m') AS month,
+      supercategories AS category, la_name AS la FROM accessava
+    UNION ALL
+    SELECT 'Casework', case_reference, strftime(strptime(case_open_month || '/01', '%Y/%m/%d'), '%Y-%m'),
+      super_category, la_name FROM advicepro_casework) u) s""")
+cte("series_counts", """
+SELECT source AS SOURCE, CAST(month || '-01' AS DATE) AS MONTH, COUNT(*) AS N FROM combined GROUP BY 1, 2""")
+cte("series_filled", """
+SELECT g.SOURCE, g.MONTH, c.N FROM (
+  SELECT SOURCE, CAST(m AS DATE) AS MONTH FROM (
+    SELECT SOURCE, unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS m
+    FROM (SELECT SOURCE, MIN(MONTH) AS lo, MAX(MONTH) AS hi FROM series_counts GROUP BY 1) b) x) g
+LEFT JOIN series_counts c ON g.SOURCE = c.SOURCE AND g.MONTH = c.MONTH""")
+
+SQL["date_range_filter"] = compose("SELECT transcript_id, created_at FROM ava_period")
+SQL["unpivot_features"] = compose("SELECT * FROM ava_long")
+SQL["map_features"] = compose("SELECT * FROM ava_mapped")
+SQL["uncount"] = compose("""
+SELECT "Case Open Date", "Age Range", "Do you have a disability", "Ethnic Origin"
+FROM (SELECT *, unnest(range("Number of Person with Care Needss")) AS _r FROM casework_demo_report) r""")
+SQL["chatbot_feature_counts"] = compose("SELECT * FROM ava_counts")
+SQL["casework_feature_counts"] = compose("SELECT * FROM cw_counts")
+SQL["combined_feature_totals"] = compose("""
+SELECT FEATURE, ILTA, CAST(SUM(N) AS BIGINT) AS TOTAL
+FROM (SELECT * FROM ava_counts UNION ALL SELECT * FROM cw_counts) u GROUP BY 1, 2""")
+SQL["combined_interactions"] = compose("SELECT * FROM combined")
+SQL["monthly_series_filled"] = compose("SELECT * FROM series_filled")
+SQL["season_table"] = compose("""
+SELECT SOURCE, CAST(year(MONTH) AS INTEGER) AS YEAR, CAST(month(MONTH) AS INTEGER) AS MONTH_OF_YEAR, N
+FROM series_filled""")
+SQL["top_k_categories"] = compose("""
+SELECT source AS SOURCE, category AS CATEGORY, COUNT(*) AS N FROM combined
+WHERE category IN (SELECT category FROM combined WHERE category IS NOT NULL AND category <> ''
+                   GROUP BY 1 ORDER BY COUNT(*) DESC, category LIMIT 20)
+GROUP BY 1, 2""")
+SQL["top_k_las"] = compose("""
+SELECT source AS SOURCE, la AS LA, COUNT(*) AS N FROM combined
+WHERE la IN (SELECT la FROM combined WHERE la IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, la LIMIT 20)
+GROUP BY 1, 2""")
+SQL["overall_totals"] = compose("""
+SELECT (SELECT COUNT(*) FROM accessava) AS N_CHATBOT, (SELECT COUNT(*) FROM advicepro_casework) AS N_CASEWORK,
+  (SELECT COUNT(*) FROM combined) AS N_COMBINED""")
+SQL["resource_consumption"] = compose(f"""
+SELECT LETTERS_DOWNLOADED, EASYREADS_AND_FACTSHEETS, LETTERS_DOWNLOADED + EASYREADS_AND_FACTSHEETS AS TOTAL
+FROM (SELECT COUNT(*) FILTER (WHERE letter_downloaded) AS LETTERS_DOWNLOADED,
+        CAST(SUM(CASE WHEN consumed_resources IS NOT NULL THEN
+          len(list_filter(string_split(consumed_resources, '|'), lambda t: t IN ('easyread', 'factsheet'))) ELSE 0 END)
+          AS BIGINT) AS EASYREADS_AND_FACTSHEETS
+      FROM accessava WHERE created_at >= {P_LO} AND created_at <= {P_HI}) s""")

@@ -312,3 +312,101 @@ def q_window_rows(spark, sf):
 @register("source_coverage")
 def q_source_coverage(spark, sf):
     return checks.source_coverage(mentions(Fixtures(spark, sf)))
+
+
+# ---------------------------------------------------------------- explore ---
+from carepulse.operators import explore  # noqa: E402
+from carepulse.sources.fixtures import (  # noqa: E402
+    PERIOD_END, PERIOD_START, casework_demo_report, ilta_map_ava, ilta_map_casework)
+
+
+@register("date_range_filter")
+def q_date_range(spark, sf):
+    a = Fixtures(spark, sf).accessava
+    return explore.date_range_filter(a, "created_at", PERIOD_START, PERIOD_END).select("transcript_id", "created_at")
+
+
+def _ava_long(fx):
+    x = explore.date_range_filter(fx.accessava, "created_at", PERIOD_START, PERIOD_END)
+    x = x.select("transcript_id", *explore.CHATBOT_FEATURES)
+    return explore.unpivot_features(x, ["transcript_id"], explore.CHATBOT_FEATURES, "FEATURE", "ACCESSAVA")
+
+
+@register("unpivot_features")
+def q_unpivot(spark, sf):
+    return _ava_long(Fixtures(spark, sf))
+
+
+@register("map_features")
+def q_map_features(spark, sf):
+    return explore.map_features(_ava_long(Fixtures(spark, sf)), ilta_map_ava(spark), ["FEATURE", "ACCESSAVA"])
+
+
+@register("uncount")
+def q_uncount(spark, sf):
+    return explore.uncount(casework_demo_report(Fixtures(spark, sf)), "Number of Person with Care Needss")
+
+
+def _chatbot_counts(spark, fx):
+    return explore.chatbot_feature_counts(fx.accessava, ilta_map_ava(spark), PERIOD_START, PERIOD_END)
+
+
+def _casework_counts(spark, fx):
+    return explore.casework_feature_counts(casework_demo_report(fx), ilta_map_casework(spark),
+                                           PERIOD_START, PERIOD_END)
+
+
+@register("chatbot_feature_counts")
+def q_chatbot_counts(spark, sf):
+    return _chatbot_counts(spark, Fixtures(spark, sf))
+
+
+@register("casework_feature_counts")
+def q_casework_counts(spark, sf):
+    return _casework_counts(spark, Fixtures(spark, sf))
+
+
+@register("combined_feature_totals")
+def q_combined_totals(spark, sf):
+    fx = Fixtures(spark, sf)
+    return explore.combined_feature_totals(_chatbot_counts(spark, fx), _casework_counts(spark, fx))
+
+
+def _combined(fx):
+    return explore.combined_interactions(fx.accessava, fx.advicepro_casework)
+
+
+@register("combined_interactions")
+def q_combined(spark, sf):
+    return _combined(Fixtures(spark, sf))
+
+
+@register("monthly_series_filled")
+def q_series(spark, sf):
+    return explore.monthly_series_filled(_combined(Fixtures(spark, sf)))
+
+
+@register("season_table")
+def q_season(spark, sf):
+    return explore.season_table(explore.monthly_series_filled(_combined(Fixtures(spark, sf))))
+
+
+@register("top_k_categories")
+def q_top_cats(spark, sf):
+    return explore.top_k_categories(_combined(Fixtures(spark, sf)))
+
+
+@register("top_k_las")
+def q_top_las(spark, sf):
+    return explore.top_k_las(_combined(Fixtures(spark, sf)))
+
+
+@register("overall_totals")
+def q_overall(spark, sf):
+    fx = Fixtures(spark, sf)
+    return explore.overall_totals(fx.accessava, fx.advicepro_casework, _combined(fx))
+
+
+@register("resource_consumption")
+def q_resources(spark, sf):
+    return explore.resource_consumption(Fixtures(spark, sf).accessava, PERIOD_START, PERIOD_END)

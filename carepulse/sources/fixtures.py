@@ -211,3 +211,51 @@ class Fixtures:
                     F.when(flag == "A", "Assessments").when(flag == "N", "Carers")
                      .otherwise("Mental capacity").alias("ut1"))
                 .agg(F.count(F.lit(1)).alias("n")))
+
+
+# --- fixed values: exploratory value maps (NULL rows match NULL values) ------
+ILTA_MAP_AVA_ROWS = (
+    ("age_range", "18-24", "Young adult"), ("age_range", "25-64", "Adult"), ("age_range", "65+", "Older adult"),
+    ("disability_n_y", "Yes", "Disabled"), ("disability_n_y", "No", "Not disabled"),
+    ("disability_n_y", None, "Unknown"), ("disability_text", "Mobility", "Physical"),
+    ("disability_text", "Not Stated", "Unknown"), ("ethnicity", "household", "Group A"),
+    ("ethnicity", "machinery", "Group B"), ("ethnicity", None, "Not recorded"),
+)
+ILTA_MAP_CASEWORK_ROWS = (
+    ("18-24", "age_range", "Young adult"), ("25-64", "age_range", "Adult"), ("65+", "age_range", "Older adult"),
+    ("Yes", "Do you have a disability", "Disabled"), ("No", "Do you have a disability", "Not disabled"),
+    (None, "Do you have a disability", "Unknown"), ("Household", "ethnicity", "Group A"),
+    ("Machinery", "ethnicity", "Group B"),
+)
+# Analysis period: half-open for the feature counts, closed for resources.
+PERIOD_START = "2000-10-01"
+PERIOD_END = "2001-03-31"
+# -----------------------------------------------------------------------------
+
+
+def ilta_map_ava(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(ILTA_MAP_AVA_ROWS), "FEATURE string, ACCESSAVA string, ILTA string")
+
+
+def ilta_map_casework(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(ILTA_MAP_CASEWORK_ROWS), "CASEWORK string, FEATURE string, ILTA string")
+
+
+def casework_demo_report(fx: Fixtures) -> DataFrame:
+    """Raw casework demographics export: one row per order line, headers with
+    spaces, dd/mm/yyyy dates, placeholder strings and a per-row weight."""
+    li = fx.t("lineitem").select("l_orderkey", "l_linenumber")
+    o = fx.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = fx.t("customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    x = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    bal, seg = F.col("c_acctbal"), F.col("c_mktsegment")
+    return x.select(
+        F.date_format(F.col("o_orderdate"), "dd/MM/yyyy").alias("Case Open Date"),
+        (F.col("l_linenumber") - 1).alias("Number of Person with Care Needss"),
+        F.when(bal < 0, F.lit("[Not Specified]")).when(bal < 3000, F.lit("18-24"))
+         .when(bal < 6000, F.lit("25-64")).otherwise(F.lit("65+")).alias("Age Range"),
+        F.when(bal < 1000, F.lit("Not Stated")).when(bal < 5000, F.lit("No"))
+         .otherwise(F.lit("Yes")).alias("Do you have a disability"),
+        F.when(seg == "HOUSEHOLD", F.lit("Household")).when(seg == "MACHINERY", F.lit("Machinery"))
+         .when(seg == "BUILDING", F.lit(None).cast("string")).otherwise(F.lit("Other")).alias("Ethnic Origin"),
+    )
