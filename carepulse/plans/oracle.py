@@ -533,3 +533,205 @@ FROM (SELECT COUNT(*) FILTER (WHERE letter_downloaded) AS LETTERS_DOWNLOADED,
           len(list_filter(string_split(consumed_resources, '|'), lambda t: t IN ('easyread', 'factsheet'))) ELSE 0 END)
           AS BIGINT) AS EASYREADS_AND_FACTSHEETS
       FROM accessava WHERE created_at >= {P_LO} AND created_at <= {P_HI}) s""")
+
+# ------------------------------------------------------------------ ingest ---
+from carepulse.sources.fixtures import (  # noqa: E402
+    BOARD_GROUPS, BOARD_SERVICES, FRESHNESS_CONFIG_ROWS, NOW, RUN_AT, RUN_ID)
+
+WS = "' ' || chr(9) || chr(13) || chr(10)"
+cte("demographics_report", """
+SELECT CASE l_linenumber % 3 WHEN 1 THEN 'C' || CAST(l_orderkey AS VARCHAR)
+            WHEN 2 THEN ' c' || CAST(l_orderkey AS VARCHAR) || ' '
+            ELSE 'c' || CAST(l_orderkey AS VARCHAR) || chr(9) END AS "Case Reference",
+  CASE WHEN l_linenumber = 1 AND c_acctbal < 0 THEN '' WHEN l_linenumber = 2 THEN '[Not Specified]'
+       WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 3000 THEN '18-24'
+       WHEN c_acctbal < 6000 THEN '25-64' ELSE '65+' END AS "Age Range",
+  CASE l_returnflag WHEN 'R' THEN 'Female' WHEN 'A' THEN 'Male' ELSE '[Not Specified]' END AS "Gender",
+  CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE lower(c_mktsegment) END AS "Ethnic Origin",
+  l_orderkey * 8 + l_linenumber AS ingest_seq
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
+
+
+def _nullify(c: str) -> str:
+    return f"""CASE WHEN "{c}" IN ('', '[Not Specified]') THEN NULL ELSE "{c}" END"""
+
+
+cte("demographics_clean_rows", f"""
+SELECT upper(trim({_nullify('Case Reference')}, {WS})) AS case_reference, {_nullify('Age Range')} AS age_range,
+  {_nullify('Gender')} AS gender, {_nullify('Ethnic Origin')} AS ethnic_origin, ingest_seq
+FROM demographics_report""")
+cte("demographics_first", """
+SELECT case_reference, age_range, gender, ethnic_origin, ingest_seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY case_reference ORDER BY ingest_seq, age_range NULLS FIRST,
+                                 gender NULLS FIRST, ethnic_origin NULLS FIRST) AS rn FROM demographics_clean_rows) x
+WHERE rn = 1""")
+cte("postcode_report", """
+SELECT 'C' || CAST(o_orderkey AS VARCHAR) AS "Case Reference",
+  CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '  '
+       ELSE 'P' || CAST(c_nationkey AS VARCHAR) END AS "Postcode"
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+cte("postcode_directory", """
+SELECT 'P' || CAST(n_nationkey AS VARCHAR) AS postcode, n_name AS la_name, r_name AS county,
+  'R' || CAST(r_regionkey AS VARCHAR) AS county_code
+FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey <> 4""")
+cte("manifest_status", """
+SELECT 'ds_' || CAST(o_orderkey AS VARCHAR) AS dataset_id,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'SUCCESS' WHEN '2-HIGH' THEN 'NO_UPDATE' WHEN '3-MEDIUM' THEN 'LIMITATION'
+       WHEN '4-NOT SPECIFIED' THEN 'FAILED_' || o_orderstatus ELSE 'PARTIAL' END AS status
+FROM orders""")
+cte("drift_first_seen", """
+SELECT l_orderkey, code, MIN(l_linenumber) AS first_ln FROM (
+  SELECT l_orderkey, l_linenumber,
+    CASE l_returnflag WHEN 'R' THEN 'SCHEMA_DRIFT' WHEN 'A' THEN 'SEMANTIC_DRIFT_SUSPECTED' END AS code
+  FROM lineitem) x
+WHERE code IS NOT NULL GROUP BY 1, 2""")
+cte("drift_flags", """
+SELECT 'ds_' || CAST(o_orderkey AS VARCHAR) AS dataset_id, f.flag AS DRIFT_FLAG
+FROM orders LEFT JOIN (SELECT l_orderkey, string_agg(code, '+' ORDER BY first_ln, code) AS flag
+                       FROM drift_first_seen GROUP BY 1) f ON o_orderkey = f.l_orderkey""")
+cte("load_plan", """
+SELECT d.dataset_id AS DATASET_ID, d.status AS STATUS,
+  t.dataset_id IS NOT NULL AS TABLE_EXISTS, f.dataset_id IS NOT NULL AS FILE_EXISTS,
+  CASE WHEN d.status = 'LIMITATION' THEN 'skip'
+       WHEN starts_with(d.status, 'FAILED_') THEN 'failed'
+       WHEN d.status = 'NO_UPDATE' AND t.dataset_id IS NOT NULL THEN 'skip'
+       WHEN d.status = 'NO_UPDATE' THEN CASE WHEN f.dataset_id IS NOT NULL THEN 'first_time_load' ELSE 'failed' END
+       WHEN d.status = 'SUCCESS' THEN CASE WHEN f.dataset_id IS NOT NULL THEN 'load' ELSE 'failed' END
+       ELSE 'skip' END AS ACTION
+FROM manifest_status d
+LEFT JOIN (SELECT DISTINCT 'ds_' || CAST(o_orderkey AS VARCHAR) AS dataset_id FROM orders
+           WHERE o_orderstatus = 'F') t ON d.dataset_id = t.dataset_id
+LEFT JOIN (SELECT DISTINCT 'ds_' || CAST(o_orderkey AS VARCHAR) AS dataset_id FROM orders
+           WHERE o_orderstatus <> 'P') f ON d.dataset_id = f.dataset_id""")
+
+
+def _case_map(col: str, values, mod_expr: str) -> str:
+    parts = " ".join(f"WHEN {i} THEN " + ("NULL" if v is None else "'" + v.replace("'", "''") + "'")
+                     for i, v in enumerate(values))
+    return f"CASE {mod_expr} {parts} END"
+
+
+cte("board_items", f"""
+SELECT s_name AS item_name, {_case_map('Service', BOARD_SERVICES, f's_suppkey % {len(BOARD_SERVICES)}')} AS "Service",
+  {_case_map('group_title', BOARD_GROUPS, f's_suppkey % {len(BOARD_GROUPS)}')} AS group_title
+FROM supplier""")
+cte("board_standardised", """
+SELECT item_name, "Service", group_title,
+  CASE WHEN regexp_matches("Service", 'Casework Membership 1 day per week') THEN 'Casework & Advice'
+       WHEN regexp_matches("Service", 'Advice & Casework \\(bespoke\\)') THEN 'Casework & Advice'
+       WHEN regexp_matches("Service", 'Advice & Casework Membership 4days pm') THEN 'Casework & Advice'
+       WHEN regexp_matches("Service", 'Advice & Casework 2days pm') THEN 'Casework & Advice'
+       WHEN regexp_matches("Service", 'Advice & Casework 1day pm') THEN 'Casework & Advice'
+       WHEN regexp_matches("Service", 'Advice Membership') THEN 'Advice Membership'
+       ELSE "Service" END AS SERVICE_TYPE
+FROM board_items""")
+cte("peer_signals", """
+SELECT 'la_peer_signals_' || strftime(ts, '%Y%m%d') || '.csv' AS file_name,
+  'NATION_' || CAST(user_id % 25 AS VARCHAR) AS unit, event_type AS signal, value
+FROM events""")
+cte("table_metadata", """
+SELECT CASE s_nationkey % 4 WHEN 0 THEN 'CASEWORK' WHEN 1 THEN 'AVA' WHEN 2 THEN 'HELPLINES' ELSE 'SCRATCH' END
+    AS database, 'T_' || CAST(l_suppkey AS VARCHAR) AS table_name, COUNT(*) AS row_count,
+  MAX(l_shipdate) AS last_altered
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""")
+
+SQL["normalise_columns"] = compose("""
+SELECT "Case Open Date" AS case_open_date, "Number of Person with Care Needss" AS number_of_person_with_care_needss,
+  "Age Range" AS age_range, "Do you have a disability" AS do_you_have_a_disability,
+  "Ethnic Origin" AS ethnic_origin FROM casework_demo_report""")
+SQL["null_placeholders"] = compose(f"""
+SELECT {_nullify('Case Reference')} AS "Case Reference", {_nullify('Age Range')} AS "Age Range",
+  {_nullify('Gender')} AS "Gender", {_nullify('Ethnic Origin')} AS "Ethnic Origin", ingest_seq
+FROM demographics_report""")
+SQL["clean_demographics"] = compose("SELECT * FROM demographics_first")
+SQL["demographics_load_report"] = compose("""
+SELECT N_IN, N_OUT, N_IN - N_OUT AS N_DROPPED, N_IN >= 1000 AS AT_PAGE_LIMIT
+FROM (SELECT (SELECT COUNT(*) FROM demographics_report) AS N_IN,
+             (SELECT COUNT(*) FROM demographics_first) AS N_OUT) s""")
+SQL["incremental_new_keys"] = compose("""
+SELECT "Case Reference" AS case_reference, "Postcode" AS postcode FROM postcode_report r
+WHERE NOT EXISTS (SELECT 1 FROM casework_locality e WHERE e.case_reference = r."Case Reference")""")
+SQL["enrich_postcode"] = compose(f"""
+SELECT r."Case Reference" AS CASE_REFERENCE, d.la_name AS LA_NAME, d.county AS COUNTY, d.county_code AS COUNTY_CODE
+FROM postcode_report r LEFT JOIN postcode_directory d ON r."Postcode" = d.postcode
+WHERE r."Postcode" IS NOT NULL AND trim(r."Postcode", {WS}) <> ''
+  AND NOT EXISTS (SELECT 1 FROM casework_locality e WHERE e.case_reference = r."Case Reference")""")
+SQL["extract_drift_flag"] = compose("SELECT dataset_id AS DATASET_ID, DRIFT_FLAG FROM drift_flags")
+SQL["manifest_load_plan"] = compose("SELECT * FROM load_plan")
+SQL["tag_provenance"] = compose(f"""
+SELECT r.dataset_id, r.l_linenumber, r.l_quantity, '{RUN_ID}' AS _RUN_ID, '{RUN_AT}' AS _RUN_AT,
+  f.DRIFT_FLAG AS _DRIFT_FLAG
+FROM (SELECT 'ds_' || CAST(l_orderkey AS VARCHAR) AS dataset_id, l_linenumber, l_quantity FROM lineitem) r
+JOIN load_plan p ON r.dataset_id = p.DATASET_ID AND p.ACTION IN ('load', 'first_time_load')
+LEFT JOIN drift_flags f ON r.dataset_id = f.dataset_id""")
+SQL["load_summary"] = compose("""
+SELECT N_LOADED, N_SKIPPED, N_FAILED, CASE WHEN N_FAILED > 0 THEN 'failed' ELSE 'ok' END AS OUTCOME
+FROM (SELECT COUNT(*) FILTER (WHERE ACTION IN ('load', 'first_time_load')) AS N_LOADED,
+        COUNT(*) FILTER (WHERE ACTION = 'skip') AS N_SKIPPED,
+        COUNT(*) FILTER (WHERE ACTION = 'failed') AS N_FAILED FROM load_plan) s""")
+SQL["member_orgs"] = compose("""
+SELECT item_name AS monday_name, SERVICE_TYPE AS service_type, group_title AS contract_group
+FROM board_standardised WHERE group_title = 'Contracts'""")
+SQL["standardise_service_type"] = compose('SELECT item_name, "Service", SERVICE_TYPE FROM board_standardised')
+SQL["service_type_counts"] = compose("""
+SELECT SERVICE_TYPE, COUNT(*) AS N FROM board_standardised WHERE group_title = 'Contracts' GROUP BY 1""")
+SQL["member_orgs_summary"] = compose("""
+SELECT COUNT(*) FILTER (WHERE group_title = 'Contracts') AS N_LOADED,
+  COUNT(*) FILTER (WHERE group_title IS NULL OR group_title <> 'Contracts') AS N_EXCLUDED FROM board_items""")
+SQL["latest_snapshot"] = compose(
+    "SELECT * FROM peer_signals WHERE file_name = (SELECT max(file_name) FROM peer_signals)")
+SQL["filter_unit"] = compose(f"""
+SELECT * FROM peer_signals WHERE file_name = (SELECT max(file_name) FROM peer_signals) AND unit = '{TARGET_LA}'""")
+SQL["narrative_for_la"] = compose(f"""
+SELECT regexp_extract(f.file_name, '(\\d{{8}})', 1) AS RUN_DATE, '{TARGET_LA}' AS LA, CAST(NULL AS VARCHAR) AS PROSE,
+  CAST(COALESCE(t.total, 0) AS INTEGER) AS TOTAL_SIGNALS, t.top_signal AS TOP_SIGNAL
+FROM (SELECT DISTINCT file_name FROM peer_signals) f
+LEFT JOIN (
+  SELECT file_name, SUM(n) AS total, MAX(CASE WHEN rn = 1 THEN signal END) AS top_signal FROM (
+    SELECT file_name, signal, n, row_number() OVER (PARTITION BY file_name ORDER BY n DESC, signal DESC) AS rn
+    FROM (SELECT file_name, signal, COUNT(*) AS n FROM peer_signals WHERE unit = '{TARGET_LA}'
+          GROUP BY 1, 2) c) r
+  GROUP BY 1) t ON f.file_name = t.file_name""")
+SQL["findings_envelope"] = compose(f"""
+SELECT 'Hypothesis board' AS SOURCE, 'board-1' AS BOARD_ID, 'Approved findings' AS GROUP_NAME,
+  '{RUN_AT}' AS PULLED_AT, (SELECT COUNT(*) FROM board_items WHERE group_title = 'Approved findings') AS N_FINDINGS,
+  item_name, "Service", group_title
+FROM board_items WHERE group_title = 'Approved findings'""")
+NOW_SQL = f"TIMESTAMP '{NOW}'"
+SQL["table_staleness"] = compose(f"""
+SELECT database AS DATABASE, table_name AS TABLE_NAME, row_count AS ROW_COUNT, last_altered AS LAST_ALTERED,
+  CAST(datediff('day', last_altered, {NOW_SQL}) AS INTEGER) AS DAYS_SINCE_UPDATE,
+  CASE WHEN datediff('day', last_altered, {NOW_SQL}) > 30 THEN 'stale' ELSE 'fresh' END AS STATUS
+FROM table_metadata WHERE database IN ('CASEWORK', 'AVA', 'HELPLINES')""")
+cte("freshness_config", _values(FRESHNESS_CONFIG_ROWS,
+                                "database, warn_count, warn_period, error_count, error_period"))
+cte("freshness_overrides", """
+SELECT 'T_' || CAST(s_suppkey AS VARCHAR) AS table_name, s_acctbal >= 0 AS enabled,
+  CASE WHEN s_acctbal < 0 THEN NULL ELSE 400 END AS warn_count,
+  CASE WHEN s_acctbal < 0 THEN NULL ELSE 'day' END AS warn_period,
+  CASE WHEN s_acctbal < 0 THEN NULL ELSE 550 END AS error_count,
+  CASE WHEN s_acctbal < 0 THEN NULL ELSE 'day' END AS error_period
+FROM supplier WHERE s_acctbal < 0 OR s_acctbal > 9000""")
+
+
+def _secs(count: str, period: str) -> str:
+    return (f"CAST({count} AS BIGINT) * CASE {period} WHEN 'minute' THEN 60 WHEN 'hour' THEN 3600 "
+            f"WHEN 'day' THEN 86400 END")
+
+
+SQL["source_freshness"] = compose(f"""
+SELECT DATABASE, TABLE_NAME, AGE_SECONDS,
+  CASE WHEN NOT enabled THEN 'skipped'
+       WHEN err IS NOT NULL AND AGE_SECONDS > err THEN 'error'
+       WHEN warn IS NOT NULL AND AGE_SECONDS > warn THEN 'warn' ELSE 'pass' END AS STATUS
+FROM (
+  SELECT m.database AS DATABASE, m.table_name AS TABLE_NAME,
+    date_diff('second', m.last_altered, {NOW_SQL}) AS AGE_SECONDS,
+    CASE WHEN o.table_name IS NOT NULL THEN {_secs('o.warn_count', 'o.warn_period')}
+         ELSE {_secs('c.warn_count', 'c.warn_period')} END AS warn,
+    CASE WHEN o.table_name IS NOT NULL THEN {_secs('o.error_count', 'o.error_period')}
+         ELSE {_secs('c.error_count', 'c.error_period')} END AS err,
+    COALESCE(o.enabled, TRUE) AS o_enabled
+  FROM table_metadata m LEFT JOIN freshness_config c ON m.database = c.database
+  LEFT JOIN freshness_overrides o ON m.table_name = o.table_name) x,
+LATERAL (SELECT o_enabled AND (warn IS NOT NULL OR err IS NOT NULL) AS enabled) e""")

@@ -410,3 +410,127 @@ def q_overall(spark, sf):
 @register("resource_consumption")
 def q_resources(spark, sf):
     return explore.resource_consumption(Fixtures(spark, sf).accessava, PERIOD_START, PERIOD_END)
+
+
+# ----------------------------------------------------------------- ingest ---
+from carepulse.operators import ingest  # noqa: E402
+from carepulse.sources import fixtures as fxm  # noqa: E402
+
+
+@register("normalise_columns")
+def q_normalise_columns(spark, sf):
+    return ingest.normalise_columns(casework_demo_report(Fixtures(spark, sf)))
+
+
+@register("null_placeholders")
+def q_null_placeholders(spark, sf):
+    return ingest.clean_placeholders(fxm.demographics_report(Fixtures(spark, sf)))
+
+
+@register("clean_demographics")
+def q_clean_demographics(spark, sf):
+    return ingest.clean_demographics(fxm.demographics_report(Fixtures(spark, sf)))
+
+
+@register("demographics_load_report")
+def q_demographics_report(spark, sf):
+    raw = fxm.demographics_report(Fixtures(spark, sf))
+    return ingest.demographics_load_report(raw, ingest.clean_demographics(raw))
+
+
+@register("incremental_new_keys")
+def q_new_keys(spark, sf):
+    fx = Fixtures(spark, sf)
+    rep = ingest.normalise_columns(fxm.postcode_report(fx))
+    return ingest.incremental_new_keys(rep, fx.casework_locality, "case_reference")
+
+
+@register("enrich_postcode")
+def q_enrich_postcode(spark, sf):
+    fx = Fixtures(spark, sf)
+    return ingest.enrich_postcode(fxm.postcode_report(fx), fx.casework_locality, fxm.postcode_directory(fx))
+
+
+def _flags(fx):
+    return ingest.with_drift_flag(fxm.manifest_datasets(fx)).select("dataset_id", "DRIFT_FLAG")
+
+
+def _plan(fx):
+    return ingest.manifest_load_plan(fxm.manifest_datasets(fx), fxm.existing_tables(fx), fxm.landed_files(fx))
+
+
+@register("extract_drift_flag")
+def q_drift_flag(spark, sf):
+    return _flags(Fixtures(spark, sf)).withColumnRenamed("dataset_id", "DATASET_ID")
+
+
+@register("manifest_load_plan")
+def q_load_plan(spark, sf):
+    return _plan(Fixtures(spark, sf))
+
+
+@register("tag_provenance")
+def q_tag_provenance(spark, sf):
+    fx = Fixtures(spark, sf)
+    return ingest.tag_loaded_rows(fxm.dataset_rows(fx), _plan(fx), _flags(fx), fxm.RUN_ID, fxm.RUN_AT)
+
+
+@register("load_summary")
+def q_load_summary(spark, sf):
+    return ingest.load_summary(_plan(Fixtures(spark, sf)))
+
+
+@register("member_orgs")
+def q_member_orgs(spark, sf):
+    return ingest.member_orgs(fxm.board_items(Fixtures(spark, sf)), fxm.CONTRACTS_GROUP)
+
+
+@register("standardise_service_type")
+def q_standardise(spark, sf):
+    from carepulse.functions.columns import standardise_service_type
+    b = fxm.board_items(Fixtures(spark, sf))
+    return b.select("item_name", "Service", standardise_service_type("Service").alias("SERVICE_TYPE"))
+
+
+@register("service_type_counts")
+def q_service_counts(spark, sf):
+    return ingest.service_type_counts(ingest.member_orgs(fxm.board_items(Fixtures(spark, sf)), fxm.CONTRACTS_GROUP))
+
+
+@register("member_orgs_summary")
+def q_member_summary(spark, sf):
+    return ingest.member_orgs_summary(fxm.board_items(Fixtures(spark, sf)), fxm.CONTRACTS_GROUP)
+
+
+@register("latest_snapshot")
+def q_latest(spark, sf):
+    return ingest.latest_snapshot(fxm.peer_signals(Fixtures(spark, sf)))
+
+
+@register("filter_unit")
+def q_filter_unit(spark, sf):
+    return ingest.filter_unit(ingest.latest_snapshot(fxm.peer_signals(Fixtures(spark, sf))), TARGET_LA)
+
+
+@register("narrative_for_la")
+def q_narrative(spark, sf):
+    docs = ingest.narrative_documents(fxm.peer_signals(Fixtures(spark, sf)))
+    return ingest.narrative_for_la(docs, TARGET_LA)
+
+
+@register("findings_envelope")
+def q_findings(spark, sf):
+    return ingest.findings_envelope(fxm.board_items(Fixtures(spark, sf)), fxm.FINDINGS_GROUP,
+                                    "Hypothesis board", "board-1", fxm.RUN_AT)
+
+
+@register("table_staleness")
+def q_staleness(spark, sf):
+    return ingest.table_staleness(fxm.table_metadata(Fixtures(spark, sf)), fxm.NOW, fxm.STALENESS_DATABASES)
+
+
+@register("source_freshness")
+def q_freshness(spark, sf):
+    fx = Fixtures(spark, sf)
+    loaded = fxm.table_metadata(fx).select("database", "table_name", F.col("last_altered").alias("loaded_at"))
+    return ingest.source_freshness(loaded, fxm.freshness_config(spark), fxm.freshness_overrides(fx), fxm.NOW)

@@ -259,3 +259,172 @@ def casework_demo_report(fx: Fixtures) -> DataFrame:
         F.when(seg == "HOUSEHOLD", F.lit("Household")).when(seg == "MACHINERY", F.lit("Machinery"))
          .when(seg == "BUILDING", F.lit(None).cast("string")).otherwise(F.lit("Other")).alias("Ethnic Origin"),
     )
+
+
+# --- ingest fixtures (A3-A22) --------------------------------------------------
+# fixed values: board texts (cover every standardisation rule), groups, run ids
+BOARD_SERVICES = (
+    "Casework Membership 1 day per week", "Advice & Casework (bespoke)",
+    "Advice & Casework Membership 4days pm", "Advice & Casework 2days pm",
+    "Advice & Casework 1day pm", "Advice Membership - annual", "Training only", None,
+)
+BOARD_GROUPS = ("Contracts", "Prospects", "Approved findings")
+CONTRACTS_GROUP = "Contracts"
+FINDINGS_GROUP = "Approved findings"
+RUN_ID = "run-2001-12-01"
+RUN_AT = "2001-12-01T06:00:00Z"
+NOW = "2001-12-01 06:00:00"
+STALENESS_DATABASES = ("CASEWORK", "AVA", "HELPLINES")
+
+
+def demographics_report(fx: Fixtures) -> DataFrame:
+    """Raw casework demographics export at order-line grain: headers with
+    spaces, the same case written with different case/padding, placeholders,
+    and an ingest sequence that fixes which duplicate came first."""
+    li = fx.t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    o = fx.t("orders").select("o_orderkey", "o_custkey")
+    c = fx.t("customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    x = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    k, ln, bal = F.col("l_orderkey").cast("string"), F.col("l_linenumber"), F.col("c_acctbal")
+    ref = (F.when(ln % 3 == 1, F.concat(F.lit("C"), k))
+           .when(ln % 3 == 2, F.concat(F.lit(" c"), k, F.lit(" ")))
+           .otherwise(F.concat(F.lit("c"), k, F.lit("\t"))))
+    age = (F.when((ln == 1) & (bal < 0), F.lit("")).when(ln == 2, F.lit("[Not Specified]"))
+           .otherwise(_age_from_balance(bal)))
+    flag = F.col("l_returnflag")
+    return x.select(
+        ref.alias("Case Reference"),
+        age.alias("Age Range"),
+        F.when(flag == "R", F.lit("Female")).when(flag == "A", F.lit("Male"))
+         .otherwise(F.lit("[Not Specified]")).alias("Gender"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")).otherwise(F.lower("c_mktsegment"))
+         .alias("Ethnic Origin"),
+        (F.col("l_orderkey") * 8 + ln).alias("ingest_seq"),
+    )
+
+
+def postcode_report(fx: Fixtures) -> DataFrame:
+    o = fx.t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    c = fx.t("customer").select("c_custkey", "c_nationkey")
+    x = o.join(c, o.o_custkey == c.c_custkey)
+    pri = F.col("o_orderpriority")
+    return x.select(
+        F.concat(F.lit("C"), F.col("o_orderkey").cast("string")).alias("Case Reference"),
+        F.when(pri == "5-LOW", F.lit(None).cast("string")).when(pri == "4-NOT SPECIFIED", F.lit("  "))
+         .otherwise(F.concat(F.lit("P"), F.col("c_nationkey").cast("string"))).alias("Postcode"))
+
+
+def postcode_directory(fx: Fixtures) -> DataFrame:
+    """Postcode -> geography; nations of region 4 are missing (unresolved)."""
+    n = fx.t("nation").filter(F.col("n_regionkey") != 4)
+    r = fx.t("region")
+    x = n.join(r, n.n_regionkey == r.r_regionkey)
+    return x.select(F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("postcode"),
+                    F.col("n_name").alias("la_name"), F.col("r_name").alias("county"),
+                    F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("county_code"))
+
+
+def manifest_datasets(fx: Fixtures) -> DataFrame:
+    """One manifest dataset per order; its provenance warnings are the order's
+    lines in line-number order (bounded: a handful of lines per order)."""
+    o = fx.t("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    li = fx.t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    flag = F.col("l_returnflag")
+    code = (F.when(flag == "R", F.lit("SCHEMA_DRIFT")).when(flag == "A", F.lit("SEMANTIC_DRIFT_SUSPECTED"))
+            .when(F.col("l_linestatus") == "F", F.lit("STALE_SOURCE")))
+    w = (li.groupBy("l_orderkey")
+         .agg(F.array_sort(F.collect_list(F.struct(
+             F.col("l_linenumber").alias("ln"), code.alias("code"),
+             F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("message"),
+             F.col("l_linestatus").alias("details")))).alias("_w")))
+    x = o.join(w, o.o_orderkey == w.l_orderkey, "left")
+    pri = F.col("o_orderpriority")
+    status = (F.when(pri == "1-URGENT", F.lit("SUCCESS")).when(pri == "2-HIGH", F.lit("NO_UPDATE"))
+              .when(pri == "3-MEDIUM", F.lit("LIMITATION"))
+              .when(pri == "4-NOT SPECIFIED", F.concat(F.lit("FAILED_"), F.col("o_orderstatus")))
+              .otherwise(F.lit("PARTIAL")))
+    warnings = F.transform(F.col("_w"), lambda s: F.struct(s["code"].alias("code"), s["message"].alias("message"),
+                                                           s["details"].alias("details")))
+    return x.select(F.concat(F.lit("ds_"), F.col("o_orderkey").cast("string")).alias("dataset_id"),
+                    status.alias("status"),
+                    F.struct(warnings.alias("warnings")).alias("provenance"))
+
+
+def existing_tables(fx: Fixtures) -> DataFrame:
+    o = fx.t("orders").filter(F.col("o_orderstatus") == "F")
+    return o.select(F.concat(F.lit("ds_"), F.col("o_orderkey").cast("string")).alias("table_name"))
+
+
+def landed_files(fx: Fixtures) -> DataFrame:
+    o = fx.t("orders").filter(F.col("o_orderstatus") != "P")
+    return o.select(F.concat(F.lit("ds_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("file_name"))
+
+
+def dataset_rows(fx: Fixtures) -> DataFrame:
+    li = fx.t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return li.select(F.concat(F.lit("ds_"), F.col("l_orderkey").cast("string")).alias("dataset_id"),
+                     "l_linenumber", "l_quantity")
+
+
+def board_items(fx: Fixtures) -> DataFrame:
+    s = fx.t("supplier").select("s_suppkey", "s_name")
+    k = F.col("s_suppkey")
+    service = None
+    for i, text in enumerate(BOARD_SERVICES):
+        v = F.lit(text) if text is not None else F.lit(None).cast("string")
+        service = F.when(k % len(BOARD_SERVICES) == i, v) if service is None else service.when(
+            k % len(BOARD_SERVICES) == i, v)
+    group = None
+    for i, g in enumerate(BOARD_GROUPS):
+        group = F.when(k % len(BOARD_GROUPS) == i, F.lit(g)) if group is None else group.when(
+            k % len(BOARD_GROUPS) == i, F.lit(g))
+    return s.select(F.col("s_name").alias("item_name"), service.alias("Service"), group.alias("group_title"))
+
+
+def peer_signals(fx: Fixtures) -> DataFrame:
+    """Signal rows with the dated snapshot file each would have landed in."""
+    e = fx.t("events").select("user_id", "ts", "event_type", "value")
+    return e.select(
+        F.concat(F.lit("la_peer_signals_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv")).alias("file_name"),
+        F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("unit"),
+        F.col("event_type").alias("signal"), F.col("value"))
+
+
+def table_metadata(fx: Fixtures) -> DataFrame:
+    """Per supplier 'table': database, row count and last change time."""
+    li = fx.t("lineitem").select("l_suppkey", "l_shipdate")
+    s = fx.t("supplier").select("s_suppkey", "s_nationkey")
+    x = li.join(s, li.l_suppkey == s.s_suppkey)
+    m = F.col("s_nationkey") % 4
+    db = (F.when(m == 0, F.lit("CASEWORK")).when(m == 1, F.lit("AVA")).when(m == 2, F.lit("HELPLINES"))
+          .otherwise(F.lit("SCRATCH")))
+    return (x.groupBy(db.alias("database"), F.concat(F.lit("T_"), F.col("l_suppkey").cast("string")).alias("table_name"))
+            .agg(F.count(F.lit(1)).alias("row_count"), F.max(F.col("l_shipdate")).alias("last_altered")))
+
+
+# fixed values: source-level freshness settings (warn/error after count+period)
+FRESHNESS_CONFIG_ROWS = (
+    ("CASEWORK", 36, "hour", 72, "hour"),
+    ("AVA", 45, "day", 90, "day"),
+    ("HELPLINES", None, None, None, None),
+)
+
+
+def freshness_config(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(FRESHNESS_CONFIG_ROWS),
+                                 "database string, warn_count int, warn_period string, "
+                                 "error_count int, error_period string")
+
+
+def freshness_overrides(fx: Fixtures) -> DataFrame:
+    """Table-level overrides: suppliers in debit are disabled, rich ones get
+    yearly thresholds."""
+    s = fx.t("supplier").filter((F.col("s_acctbal") < 0) | (F.col("s_acctbal") > 9000))
+    neg = F.col("s_acctbal") < 0
+    null_i, null_s = F.lit(None).cast("int"), F.lit(None).cast("string")
+    return s.select(F.concat(F.lit("T_"), F.col("s_suppkey").cast("string")).alias("table_name"),
+                    (~neg).alias("enabled"),
+                    F.when(neg, null_i).otherwise(F.lit(400)).alias("warn_count"),
+                    F.when(neg, null_s).otherwise(F.lit("day")).alias("warn_period"),
+                    F.when(neg, null_i).otherwise(F.lit(550)).alias("error_count"),
+                    F.when(neg, null_s).otherwise(F.lit("day")).alias("error_period"))
