@@ -59,7 +59,7 @@ def parse_open_month(m: str | Column, strict: bool = True) -> Column:
     text = F.concat(F.regexp_replace(_col(m), "/", "-"), F.lit("-01"))
     if strict:
         return F.to_date(text, "yyyy-MM-dd")
-    return F.try_to_date(text, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(text, "yyyy-MM-dd")
 
 
 def taxonomy_key(a: str | Column, b: str | Column, c: str | Column) -> Column:
