@@ -102,12 +102,12 @@ FROM (SELECT DISTINCT CASE WHEN p_type = 'ECONOMY' THEN 'Community Care' ELSE p_
       FROM part WHERE p_brand <> 'Brand#25') x""")
 
 cte("case_topic_bridge", """
-SELECT DISTINCT 'C' || CAST(l.l_orderkey AS VARCHAR) AS case_reference, m.s_c_csi_id,
-  p.p_type AS csi_group_raw, p.p_brand AS csi_raw
-FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+SELECT 'C' || CAST(x.l_orderkey AS VARCHAR) AS case_reference, m.s_c_csi_id,
+  x.p_type AS csi_group_raw, x.p_brand AS csi_raw
+FROM (SELECT DISTINCT l.l_orderkey, p.p_type, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) x
 LEFT JOIN s_c_csi_map m
-  ON m.supercategory = CASE WHEN p.p_type = 'ECONOMY' THEN 'Community Care' ELSE p.p_type END
- AND m.category = p.p_brand""")
+  ON m.supercategory = CASE WHEN x.p_type = 'ECONOMY' THEN 'Community Care' ELSE x.p_type END
+ AND m.category = x.p_brand""")
 
 cte("universal_themes_map", """
 SELECT 'advicepro' AS org, ' ' || upper(t1) AS t1, t2 || ' ' AS t2,

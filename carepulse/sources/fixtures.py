@@ -138,7 +138,9 @@ class Fixtures:
         li = self.t("lineitem").select("l_orderkey", "l_partkey")
         p = self.t("part").select("p_partkey", "p_type", "p_brand")
         m = self.s_c_csi_map
-        x = li.join(p, li.l_partkey == p.p_partkey)
+        # de-duplicate on the narrow keys first; the id and the text columns
+        # are functions of (l_orderkey, p_type, p_brand)
+        x = li.join(p, li.l_partkey == p.p_partkey).select("l_orderkey", "p_type", "p_brand").distinct()
         sc = F.when(F.col("p_type") == "ECONOMY", F.lit("Community Care")).otherwise(F.col("p_type"))
         x = x.join(maybe_broadcast(m), (m.supercategory == sc) & (m.category == x.p_brand), "left")
         return x.select(
@@ -146,7 +148,7 @@ class Fixtures:
             F.col("s_c_csi_id"),
             F.col("p_type").alias("csi_group_raw"),
             F.col("p_brand").alias("csi_raw"),
-        ).distinct()
+        )
 
     @cached_property
     def universal_themes_map(self) -> DataFrame:
