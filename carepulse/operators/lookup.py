@@ -20,21 +20,40 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (bounded probe).
 
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the size bound is proven, else the frame unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    The answer is remembered on the DataFrame object, so a lookup used by
+    several joins of one plan is probed once.
+    """
+    memo = getattr(df, "_carepulse_row_bound", None)
+    if memo is None:
+        memo = {}
+        try:
+            df._carepulse_row_bound = memo
+        except AttributeError:
+            pass
+    if max_rows not in memo:
+        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return memo[max_rows]
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    probe: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint when the size bound is proven, else the frame unchanged.
+
+    ``probe`` may be the frame ``df`` was derived from by projection and
+    filtering only (never more rows), so one probe serves every derivation.
+    """
+    return F.broadcast(df) if has_at_most(df if probe is None else probe, max_rows) else df
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Column,
-                how: str = "left", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                how: str = "left", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                probe: DataFrame | None = None) -> DataFrame:
     """Join a (usually small) lookup on to a fact table.
 
     Broadcasting keeps the fact side's partitioning, so a chain of lookups
     after a shuffle join adds no further exchange.  For a left join the
     lookup must be the right side, which is the side Spark can broadcast.
     """
-    return fact.join(maybe_broadcast(lookup, max_rows), on, how)
+    return fact.join(maybe_broadcast(lookup, max_rows, probe), on, how)

@@ -73,7 +73,7 @@ def map_topic_to_theme(mentions: DataFrame, topic_map: DataFrame, list_col: str
     """
     m = normalise_topic_map(topic_map)
     x = mentions.withColumn("_topic_key", F.lower(F.col(value_col)))
-    x = lookup_join(x, m, "_topic_key", "left", max_broadcast_rows)
+    x = lookup_join(x, m, "_topic_key", "left", max_broadcast_rows, probe=topic_map)
     segment = (F.when(F.col(list_col).isNull(), F.lit(UNMATCHED))
                .otherwise(F.coalesce(F.col("_ut1"), F.lit(UNMAPPED))))
     return (x.withColumn("SEGMENT", segment)
@@ -127,13 +127,13 @@ def map_case_to_theme(rows: DataFrame, csi_map: DataFrame, themes_map: DataFrame
     m = csi_map.select(F.col("s_c_csi_id").alias("_csi_id"), F.col("supercategory").alias("_sc"),
                        F.col("category").alias("_cat"), F.col("case_specific_issue").alias("_csi"))
     x = rows.withColumn("_csi_id", F.col(id_col))
-    x = lookup_join(x, m, "_csi_id", "left", max_broadcast_rows)
+    x = lookup_join(x, m, "_csi_id", "left", max_broadcast_rows, probe=csi_map)
     k1, k2 = case_theme_keys(F.col("_sc"), F.col("_cat"), F.col("_csi"))
     x = x.withColumn("_k1", k1).withColumn("_k2", k2)
     u = (themes_map.filter(F.col("org") == ADVICEPRO_ORG)
          .select(F.lower(F.trim("t1")).alias("_k1"), F.lower(F.trim("t2")).alias("_k2"),
                  F.col("ut1").alias("_ut1"), F.col("ut2").alias("_ut2")))
-    x = lookup_join(x, u, ["_k1", "_k2"], "left", max_broadcast_rows)
+    x = lookup_join(x, u, ["_k1", "_k2"], "left", max_broadcast_rows, probe=themes_map)
     return (x.withColumn("SEGMENT", F.coalesce(F.col("_ut1"), F.lit(UNMAPPED)))
              .withColumn("UT2", F.nullif(F.col("_ut2"), F.lit(NA_LITERAL)))
              .drop("_csi_id", "_sc", "_cat", "_csi", "_k1", "_k2", "_ut1", "_ut2"))

@@ -13,6 +13,17 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+# Parquet schemas already inferred in this process, by path.  Inference reads
+# file footers on the driver; a plan that scans the same table many times
+# (the adapter views do) pays it once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def forget_schemas() -> None:
+    """Drop cached schemas (after a table was rewritten with new columns)."""
+    _SCHEMAS.clear()
+
+
 class TableSet:
     """Lazy access to the parquet tables of one data folder.
 
@@ -28,7 +39,15 @@ class TableSet:
         return f"{self.root}/{name}.parquet"
 
     def __call__(self, name: str, schema: StructType | None = None) -> DataFrame:
-        return scan_source(self.spark, self.path(name), schema)
+        path = self.path(name)
+        if schema is not None:
+            return scan_source(self.spark, path, schema)
+        known = _SCHEMAS.get(path)
+        if known is None:
+            df = scan_source(self.spark, path)
+            _SCHEMAS[path] = df.schema
+            return df
+        return scan_source(self.spark, path, known)
 
     def exists(self, name: str) -> bool:
         return os.path.exists(self.path(name))
