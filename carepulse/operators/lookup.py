@@ -55,5 +55,27 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Co
     Broadcasting keeps the fact side's partitioning, so a chain of lookups
     after a shuffle join adds no further exchange.  For a left join the
     lookup must be the right side, which is the side Spark can broadcast.
+
+    When the lookup is too large to broadcast, a left join on named keys
+    sends fact rows with a NULL key around the join (they cannot match):
+    in a shuffle join they would all hash to one reducer, and unmatched
+    drift rows can be a large share of the fact table.
     """
-    return fact.join(maybe_broadcast(lookup, max_rows, probe), on, how)
+    if has_at_most(lookup if probe is None else probe, max_rows):
+        return fact.join(F.broadcast(lookup), on, how)
+    if how in ("left", "left_outer", "leftouter") and not isinstance(on, Column):
+        keys = [on] if isinstance(on, str) else list(on)
+        return _left_join_null_keys_aside(fact, lookup, keys)
+    return fact.join(lookup, on, how)
+
+
+def _left_join_null_keys_aside(fact: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    any_null = None
+    for k in keys:
+        c = F.col(k).isNull()
+        any_null = c if any_null is None else any_null | c
+    joined = fact.filter(~any_null).join(lookup, list(keys), "left")
+    extra = [f for f in lookup.schema.fields if f.name not in keys]
+    aside = fact.filter(any_null).select(*[F.col(c) for c in fact.columns],
+                                         *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return joined.unionByName(aside)

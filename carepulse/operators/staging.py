@@ -147,17 +147,19 @@ def stg_advicepro(casework: DataFrame, bridge: DataFrame, csi_map: DataFrame, th
 
     Every large join keys on case_reference, so each input is shuffled once
     and the joins reuse that partitioning; the two taxonomy maps are
-    size-checked broadcasts that keep it.  Case-grain tables (demographics,
-    locality) join before the case x topic bridge.
+    size-checked broadcasts that keep it.  The case x topic bridge joins
+    first: it is the side where one case could hold a large share of the
+    rows, and only a join whose two inputs come straight from a shuffle can
+    have a hot partition split by AQE's skew handling.
     """
     c = (casework.filter(F.col("la_name").isNotNull())
          .select("case_reference", "case_open_month", "la_name"))
     d = demographics.select("case_reference", F.col("age_range"))
     loc = locality.select("case_reference", F.col("county"))
     b = bridge.select("case_reference", "s_c_csi_id")
-    x = (c.join(d, "case_reference", "left")
-          .join(loc, "case_reference", "left")
-          .join(b, "case_reference", "inner"))
+    x = (c.join(b, "case_reference", "inner")
+          .join(d, "case_reference", "left")
+          .join(loc, "case_reference", "left"))
     x = map_case_to_theme(x, csi_map, themes_map, max_broadcast_rows=max_broadcast_rows)
     return x.select(*_interface({
         "LA_NAME": F.col("la_name"),
