@@ -735,3 +735,15 @@ FROM (
   FROM table_metadata m LEFT JOIN freshness_config c ON m.database = c.database
   LEFT JOIN freshness_overrides o ON m.table_name = o.table_name) x,
 LATERAL (SELECT o_enabled AND (warn IS NOT NULL OR err IS NOT NULL) AS enabled) e""")
+
+# ------------------------------------------------------- file round trips ---
+SQL["scan_csv_dataset"] = compose("SELECT * FROM helplines_aggregated_full")
+SQL["append_locality"] = compose(f"""
+SELECT case_reference AS CASE_REFERENCE, CAST(NULL AS VARCHAR) AS LA_NAME, county AS COUNTY,
+  CAST(NULL AS VARCHAR) AS COUNTY_CODE FROM casework_locality
+UNION ALL
+SELECT r."Case Reference", d.la_name, d.county, d.county_code
+FROM postcode_report r LEFT JOIN postcode_directory d ON r."Postcode" = d.postcode
+WHERE r."Postcode" IS NOT NULL AND trim(r."Postcode", {WS}) <> ''
+  AND NOT EXISTS (SELECT 1 FROM casework_locality e WHERE e.case_reference = r."Case Reference")""")
+SQL["export_json"] = mart_sql("locality_overview", 12)

@@ -534,3 +534,55 @@ def q_freshness(spark, sf):
     fx = Fixtures(spark, sf)
     loaded = fxm.table_metadata(fx).select("database", "table_name", F.col("last_altered").alias("loaded_at"))
     return ingest.source_freshness(loaded, fxm.freshness_config(spark), fxm.freshness_overrides(fx), fxm.NOW)
+
+
+# ------------------------------------------------------ file round trips ---
+# These land data derived from the driver tables in the session's shared
+# checkpoint folder, run the file operator, and read the result back.  The
+# folders are fixed per key and data folder and are overwritten each run.
+import hashlib  # noqa: E402
+
+from carepulse.session import ensure_checkpoint_dir  # noqa: E402
+from carepulse.sources import files  # noqa: E402
+
+HELPLINES_SCHEMA = StructType([StructField("la_name", StringType()), StructField("month_date", DateType()),
+                               StructField("ut1", StringType()), StructField("n", LongType())])
+
+
+def _landing(spark, sf: str, key: str) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:10]
+    return f"{base}/carepulse-landing/{tag}/{key}"
+
+
+@register("scan_csv_dataset")
+def q_scan_csv(spark, sf):
+    folder = _landing(spark, sf, "csv")
+    fx = Fixtures(spark, sf)
+    fx.helplines_aggregated_full.write.mode("overwrite").option("header", True).csv(f"{folder}/helplines.csv")
+    return files.scan_csv_dataset(spark, folder, "helplines", HELPLINES_SCHEMA)
+
+
+@register("append_locality")
+def q_append_locality(spark, sf):
+    from carepulse.operators import ingest as _ingest
+    target = _landing(spark, sf, "locality_target")
+    fx = Fixtures(spark, sf)
+    null = F.lit(None).cast("string")
+    initial = fx.casework_locality.select(F.col("case_reference").alias("CASE_REFERENCE"), null.alias("LA_NAME"),
+                                          F.col("county").alias("COUNTY"), null.alias("COUNTY_CODE"))
+    initial.write.mode("overwrite").parquet(target)
+    existing = spark.read.parquet(target).select(F.col("CASE_REFERENCE").alias("case_reference"))
+    new = _ingest.enrich_postcode(fxm.postcode_report(fx), existing, fxm.postcode_directory(fx))
+    files.append_new_rows(new, target, "CASE_REFERENCE")
+    files.append_new_rows(new, target, "CASE_REFERENCE")   # a rerun appends nothing
+    return spark.read.parquet(target)
+
+
+@register("export_json")
+def q_export_json(spark, sf):
+    folder = _landing(spark, sf, "export")
+    m = marts.mart(la_slice(Fixtures(spark, sf)), "locality_overview", 12, AS_OF)
+    files.export_json([("mart_locality_overview_12m", m)], folder)
+    schema = "LA_NAME string, LOCALITY_NAME string, QUERY_COUNT_DISPLAY string, TIME_WINDOW_MONTHS int"
+    return spark.read.schema(schema).json(f"{folder}/mart_locality_overview_12m")
