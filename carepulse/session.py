@@ -23,6 +23,31 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster (1000 executors, ~100 TB of input).
+# Input splits of 512 MB keep the scan task count in the hundreds of
+# thousands rather than millions; shuffles start wide and AQE coalesces them
+# to ~256 MB partitions, so one setting serves the small lookups and the
+# fact-sized joins.  ``parallelismFirst=false`` makes AQE honour the advisory
+# size instead of maximising task count on a busy cluster.
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1GB",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL options on an existing session (cluster jobs)."""
+    for k, v in conf.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "carepulse") -> SparkSession:
     """Build (or reuse) a local session for tests and benchmarks."""

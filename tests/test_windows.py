@@ -59,3 +59,29 @@ def test_mart_from_intermediate_equals_direct(spark):
 def test_empty_window_gives_no_row(spark):
     m = _mentions(spark).filter(F.col("QUERY_DATE") < F.lit("2025-06-01").cast("date"))
     assert windows.activity_summary(m, "2026-03-31", (1, 3)).count() == 0
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.dates(min_value=dt.date(2024, 1, 1), max_value=dt.date(2026, 12, 31)),
+       st.lists(st.tuples(st.integers(0, 900), st.integers(1, 5)), min_size=1, max_size=40))
+def test_windows_property(spark, as_of, rows):
+    base = dt.date(2023, 6, 1)
+    data = [("LA", base + dt.timedelta(days=d), n) for d, n in rows]
+    m = spark.createDataFrame(data, "LA_NAME string, QUERY_DATE date, QUERY_COUNT bigint")
+    got = {r.TIME_WINDOW_MONTHS: r.QUERY_COUNT_RAW for r in windows.activity_summary(m, as_of.isoformat()).collect()}
+
+    def minus_months(d, k):
+        y, mth = divmod(d.year * 12 + d.month - 1 - k, 12)
+        mth += 1
+        import calendar
+        return dt.date(y, mth, min(d.day, calendar.monthrange(y, mth)[1]))
+    ref = {}
+    for w in windows.WINDOWS:
+        s = sum(n for _, d, n in data if d >= minus_months(as_of, w))
+        if s:
+            ref[w] = s
+    assert got == ref
