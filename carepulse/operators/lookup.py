@@ -22,19 +22,31 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded probe).
 
-    The answer is remembered on the DataFrame object, so a lookup used by
-    several joins of one plan is probed once.
+    What a probe learns (an exact small count, or "more than n") is kept on
+    the DataFrame object, so a lookup used by several joins of one plan is
+    probed once; ``mark_bounded`` records a bound known without a job.
     """
-    memo = getattr(df, "_carepulse_row_bound", None)
-    if memo is None:
-        memo = {}
-        try:
-            df._carepulse_row_bound = memo
-        except AttributeError:
-            pass
-    if max_rows not in memo:
-        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return memo[max_rows]
+    upper = getattr(df, "_carepulse_rows_at_most", None)
+    if upper is not None and upper <= max_rows:
+        return True
+    more = getattr(df, "_carepulse_rows_more_than", None)
+    if more is not None and more >= max_rows:
+        return False
+    n = df.limit(max_rows + 1).count()
+    try:
+        if n <= max_rows:
+            df._carepulse_rows_at_most = n
+        else:
+            df._carepulse_rows_more_than = max_rows
+    except AttributeError:
+        pass
+    return n <= max_rows
+
+
+def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
+    """Record a proven row bound (e.g. a frame built from literal rows)."""
+    df._carepulse_rows_at_most = rows
+    return df
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,

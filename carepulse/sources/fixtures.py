@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carepulse.functions.columns import taxonomy_key
-from carepulse.operators.lookup import maybe_broadcast
+from carepulse.operators.lookup import mark_bounded, maybe_broadcast
 from carepulse.sources.tables import TableSet
 
 # Target local authority and reporting date used by the registered queries.
@@ -118,8 +118,9 @@ class Fixtures:
 
     @cached_property
     def topic_entry_point_map(self) -> DataFrame:
-        return self.spark.createDataFrame(list(TOPIC_MAP_ROWS),
-                                          "topic_entry_point string, ut1 string, ut2 string")
+        return mark_bounded(self.spark.createDataFrame(list(TOPIC_MAP_ROWS),
+                                                       "topic_entry_point string, ut1 string, ut2 string"),
+                            len(TOPIC_MAP_ROWS))
 
     # -- casework -----------------------------------------------------------
     @cached_property
@@ -236,11 +237,14 @@ PERIOD_END = "2001-03-31"
 
 
 def ilta_map_ava(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ILTA_MAP_AVA_ROWS), "FEATURE string, ACCESSAVA string, ILTA string")
+    return mark_bounded(spark.createDataFrame(list(ILTA_MAP_AVA_ROWS), "FEATURE string, ACCESSAVA string, ILTA string"),
+                        len(ILTA_MAP_AVA_ROWS))
 
 
 def ilta_map_casework(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ILTA_MAP_CASEWORK_ROWS), "CASEWORK string, FEATURE string, ILTA string")
+    return mark_bounded(spark.createDataFrame(list(ILTA_MAP_CASEWORK_ROWS),
+                                              "CASEWORK string, FEATURE string, ILTA string"),
+                        len(ILTA_MAP_CASEWORK_ROWS))
 
 
 def casework_demo_report(fx: Fixtures) -> DataFrame:
@@ -413,9 +417,10 @@ FRESHNESS_CONFIG_ROWS = (
 
 
 def freshness_config(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(FRESHNESS_CONFIG_ROWS),
-                                 "database string, warn_count int, warn_period string, "
-                                 "error_count int, error_period string")
+    return mark_bounded(spark.createDataFrame(list(FRESHNESS_CONFIG_ROWS),
+                                              "database string, warn_count int, warn_period string, "
+                                              "error_count int, error_period string"),
+                        len(FRESHNESS_CONFIG_ROWS))
 
 
 def freshness_overrides(fx: Fixtures) -> DataFrame:
