@@ -4,7 +4,9 @@ Prints one JSON line: {"metric", "value", "unit", "queries": {...}, "sf"}.
 Each query is fully executed (all rows produced and discarded by the JVM
 via a ``noop`` write), after one untimed warm-up pass of the whole set on
 the smallest data folder so JIT compilation is not billed to the first
-query.
+query.  Queries of one session share the fixture view declarations
+(``Fixtures.of``): plans, not data — every timed query executes its whole
+plan from the parquet files.
 """
 
 from __future__ import annotations

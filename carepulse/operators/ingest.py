@@ -144,9 +144,9 @@ def tag_loaded_rows(rows: DataFrame, plan: DataFrame, flags: DataFrame, run_id:
     loading = (plan.filter(F.col("ACTION").isin(LOAD, FIRST_TIME_LOAD))
                .select(F.col("DATASET_ID").alias("dataset_id"))
                .join(flags.select("dataset_id", "DRIFT_FLAG"), "dataset_id", "left"))
-    # one row per dataset: broadcast when the manifest is small, so a dataset
-    # holding most of the rows does not make one reducer of a shuffle join hot
-    x = lookup_join(rows, loading, "dataset_id", "inner", probe=plan).withColumnRenamed("DRIFT_FLAG", "_flag")
+    # one row per dataset on the right: a dataset holding most of the rows is
+    # a skewed partition of the streamed side, which AQE splits
+    x = rows.join(loading, "dataset_id").withColumnRenamed("DRIFT_FLAG", "_flag")
     return tag_provenance(x, run_id, run_at, F.col("_flag")).drop("_flag")
 
 

@@ -60,13 +60,13 @@ def q_scan_source(spark, sf):
 # ---------------------------------------------------------------- staging ---
 @register("explode_topics")
 def q_explode_topics(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return staging.explode_topics(fx.accessava).select("transcript_id", "topic_entry_point", "topic_value")
 
 
 @register("map_topic_to_theme")
 def q_map_topic_to_theme(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     x = staging.explode_topics(fx.accessava).select("transcript_id", "topic_entry_point", "topic_value")
     return staging.map_topic_to_theme(x, fx.topic_entry_point_map).select(
         "transcript_id", "topic_value", "SEGMENT", "UT2")
@@ -74,19 +74,19 @@ def q_map_topic_to_theme(spark, sf):
 
 @register("stg_accessava")
 def q_stg_accessava(spark, sf):
-    return staged_sources(Fixtures(spark, sf))[0]
+    return staged_sources(Fixtures.of(spark, sf))[0]
 
 
 @register("parse_open_month")
 def q_parse_open_month(spark, sf):
     from carepulse.functions.columns import parse_open_month
-    c = Fixtures(spark, sf).advicepro_casework
+    c = Fixtures.of(spark, sf).advicepro_casework
     return c.select("case_reference", "case_open_month", parse_open_month("case_open_month").alias("QUERY_DATE"))
 
 
 @register("map_case_to_theme")
 def q_map_case_to_theme(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     b = fx.case_topic_bridge.select("case_reference", "s_c_csi_id")
     return staging.map_case_to_theme(b, fx.s_c_csi_map, fx.universal_themes_map).select(
         "case_reference", "s_c_csi_id", "SEGMENT", "UT2")
@@ -94,45 +94,45 @@ def q_map_case_to_theme(spark, sf):
 
 @register("stg_advicepro")
 def q_stg_advicepro(spark, sf):
-    return staged_sources(Fixtures(spark, sf))[1]
+    return staged_sources(Fixtures.of(spark, sf))[1]
 
 
 @register("stg_helplines")
 def q_stg_helplines(spark, sf):
-    return staged_sources(Fixtures(spark, sf))[2]
+    return staged_sources(Fixtures.of(spark, sf))[2]
 
 
 @register("stg_la_topic_mentions")
 def q_mentions(spark, sf):
-    return mentions(Fixtures(spark, sf))
+    return mentions(Fixtures.of(spark, sf))
 
 
 @register("stg_la_topic_mentions_slice")
 def q_slice(spark, sf):
-    return la_slice(Fixtures(spark, sf))
+    return la_slice(Fixtures.of(spark, sf))
 
 
 @register("monthly_theme_counts")
 def q_monthly(spark, sf):
-    return staging.monthly_theme_counts(mentions(Fixtures(spark, sf)))
+    return staging.monthly_theme_counts(mentions(Fixtures.of(spark, sf)))
 
 
 @register("taxonomy_key")
 def q_taxonomy_key(spark, sf):
-    m = Fixtures(spark, sf).s_c_csi_map.select("supercategory", "category", "case_specific_issue")
+    m = Fixtures.of(spark, sf).s_c_csi_map.select("supercategory", "category", "case_specific_issue")
     return staging.with_taxonomy_key(m)
 
 
 # ---------------------------------------------------------------- windows ---
 def _family_builder(family: str) -> Builder:
     def build(spark, sf):
-        return windows.family_windows(la_slice(Fixtures(spark, sf)), family, AS_OF)
+        return windows.family_windows(la_slice(Fixtures.of(spark, sf)), family, AS_OF)
     return build
 
 
 def _mart_builder(family: str, w: int) -> Builder:
     def build(spark, sf):
-        return marts.mart(la_slice(Fixtures(spark, sf)), family, w, AS_OF)
+        return marts.mart(la_slice(Fixtures.of(spark, sf)), family, w, AS_OF)
     return build
 
 
@@ -144,7 +144,7 @@ for _fam in windows.FAMILIES:
 
 @register("trailing_windows")
 def q_trailing_windows(spark, sf):
-    m = la_slice(Fixtures(spark, sf))
+    m = la_slice(Fixtures.of(spark, sf))
     return windows.trailing_windows(m, {"LA_NAME": F.col("LA_NAME"), "SOURCE_SYSTEM": F.col("SOURCE_SYSTEM")},
                                     {"QUERY_COUNT_RAW": F.col("QUERY_COUNT")}, AS_OF)
 
@@ -152,13 +152,13 @@ def q_trailing_windows(spark, sf):
 @register("suppress_small")
 def q_suppress_small(spark, sf):
     from carepulse.functions.columns import suppress_small
-    s = marts.la_query_summary(mentions(Fixtures(spark, sf)))
+    s = marts.la_query_summary(mentions(Fixtures.of(spark, sf)))
     return s.withColumn("QUERY_COUNT_DISPLAY", suppress_small("QUERY_COUNT"))
 
 
 @register("mart_la_query_summary")
 def q_la_query_summary(spark, sf):
-    return marts.la_query_summary(mentions(Fixtures(spark, sf)))
+    return marts.la_query_summary(mentions(Fixtures.of(spark, sf)))
 
 
 # ---------------------------------------------------------------- chatbot ---
@@ -168,39 +168,39 @@ from carepulse.sources.fixtures import RECON_MONTH  # noqa: E402
 
 @register("conversations_monthly")
 def q_conv_monthly(spark, sf):
-    return chatbot.conversations_monthly(Fixtures(spark, sf).accessava)
+    return chatbot.conversations_monthly(Fixtures.of(spark, sf).accessava)
 
 
 @register("conversations_total")
 def q_conv_total(spark, sf):
-    return chatbot.conversations_total(Fixtures(spark, sf).accessava)
+    return chatbot.conversations_total(Fixtures.of(spark, sf).accessava)
 
 
 @register("top_tenants")
 def q_top_tenants(spark, sf):
-    return chatbot.top_tenants(chatbot.conversations_total(Fixtures(spark, sf).accessava))
+    return chatbot.top_tenants(chatbot.conversations_total(Fixtures.of(spark, sf).accessava))
 
 
 @register("persona_bridge")
 def q_persona_bridge(spark, sf):
-    return chatbot.persona_bridge(Fixtures(spark, sf).accessava)
+    return chatbot.persona_bridge(Fixtures.of(spark, sf).accessava)
 
 
 @register("persona_dim")
 def q_persona_dim(spark, sf):
-    return chatbot.persona_dim(chatbot.persona_bridge(Fixtures(spark, sf).accessava))
+    return chatbot.persona_dim(chatbot.persona_bridge(Fixtures.of(spark, sf).accessava))
 
 
 @register("bridge_diff")
 def q_bridge_diff(spark, sf):
-    a = Fixtures(spark, sf).accessava
+    a = Fixtures.of(spark, sf).accessava
     return chatbot.bridge_diff(chatbot.persona_bridge(a), chatbot.legacy_persona_bridge(a))
 
 
 # ----------------------------------------------------------------- checks ---
 @register("test_not_null")
 def q_test_not_null(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return checks.union_summaries([
         checks.not_null_summary(mentions(fx), "stg_la_topic_mentions", ["LA_NAME", "QUERY_DATE", "SOURCE_SYSTEM"]),
         checks.not_null_summary(fx.accessava, "accessava", ["transcript_id", "tenant_name", "la_name"]),
@@ -209,7 +209,7 @@ def q_test_not_null(spark, sf):
 
 @register("test_accepted_values")
 def q_test_accepted(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return checks.union_summaries([
         checks.accepted_values_summary(mentions(fx), "stg_la_topic_mentions", "SOURCE_SYSTEM",
                                        ["AccessAva", "AdvicePro", "Helplines"]),
@@ -220,7 +220,7 @@ def q_test_accepted(spark, sf):
 
 @register("test_unique")
 def q_test_unique(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return checks.union_summaries([
         checks.unique_summary(fx.s_c_csi_map, "s_c_csi_map", "s_c_csi_id"),
         checks.unique_summary(chatbot.conversations_total(fx.accessava), "conversations_total", "TENANT_NAME"),
@@ -230,7 +230,7 @@ def q_test_unique(spark, sf):
 
 @register("test_unique_combination")
 def q_test_unique_combo(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return checks.union_summaries([
         checks.unique_combination_summary(chatbot.conversations_monthly(fx.accessava), "conversations_monthly",
                                           ["TENANT_NAME", "CONVERSATION_MONTH"]),
@@ -241,7 +241,7 @@ def q_test_unique_combo(spark, sf):
 
 @register("test_relationships")
 def q_test_relationships(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return checks.relationships_summary(fx.case_topic_bridge, "case_topic_bridge", "s_c_csi_id",
                                         fx.s_c_csi_map, "s_c_csi_id")
 
@@ -252,38 +252,38 @@ def _monthly(fx):
 
 @register("warn_unmapped_share")
 def q_unmapped_share(spark, sf):
-    return checks.unmapped_share(_monthly(Fixtures(spark, sf)))
+    return checks.unmapped_share(_monthly(Fixtures.of(spark, sf)))
 
 
 @register("unmapped_share_all")
 def q_unmapped_share_all(spark, sf):
-    return checks.unmapped_share(_monthly(Fixtures(spark, sf)), only_failing=False)
+    return checks.unmapped_share(_monthly(Fixtures.of(spark, sf)), only_failing=False)
 
 
 @register("recon_model_breakdown")
 def q_recon_model(spark, sf):
-    return checks.recon_model_breakdown(_monthly(Fixtures(spark, sf)), TARGET_LA, RECON_MONTH)
+    return checks.recon_model_breakdown(_monthly(Fixtures.of(spark, sf)), TARGET_LA, RECON_MONTH)
 
 
 @register("recon_helplines_raw")
 def q_recon_help(spark, sf):
-    return checks.recon_helplines_raw(Fixtures(spark, sf).helplines_aggregated_full, TARGET_LA, RECON_MONTH)
+    return checks.recon_helplines_raw(Fixtures.of(spark, sf).helplines_aggregated_full, TARGET_LA, RECON_MONTH)
 
 
 @register("recon_accessava_raw")
 def q_recon_ava(spark, sf):
-    return checks.recon_accessava_raw(Fixtures(spark, sf).accessava, TARGET_LA, RECON_MONTH)
+    return checks.recon_accessava_raw(Fixtures.of(spark, sf).accessava, TARGET_LA, RECON_MONTH)
 
 
 @register("recon_advicepro_raw")
 def q_recon_ap(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return checks.recon_advicepro_raw(fx.advicepro_casework, fx.case_topic_bridge, TARGET_LA, RECON_MONTH)
 
 
 @register("fanout_guard")
 def q_fanout(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     themes = checks.fanout_guard(fx.universal_themes_map, ["t1", "t2"], org="advicepro")
     topics = checks.fanout_guard(fx.topic_entry_point_map.withColumn("_none", F.lit("")),
                                  ["topic_entry_point", "_none"])
@@ -292,7 +292,7 @@ def q_fanout(spark, sf):
 
 @register("recon_totals")
 def q_recon_totals(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     model = (checks.recon_model_breakdown(_monthly(fx), TARGET_LA, RECON_MONTH)
              .groupBy("SOURCE_SYSTEM").agg(F.sum("N").cast("bigint").alias("TOTAL")))
     h = checks.recon_helplines_raw(fx.helplines_aggregated_full, TARGET_LA, RECON_MONTH).agg(
@@ -306,12 +306,12 @@ def q_recon_totals(spark, sf):
 
 @register("window_row_counts")
 def q_window_rows(spark, sf):
-    return checks.window_row_counts(windows.family_windows(la_slice(Fixtures(spark, sf)), "query_segments", AS_OF))
+    return checks.window_row_counts(windows.family_windows(la_slice(Fixtures.of(spark, sf)), "query_segments", AS_OF))
 
 
 @register("source_coverage")
 def q_source_coverage(spark, sf):
-    return checks.source_coverage(mentions(Fixtures(spark, sf)))
+    return checks.source_coverage(mentions(Fixtures.of(spark, sf)))
 
 
 # ---------------------------------------------------------------- explore ---
@@ -322,7 +322,7 @@ from carepulse.sources.fixtures import (  # noqa: E402
 
 @register("date_range_filter")
 def q_date_range(spark, sf):
-    a = Fixtures(spark, sf).accessava
+    a = Fixtures.of(spark, sf).accessava
     return explore.date_range_filter(a, "created_at", PERIOD_START, PERIOD_END).select("transcript_id", "created_at")
 
 
@@ -334,17 +334,17 @@ def _ava_long(fx):
 
 @register("unpivot_features")
 def q_unpivot(spark, sf):
-    return _ava_long(Fixtures(spark, sf))
+    return _ava_long(Fixtures.of(spark, sf))
 
 
 @register("map_features")
 def q_map_features(spark, sf):
-    return explore.map_features(_ava_long(Fixtures(spark, sf)), ilta_map_ava(spark), ["FEATURE", "ACCESSAVA"])
+    return explore.map_features(_ava_long(Fixtures.of(spark, sf)), ilta_map_ava(spark), ["FEATURE", "ACCESSAVA"])
 
 
 @register("uncount")
 def q_uncount(spark, sf):
-    return explore.uncount(casework_demo_report(Fixtures(spark, sf)), "Number of Person with Care Needss")
+    return explore.uncount(casework_demo_report(Fixtures.of(spark, sf)), "Number of Person with Care Needss")
 
 
 def _chatbot_counts(spark, fx):
@@ -358,17 +358,17 @@ def _casework_counts(spark, fx):
 
 @register("chatbot_feature_counts")
 def q_chatbot_counts(spark, sf):
-    return _chatbot_counts(spark, Fixtures(spark, sf))
+    return _chatbot_counts(spark, Fixtures.of(spark, sf))
 
 
 @register("casework_feature_counts")
 def q_casework_counts(spark, sf):
-    return _casework_counts(spark, Fixtures(spark, sf))
+    return _casework_counts(spark, Fixtures.of(spark, sf))
 
 
 @register("combined_feature_totals")
 def q_combined_totals(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return explore.combined_feature_totals(_chatbot_counts(spark, fx), _casework_counts(spark, fx))
 
 
@@ -378,38 +378,38 @@ def _combined(fx):
 
 @register("combined_interactions")
 def q_combined(spark, sf):
-    return _combined(Fixtures(spark, sf))
+    return _combined(Fixtures.of(spark, sf))
 
 
 @register("monthly_series_filled")
 def q_series(spark, sf):
-    return explore.monthly_series_filled(_combined(Fixtures(spark, sf)))
+    return explore.monthly_series_filled(_combined(Fixtures.of(spark, sf)))
 
 
 @register("season_table")
 def q_season(spark, sf):
-    return explore.season_table(explore.monthly_series_filled(_combined(Fixtures(spark, sf))))
+    return explore.season_table(explore.monthly_series_filled(_combined(Fixtures.of(spark, sf))))
 
 
 @register("top_k_categories")
 def q_top_cats(spark, sf):
-    return explore.top_k_categories(_combined(Fixtures(spark, sf)))
+    return explore.top_k_categories(_combined(Fixtures.of(spark, sf)))
 
 
 @register("top_k_las")
 def q_top_las(spark, sf):
-    return explore.top_k_las(_combined(Fixtures(spark, sf)))
+    return explore.top_k_las(_combined(Fixtures.of(spark, sf)))
 
 
 @register("overall_totals")
 def q_overall(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return explore.overall_totals(fx.accessava, fx.advicepro_casework, _combined(fx))
 
 
 @register("resource_consumption")
 def q_resources(spark, sf):
-    return explore.resource_consumption(Fixtures(spark, sf).accessava, PERIOD_START, PERIOD_END)
+    return explore.resource_consumption(Fixtures.of(spark, sf).accessava, PERIOD_START, PERIOD_END)
 
 
 # ----------------------------------------------------------------- ingest ---
@@ -419,35 +419,35 @@ from carepulse.sources import fixtures as fxm  # noqa: E402
 
 @register("normalise_columns")
 def q_normalise_columns(spark, sf):
-    return ingest.normalise_columns(casework_demo_report(Fixtures(spark, sf)))
+    return ingest.normalise_columns(casework_demo_report(Fixtures.of(spark, sf)))
 
 
 @register("null_placeholders")
 def q_null_placeholders(spark, sf):
-    return ingest.clean_placeholders(fxm.demographics_report(Fixtures(spark, sf)))
+    return ingest.clean_placeholders(fxm.demographics_report(Fixtures.of(spark, sf)))
 
 
 @register("clean_demographics")
 def q_clean_demographics(spark, sf):
-    return ingest.clean_demographics(fxm.demographics_report(Fixtures(spark, sf)))
+    return ingest.clean_demographics(fxm.demographics_report(Fixtures.of(spark, sf)))
 
 
 @register("demographics_load_report")
 def q_demographics_report(spark, sf):
-    raw = fxm.demographics_report(Fixtures(spark, sf))
+    raw = fxm.demographics_report(Fixtures.of(spark, sf))
     return ingest.demographics_load_report(raw, ingest.clean_demographics(raw))
 
 
 @register("incremental_new_keys")
 def q_new_keys(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     rep = ingest.normalise_columns(fxm.postcode_report(fx))
     return ingest.incremental_new_keys(rep, fx.casework_locality, "case_reference")
 
 
 @register("enrich_postcode")
 def q_enrich_postcode(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return ingest.enrich_postcode(fxm.postcode_report(fx), fx.casework_locality, fxm.postcode_directory(fx))
 
 
@@ -461,77 +461,77 @@ def _plan(fx):
 
 @register("extract_drift_flag")
 def q_drift_flag(spark, sf):
-    return _flags(Fixtures(spark, sf)).withColumnRenamed("dataset_id", "DATASET_ID")
+    return _flags(Fixtures.of(spark, sf)).withColumnRenamed("dataset_id", "DATASET_ID")
 
 
 @register("manifest_load_plan")
 def q_load_plan(spark, sf):
-    return _plan(Fixtures(spark, sf))
+    return _plan(Fixtures.of(spark, sf))
 
 
 @register("tag_provenance")
 def q_tag_provenance(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     return ingest.tag_loaded_rows(fxm.dataset_rows(fx), _plan(fx), _flags(fx), fxm.RUN_ID, fxm.RUN_AT)
 
 
 @register("load_summary")
 def q_load_summary(spark, sf):
-    return ingest.load_summary(_plan(Fixtures(spark, sf)))
+    return ingest.load_summary(_plan(Fixtures.of(spark, sf)))
 
 
 @register("member_orgs")
 def q_member_orgs(spark, sf):
-    return ingest.member_orgs(fxm.board_items(Fixtures(spark, sf)), fxm.CONTRACTS_GROUP)
+    return ingest.member_orgs(fxm.board_items(Fixtures.of(spark, sf)), fxm.CONTRACTS_GROUP)
 
 
 @register("standardise_service_type")
 def q_standardise(spark, sf):
     from carepulse.functions.columns import standardise_service_type
-    b = fxm.board_items(Fixtures(spark, sf))
+    b = fxm.board_items(Fixtures.of(spark, sf))
     return b.select("item_name", "Service", standardise_service_type("Service").alias("SERVICE_TYPE"))
 
 
 @register("service_type_counts")
 def q_service_counts(spark, sf):
-    return ingest.service_type_counts(ingest.member_orgs(fxm.board_items(Fixtures(spark, sf)), fxm.CONTRACTS_GROUP))
+    return ingest.service_type_counts(ingest.member_orgs(fxm.board_items(Fixtures.of(spark, sf)), fxm.CONTRACTS_GROUP))
 
 
 @register("member_orgs_summary")
 def q_member_summary(spark, sf):
-    return ingest.member_orgs_summary(fxm.board_items(Fixtures(spark, sf)), fxm.CONTRACTS_GROUP)
+    return ingest.member_orgs_summary(fxm.board_items(Fixtures.of(spark, sf)), fxm.CONTRACTS_GROUP)
 
 
 @register("latest_snapshot")
 def q_latest(spark, sf):
-    return ingest.latest_snapshot(fxm.peer_signals(Fixtures(spark, sf)))
+    return ingest.latest_snapshot(fxm.peer_signals(Fixtures.of(spark, sf)))
 
 
 @register("filter_unit")
 def q_filter_unit(spark, sf):
-    return ingest.filter_unit(ingest.latest_snapshot(fxm.peer_signals(Fixtures(spark, sf))), TARGET_LA)
+    return ingest.filter_unit(ingest.latest_snapshot(fxm.peer_signals(Fixtures.of(spark, sf))), TARGET_LA)
 
 
 @register("narrative_for_la")
 def q_narrative(spark, sf):
-    docs = ingest.narrative_documents(fxm.peer_signals(Fixtures(spark, sf)))
+    docs = ingest.narrative_documents(fxm.peer_signals(Fixtures.of(spark, sf)))
     return ingest.narrative_for_la(docs, TARGET_LA)
 
 
 @register("findings_envelope")
 def q_findings(spark, sf):
-    return ingest.findings_envelope(fxm.board_items(Fixtures(spark, sf)), fxm.FINDINGS_GROUP,
+    return ingest.findings_envelope(fxm.board_items(Fixtures.of(spark, sf)), fxm.FINDINGS_GROUP,
                                     "Hypothesis board", "board-1", fxm.RUN_AT)
 
 
 @register("table_staleness")
 def q_staleness(spark, sf):
-    return ingest.table_staleness(fxm.table_metadata(Fixtures(spark, sf)), fxm.NOW, fxm.STALENESS_DATABASES)
+    return ingest.table_staleness(fxm.table_metadata(Fixtures.of(spark, sf)), fxm.NOW, fxm.STALENESS_DATABASES)
 
 
 @register("source_freshness")
 def q_freshness(spark, sf):
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     loaded = fxm.table_metadata(fx).select("database", "table_name", F.col("last_altered").alias("loaded_at"))
     return ingest.source_freshness(loaded, fxm.freshness_config(spark), fxm.freshness_overrides(fx), fxm.NOW)
 
@@ -558,7 +558,7 @@ def _landing(spark, sf: str, key: str) -> str:
 @register("scan_csv_dataset")
 def q_scan_csv(spark, sf):
     folder = _landing(spark, sf, "csv")
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     fx.helplines_aggregated_full.write.mode("overwrite").option("header", True).csv(f"{folder}/helplines.csv")
     return files.scan_csv_dataset(spark, folder, "helplines", HELPLINES_SCHEMA)
 
@@ -567,7 +567,7 @@ def q_scan_csv(spark, sf):
 def q_append_locality(spark, sf):
     from carepulse.operators import ingest as _ingest
     target = _landing(spark, sf, "locality_target")
-    fx = Fixtures(spark, sf)
+    fx = Fixtures.of(spark, sf)
     null = F.lit(None).cast("string")
     initial = fx.casework_locality.select(F.col("case_reference").alias("CASE_REFERENCE"), null.alias("LA_NAME"),
                                           F.col("county").alias("COUNTY"), null.alias("COUNTY_CODE"))
@@ -582,7 +582,7 @@ def q_append_locality(spark, sf):
 @register("export_json")
 def q_export_json(spark, sf):
     folder = _landing(spark, sf, "export")
-    m = marts.mart(la_slice(Fixtures(spark, sf)), "locality_overview", 12, AS_OF)
+    m = marts.mart(la_slice(Fixtures.of(spark, sf)), "locality_overview", 12, AS_OF)
     files.export_json([("mart_locality_overview_12m", m)], folder)
     schema = "LA_NAME string, LOCALITY_NAME string, QUERY_COUNT_DISPLAY string, TIME_WINDOW_MONTHS int"
     return spark.read.schema(schema).json(f"{folder}/mart_locality_overview_12m")

@@ -49,12 +49,32 @@ def _age_from_balance(bal: Column) -> Column:
 
 
 class Fixtures:
-    """All adapter views of one data folder (lazy DataFrames)."""
+    """All adapter views of one data folder (lazy DataFrames).
+
+    ``Fixtures.of(spark, sf_dir)`` returns one shared instance per session
+    and folder: the views are immutable plans, so queries of one session can
+    share their declarations (and the lookup-size probes remembered on them).
+    Nothing is cached as data; every query executes its whole plan.
+    """
+
+    _shared: dict[tuple[int, str], Fixtures] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = TableSet(spark, sf_dir)
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Fixtures:
+        key = (id(spark), sf_dir.rstrip("/"))
+        fx = cls._shared.get(key)
+        if fx is None or fx.spark is not spark:
+            fx = cls._shared[key] = cls(spark, sf_dir)
+        return fx
+
+    @classmethod
+    def forget(cls) -> None:
+        cls._shared.clear()
+
     # -- helpers ------------------------------------------------------------
     def _orders_customer_nation(self) -> DataFrame:
         o = self.t("orders")
