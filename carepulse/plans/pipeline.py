@@ -131,3 +131,78 @@ def run_declared_tests(built: dict[str, DataFrame], src: Sources) -> DataFrame:
                                      src.s_c_csi_map, "s_c_csi_id"),
     ]
     return checks.union_summaries(parts)
+
+
+# ----------------------------------------------------------------- loaders ---
+@dataclass
+class LoaderInputs:
+    """What the upstream pulls landed, as DataFrames (one per loader)."""
+    board: DataFrame                  # member-org board items
+    demographics_report: DataFrame    # casework demographics export
+    manifest: DataFrame               # manifest datasets (dataset_id, status, provenance)
+    existing_tables: DataFrame        # table_name of tables already loaded
+    landed_files: DataFrame           # file_name of landed dataset files
+    dataset_rows: DataFrame           # rows of every landed dataset, with dataset_id
+    postcode_report: DataFrame        # case reference + postcode export
+    postcode_directory: DataFrame     # postcode -> geography
+
+
+def run_loaders(inputs: LoaderInputs, out_dir: str, contracts_group: str, run_id: str, run_at: str,
+                locality_target: str) -> dict[str, str]:
+    """Stage 1: the four loaders in order; every loader runs, failures are
+    counted, and the stage fails at the end if any loader failed."""
+    from carepulse.operators import ingest
+    from carepulse.sources.files import append_new_rows
+
+    out = out_dir.rstrip("/")
+    spark = inputs.board.sparkSession
+    results: dict[str, str] = {}
+
+    def member_orgs():
+        orgs = ingest.member_orgs(inputs.board, contracts_group, check_nonempty=True)
+        orgs.write.mode("overwrite").parquet(f"{out}/member_orgs")
+
+    def demographics():
+        raw = ingest.require_rows(inputs.demographics_report, "demographics report")
+        ingest.clean_demographics(raw).write.mode("overwrite").parquet(f"{out}/advicepro_demographics")
+
+    def external_sources():
+        plan = ingest.manifest_load_plan(inputs.manifest, inputs.existing_tables, inputs.landed_files)
+        plan = plan.persist()
+        flags = ingest.with_drift_flag(inputs.manifest).select("dataset_id", "DRIFT_FLAG")
+        tagged = ingest.tag_loaded_rows(inputs.dataset_rows, plan, flags, run_id, run_at)
+        tagged.write.mode("overwrite").partitionBy("dataset_id").parquet(f"{out}/external_sources")
+        summary = ingest.load_summary(plan).first()
+        plan.unpersist()
+        ingest.raise_on_failures(summary)
+
+    def locality():
+        try:
+            existing = spark.read.parquet(locality_target).select(F.col("CASE_REFERENCE").alias("case_reference"))
+        except Exception:  # noqa: BLE001 - first run: no target yet
+            existing = spark.createDataFrame([], "case_reference string")
+        new = ingest.enrich_postcode(inputs.postcode_report, existing, inputs.postcode_directory)
+        append_new_rows(new, locality_target, "CASE_REFERENCE")
+
+    for name, step in (("member_orgs", member_orgs), ("demographics", demographics),
+                       ("external_sources", external_sources), ("locality", locality)):
+        try:
+            step()
+            results[name] = "ok"
+        except Exception as e:  # noqa: BLE001 - counted, reported together below
+            log.error("loader %s failed: %s", name, e)
+            results[name] = f"failed: {e}"
+    failed = [n for n, r in results.items() if r != "ok"]
+    if failed:
+        raise RuntimeError(f"{len(failed)} loader(s) failed: {', '.join(failed)}")
+    return results
+
+
+def run_monitoring(metadata: DataFrame, source_config: DataFrame, table_overrides: DataFrame, now: str,
+                   databases: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Stage 5 (non-fatal): staleness per table and source freshness."""
+    from carepulse.operators import ingest
+    stale = ingest.table_staleness(metadata, now, databases)
+    loaded = metadata.select("database", "table_name", F.col("last_altered").alias("loaded_at"))
+    fresh = ingest.source_freshness(loaded, source_config, table_overrides, now)
+    return stale, fresh
