@@ -24,7 +24,7 @@ UNMAPPED_SHARE_LIMIT = "0.02"   # warn when a source's unmapped share exceeds 2
 SUMMARY_COLS = ("MODEL", "TEST_NAME", "COLUMN_NAME", "SEVERITY", "FAILURES")
 
 
-def _summary(model: str, test: str, column: str, severity: str, failures: Column) -> list[Column]:
+def summary_columns(model: str, test: str, column: str, severity: str, failures: Column) -> list[Column]:
     return [F.lit(model).alias("MODEL"), F.lit(test).alias("TEST_NAME"), F.lit(column).alias("COLUMN_NAME"),
             F.lit(severity).alias("SEVERITY"), failures.cast("bigint").alias("FAILURES")]
 
@@ -37,7 +37,7 @@ def not_null_failures(df: DataFrame, column: str) -> DataFrame:
 def not_null_summary(df: DataFrame, model: str, columns: Sequence[str], severity: str = "error") -> DataFrame:
     """All not_null tests of one model in a single aggregate, one row each."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_f{i}") for i, c in enumerate(columns)])
-    rows = [F.struct(*_summary(model, "not_null", c, severity, F.col(f"_f{i}"))) for i, c in enumerate(columns)]
+    rows = [F.struct(*summary_columns(model, "not_null", c, severity, F.col(f"_f{i}"))) for i, c in enumerate(columns)]
     return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
@@ -51,7 +51,7 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
 def accepted_values_summary(df: DataFrame, model: str, column: str, values: Sequence[str],
                             severity: str = "error") -> DataFrame:
     f = accepted_values_failures(df, column, values)
-    return f.agg(*_summary(model, "accepted_values", column, severity, F.count(F.lit(1))))
+    return f.agg(*summary_columns(model, "accepted_values", column, severity, F.count(F.lit(1))))
 
 
 # T3 ---------------------------------------------------------------------------
@@ -62,7 +62,7 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
 
 
 def unique_summary(df: DataFrame, model: str, column: str, severity: str = "error") -> DataFrame:
-    return unique_failures(df, column).agg(*_summary(model, "unique", column, severity, F.count(F.lit(1))))
+    return unique_failures(df, column).agg(*summary_columns(model, "unique", column, severity, F.count(F.lit(1))))
 
 
 # T4 ---------------------------------------------------------------------------
@@ -74,7 +74,7 @@ def unique_combination_failures(df: DataFrame, columns: Sequence[str]) -> DataFr
 def unique_combination_summary(df: DataFrame, model: str, columns: Sequence[str],
                                severity: str = "error") -> DataFrame:
     f = unique_combination_failures(df, columns)
-    return f.agg(*_summary(model, "unique_combination_of_columns", ",".join(columns), severity,
+    return f.agg(*summary_columns(model, "unique_combination_of_columns", ",".join(columns), severity,
                            F.count(F.lit(1))))
 
 
@@ -89,7 +89,7 @@ def relationships_failures(child: DataFrame, column: str, parent: DataFrame, par
 def relationships_summary(child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str,
                           severity: str = "warn") -> DataFrame:
     f = relationships_failures(child, column, parent, parent_column)
-    return f.agg(*_summary(model, "relationships", column, severity, F.count(F.lit(1))))
+    return f.agg(*summary_columns(model, "relationships", column, severity, F.count(F.lit(1))))
 
 
 def union_summaries(parts: Sequence[DataFrame]) -> DataFrame:

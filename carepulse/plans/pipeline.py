@@ -129,6 +129,13 @@ def run_declared_tests(built: dict[str, DataFrame], src: Sources) -> DataFrame:
         checks.not_null_summary(src.s_c_csi_map, "s_c_csi_map", ["s_c_csi_id"]),
         checks.relationships_summary(src.case_topic_bridge, "case_topic_bridge", "s_c_csi_id",
                                      src.s_c_csi_map, "s_c_csi_id"),
+        # fan-out guards: map keys that collide after lower/trim multiply rows
+        checks.fanout_guard(src.universal_themes_map, ["t1", "t2"], org=staging.ADVICEPRO_ORG).agg(
+            *checks.summary_columns("universal_themes_map", "fanout_guard", "t1,t2", "warn", F.count(F.lit(1)))),
+        checks.fanout_guard(src.topic_entry_point_map.withColumn("_k2", F.lit("")),
+                            ["topic_entry_point", "_k2"]).agg(
+            *checks.summary_columns("topic_entry_point_map", "fanout_guard", "topic_entry_point", "warn",
+                             F.count(F.lit(1)))),
     ]
     return checks.union_summaries(parts)
 
@@ -182,7 +189,7 @@ def run_loaders(inputs: LoaderInputs, out_dir: str, contracts_group: str, run_id
         except Exception:  # noqa: BLE001 - first run: no target yet
             existing = spark.createDataFrame([], "case_reference string")
         new = ingest.enrich_postcode(inputs.postcode_report, existing, inputs.postcode_directory)
-        append_new_rows(new, locality_target, "CASE_REFERENCE")
+        append_new_rows(new, locality_target, "CASE_REFERENCE", check_unique=True)
 
     for name, step in (("member_orgs", member_orgs), ("demographics", demographics),
                        ("external_sources", external_sources), ("locality", locality)):

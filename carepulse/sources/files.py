@@ -49,13 +49,16 @@ def read_latest_csv(spark: SparkSession, folder: str, glob: str, schema: StructT
 
 
 # A8 ---------------------------------------------------------------------------
-def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str = "parquet") -> int:
+def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str = "parquet",
+                    check_unique: bool = False) -> int:
     """Create the target if absent, else append only rows whose key is new.
 
     The anti join against the target runs in the same job as the write, so
     a rerun after a partial failure does not duplicate keys.  Single writer
     per target.  Returns the number of rows written (from an observed
-    metric, not a second pass).
+    metric, not a second pass).  ``check_unique`` then runs the unique test
+    on the target key (the incoming report itself may repeat a key) and
+    raises on duplicates; only one duplicated key is fetched for the message.
     """
     spark = new_rows.sparkSession
     try:
@@ -68,6 +71,11 @@ def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str =
     obs = Observation("appended")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append" if exists else "errorifexists").format(fmt).save(target_path)
+    if check_unique:
+        from carepulse.operators.checks import unique_failures
+        dup = unique_failures(spark.read.format(fmt).load(target_path), key).limit(1).collect()
+        if dup:
+            raise ValueError(f"duplicate {key} in {target_path}: {dup[0]['VALUE']!r}")
     return int(obs.get["n"])
 
 

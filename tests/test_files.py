@@ -61,3 +61,11 @@ def test_locality_stream(spark, tmpdir_path):
     got = sorted(tuple(r) for r in spark.read.parquet(target).select("CASE_REFERENCE", "LA_NAME").collect())
     assert got == [("C1", "LA1"), ("C3", None), ("C4", "LA1")]
     assert spark.read.parquet(target).filter(F.col("CASE_REFERENCE") == "C1").count() == 1
+
+
+def test_append_check_unique(spark, tmpdir_path):
+    import pytest
+    target = os.path.join(tmpdir_path, "loc_dup")
+    a = spark.createDataFrame([("C1", "x"), ("C1", "y")], "CASE_REFERENCE string, COUNTY string")
+    with pytest.raises(ValueError):
+        files.append_new_rows(a, target, "CASE_REFERENCE", check_unique=True)
