@@ -40,6 +40,19 @@ class Sources:
     def from_fixtures(cls, fx) -> Sources:
         return cls(**{f: getattr(fx, f) for f in cls.__dataclass_fields__})
 
+    @classmethod
+    def from_paths(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> Sources:
+        """Landed source tables ``<root>/<name>`` read with declared schemas."""
+        from carepulse.sources.schemas import SOURCE_SCHEMAS
+        from carepulse.sources.tables import scan_source
+        return cls(**{f: scan_source(spark, f"{root.rstrip('/')}/{f}", SOURCE_SCHEMAS[f], fmt)
+                      for f in cls.__dataclass_fields__})
+
+    def land(self, root: str) -> None:
+        """Write every source table under ``root`` (fixtures -> landed data)."""
+        for f in self.__dataclass_fields__:
+            getattr(self, f).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{f}")
+
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     w = df.write.mode("overwrite")

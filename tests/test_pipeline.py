@@ -52,3 +52,23 @@ def test_loaders_and_monitoring(spark, small_sf, tmpdir_path):
     stale, fresh = run_monitoring(f.table_metadata(fx), f.freshness_config(spark), f.freshness_overrides(fx),
                                   f.NOW, f.STALENESS_DATABASES)
     assert stale.count() > 0 and fresh.filter(F.col("STATUS") == "skipped").count() > 0
+
+
+def test_sources_from_landed_paths(spark, small_sf, tmpdir_path):
+    from carepulse.operators import windows as w
+    from carepulse.sources.schemas import SOURCE_SCHEMAS
+    fx = Fixtures(spark, small_sf)
+    src = Sources.from_fixtures(fx)
+    src.land(tmpdir_path + "/landed")
+    landed = Sources.from_paths(spark, tmpdir_path + "/landed")
+    for f in Sources.__dataclass_fields__:
+        assert getattr(landed, f).schema == SOURCE_SCHEMAS[f]
+    direct = registry.REGISTRY["query_source"](spark, small_sf)
+    m = registry.staging.slice_las(registry.staging.stg_la_topic_mentions(
+        registry.staging.stg_accessava(landed.accessava, landed.accessava_locality, landed.topic_entry_point_map),
+        registry.staging.stg_advicepro(landed.advicepro_casework, landed.case_topic_bridge, landed.s_c_csi_map,
+                                       landed.universal_themes_map, landed.advicepro_demographics,
+                                       landed.casework_locality),
+        registry.staging.stg_helplines(landed.helplines_aggregated_full)), [TARGET_LA])
+    got = w.family_windows(m, "query_source", AS_OF)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, direct.collect()))
