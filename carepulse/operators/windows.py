@@ -174,3 +174,77 @@ def query_segments(m, as_of, windows=WINDOWS):
 
 def query_source(m, as_of, windows=WINDOWS):
     return family_windows(m, "query_source", as_of, windows)
+
+
+# ---------------------------------------------------------------------------
+# All families from one scan (pipeline form)
+# ---------------------------------------------------------------------------
+SHARED_DIMS = ("LA_NAME", "AGE_BAND", "LOCALITY_NAME", "QUERY_MONTH", "SEGMENT", "SOURCE_SYSTEM")
+FAMILY_SETS = {
+    "activity_summary": ("LA_NAME",),
+    "legal_letters": ("LA_NAME",),
+    "demographics": ("LA_NAME", "AGE_BAND"),
+    "locality_overview": ("LA_NAME", "LOCALITY_NAME"),
+    "queries_over_time": ("LA_NAME", "QUERY_MONTH"),
+    "query_segments": ("LA_NAME", "SEGMENT"),
+    "query_source": ("LA_NAME", "SOURCE_SYSTEM"),
+}
+
+
+def family_aggregate(mentions: DataFrame, as_of, windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """Partial sums of every family in one scan: GROUPING SETS over the six
+    dimension sets, each with the row's smallest window.
+
+    One Expand feeds one map-side partial aggregate, so the mentions are read
+    and shuffled once instead of once per family; ``grouping`` flags tell a
+    NULL locality apart from "not grouped by locality".  Chatbot-only
+    measures serve the legal-letters family.
+    """
+    aa = F.col("SOURCE_SYSTEM") == SOURCE_ACCESSAVA
+    base = (mentions.select(
+        F.col("LA_NAME"),
+        F.coalesce(F.col("AGE_BAND"), F.lit(UNKNOWN_AGE)).alias("AGE_BAND"),
+        F.col("LOCALITY_NAME"),
+        F.trunc(F.col("QUERY_DATE"), "MM").alias("QUERY_MONTH"),
+        F.coalesce(F.col("SEGMENT"), F.lit(UNCATEGORISED)).alias("SEGMENT"),
+        F.col("SOURCE_SYSTEM"),
+        F.col("QUERY_COUNT").cast("bigint").alias("_q"),
+        F.when(aa, F.col("QUERY_COUNT").cast("bigint")).alias("_aa_q"),
+        F.when(aa, F.col("HAS_LETTER").cast("bigint")).alias("_aa_l"),
+        F.when(aa, F.lit(1)).alias("_aa_n"),
+        smallest_window(F.col("QUERY_DATE"), as_of, windows).alias("_min_w"))
+        .filter(F.col("_min_w").isNotNull()))
+    sets = [list(s) + ["_min_w"] for s in dict.fromkeys(FAMILY_SETS.values())]
+    return (base.groupingSets(sets, *SHARED_DIMS, "_min_w")
+            .agg(*[F.grouping(c).alias(f"_g_{c}") for c in SHARED_DIMS],
+                 F.sum("_q").alias("_q"), F.sum("_aa_q").alias("_aa_q"), F.sum("_aa_l").alias("_aa_l"),
+                 F.count("_aa_n").alias("_aa_n")))
+
+
+def families_from_aggregate(agg: DataFrame, windows: Sequence[int] = WINDOWS) -> dict[str, DataFrame]:
+    """Split the shared partial sums into the seven intermediates (small
+    data: one row per group and smallest window)."""
+    windows = tuple(sorted(set(int(w) for w in windows)))
+    ws = F.array(*[F.lit(w) for w in windows])
+    out = {}
+    for fam, dims in FAMILY_SETS.items():
+        mask = None
+        for c in SHARED_DIMS:
+            cond = F.col(f"_g_{c}") == (0 if c in dims else 1)
+            mask = cond if mask is None else mask & cond
+        rows = agg.filter(mask)
+        if fam == "query_segments":
+            rows = rows.filter(~F.col("SEGMENT").isin(*EXCLUDED_SEGMENTS))
+        rows = rows.withColumn(WINDOW_COL, F.explode(F.filter(ws, lambda w: w >= F.col("_min_w"))))
+        g = rows.groupBy(*dims, WINDOW_COL)
+        if fam == "legal_letters":
+            df = (g.agg(F.sum("_aa_q").cast("bigint").alias("QUERY_COUNT_RAW"),
+                        F.sum("_aa_l").cast("bigint").alias("HAS_LETTER_RAW"),
+                        F.sum("_aa_n").alias("_n"))
+                  .filter(F.col("_n") > 0)
+                  .select(*dims, "QUERY_COUNT_RAW", "HAS_LETTER_RAW", F.col(WINDOW_COL).cast("int").alias(WINDOW_COL)))
+        else:
+            df = g.agg(F.sum("_q").cast("bigint").alias("QUERY_COUNT_RAW")).select(
+                *dims, "QUERY_COUNT_RAW", F.col(WINDOW_COL).cast("int").alias(WINDOW_COL))
+        out[fam] = df
+    return out

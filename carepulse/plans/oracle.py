@@ -747,3 +747,4 @@ FROM postcode_report r LEFT JOIN postcode_directory d ON r."Postcode" = d.postco
 WHERE r."Postcode" IS NOT NULL AND trim(r."Postcode", {WS}) <> ''
   AND NOT EXISTS (SELECT 1 FROM casework_locality e WHERE e.case_reference = r."Case Reference")""")
 SQL["export_json"] = mart_sql("locality_overview", 12)
+SQL["trailing_windows_shared"] = intermediate_sql("query_segments")

@@ -78,10 +78,13 @@ def build_all(spark: SparkSession, src: Sources, as_of: str, las: Sequence[str],
                                                     f"{out}/helplines_advicepro_accessava")
     built["mart_la_query_summary"] = _write(marts.la_query_summary(mentions), f"{out}/mart_la_query_summary")
 
-    # windows: each family in one pass, written by window, marts slice it
+    # windows: every family and window from ONE scan of the slice (grouping
+    # sets), the small partial sums written once, then split per family;
+    # each intermediate is written by window and the marts slice it
     sliced = staging.slice_las(mentions, las)
-    for fam in windows.FAMILIES:
-        inter = _write(windows.family_windows(sliced, fam, as_of), f"{out}/int_{fam}", [windows.WINDOW_COL])
+    agg = _write(windows.family_aggregate(sliced, as_of), f"{out}/family_aggregate")
+    for fam, fam_df in windows.families_from_aggregate(agg).items():
+        inter = _write(fam_df, f"{out}/int_{fam}", [windows.WINDOW_COL])
         built[f"int_{fam}"] = inter
         for w in windows.WINDOWS:
             name = f"mart_{fam}_{w}m"

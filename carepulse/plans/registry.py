@@ -586,3 +586,9 @@ def q_export_json(spark, sf):
     files.export_json([("mart_locality_overview_12m", m)], folder)
     schema = "LA_NAME string, LOCALITY_NAME string, QUERY_COUNT_DISPLAY string, TIME_WINDOW_MONTHS int"
     return spark.read.schema(schema).json(f"{folder}/mart_locality_overview_12m")
+
+
+@register("trailing_windows_shared")
+def q_windows_shared(spark, sf):
+    agg = windows.family_aggregate(la_slice(Fixtures.of(spark, sf)), AS_OF)
+    return windows.families_from_aggregate(agg)["query_segments"]

@@ -85,3 +85,18 @@ def test_windows_property(spark, as_of, rows):
         if s:
             ref[w] = s
     assert got == ref
+
+
+def test_shared_aggregate_equals_per_family(spark):
+    m = _mentions(spark, n=600, seed=5)
+    m = m.withColumn("SEGMENT", F.element_at(F.array(F.lit("Unmapped"), F.lit("Carers"), F.lit(None).cast("string"),
+                                                     F.lit("Charging")), (F.col("QUERY_COUNT") % 4 + 1).cast("int")))
+    m = m.withColumn("LOCALITY_NAME", F.when(F.col("QUERY_COUNT") % 3 == 0, F.lit(None).cast("string"))
+                     .otherwise(F.lit("North")))
+    shared = windows.families_from_aggregate(windows.family_aggregate(m, "2026-03-31"))
+    for fam in windows.FAMILIES:
+        ref = windows.family_windows(m, fam, "2026-03-31")
+        got = shared[fam].select(*ref.columns)
+        key = lambda t: tuple(str(x) for x in t)
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, ref.collect()), key=key), fam
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in ref.schema], fam
