@@ -27,7 +27,7 @@ HEADLINE = [
     "monthly_theme_counts",
     "mart_la_query_summary",
     "activity_summary", "demographics", "legal_letters", "locality_overview",
-    "queries_over_time", "query_segments", "query_source",
+    "queries_over_time", "query_segments", "query_source", "trailing_windows_shared",
     "mart_query_source_1m", "mart_demographics_12m",
     "conversations_monthly", "conversations_total", "persona_dim", "bridge_diff",
     "test_not_null", "warn_unmapped_share", "recon_totals",

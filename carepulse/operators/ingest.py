@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
-from carepulse.functions.columns import (drift_flag, normalise_name, null_placeholders,
+from carepulse.functions.columns import (NULL_PLACEHOLDERS, drift_flag, normalise_name, null_placeholders,
                                          standardise_service_type, trim_ws)
 from carepulse.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 
@@ -29,7 +29,7 @@ def normalise_columns(df: DataFrame) -> DataFrame:
 
 
 # A4 ---------------------------------------------------------------------------
-def clean_placeholders(df: DataFrame, placeholders: Sequence[str] = ("", "[Not Specified]")) -> DataFrame:
+def clean_placeholders(df: DataFrame, placeholders: Sequence[str] = NULL_PLACEHOLDERS) -> DataFrame:
     return null_placeholders(df, placeholders)
 
 
