@@ -139,9 +139,10 @@ def unmapped_share(monthly: DataFrame, limit: str = UNMAPPED_SHARE_LIMIT, only_f
 
 
 # T7-T10 -----------------------------------------------------------------------
-def recon_model_breakdown(monthly: DataFrame, la: str, month: str) -> DataFrame:
-    return (monthly.filter((F.col("LA_NAME") == la) & (F.col("MONTH_DATE") == F.lit(month).cast("date")))
-            .groupBy("SOURCE_SYSTEM", "UT1", "UT2").agg(F.sum("QUERY_COUNT").cast("bigint").alias("N")))
+def recon_model_breakdown(monthly: DataFrame, la: str, month: str, ordered: bool = False) -> DataFrame:
+    out = (monthly.filter((F.col("LA_NAME") == la) & (F.col("MONTH_DATE") == F.lit(month).cast("date")))
+           .groupBy("SOURCE_SYSTEM", "UT1", "UT2").agg(F.sum("QUERY_COUNT").cast("bigint").alias("N")))
+    return out.orderBy(F.col("SOURCE_SYSTEM").asc_nulls_last(), F.col("N").desc_nulls_first()) if ordered else out
 
 
 def recon_helplines_raw(helplines: DataFrame, la: str, month: str) -> DataFrame:

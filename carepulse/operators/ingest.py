@@ -5,6 +5,7 @@ each operator starts from a DataFrame of what the pull returned."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,8 @@ from carepulse.functions.columns import (NULL_PLACEHOLDERS, drift_flag, normalis
                                          standardise_service_type, trim_ws)
 from carepulse.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 
+log = logging.getLogger(__name__)
+
 # --- fixed values ------------------------------------------------------------
 REPORT_PAGE_LIMIT = 1000          # casework report API returns at most this many rows
 STALE_DAYS = 30
@@ -177,8 +180,10 @@ def member_orgs(board: DataFrame, group: str, check_nonempty: bool = False) -> D
 
 
 # A15 --------------------------------------------------------------------------
-def service_type_counts(orgs: DataFrame) -> DataFrame:
-    return orgs.groupBy(F.col("service_type").alias("SERVICE_TYPE")).agg(F.count(F.lit(1)).alias("N"))
+def service_type_counts(orgs: DataFrame, ordered: bool = False) -> DataFrame:
+    """Organisations per service type (most frequent first when ordered)."""
+    out = orgs.groupBy(F.col("service_type").alias("SERVICE_TYPE")).agg(F.count(F.lit(1)).alias("N"))
+    return out.orderBy(F.col("N").desc(), F.col("SERVICE_TYPE").asc_nulls_last()) if ordered else out
 
 
 def member_orgs_summary(board: DataFrame, group: str) -> DataFrame:
@@ -194,8 +199,13 @@ def latest_snapshot(df: DataFrame, name_col: str = "file_name") -> DataFrame:
 
 
 # A17 --------------------------------------------------------------------------
-def filter_unit(signals: DataFrame, unit: str, unit_col: str = "unit") -> DataFrame:
-    return signals.filter(F.col(unit_col) == unit)
+def filter_unit(signals: DataFrame, unit: str, unit_col: str = "unit", warn_if_empty: bool = False) -> DataFrame:
+    """Signal rows of one LA; optionally log a warning when there are none
+    (a bounded probe that reads at most one row)."""
+    out = signals.filter(F.col(unit_col) == unit)
+    if warn_if_empty and out.isEmpty():
+        log.warning("no signals for %s", unit)
+    return out
 
 
 # A18 --------------------------------------------------------------------------
@@ -249,15 +259,17 @@ def findings_envelope(board: DataFrame, group: str, source: str, board_id: str,
 
 
 # A21 --------------------------------------------------------------------------
-def table_staleness(metadata: DataFrame, now: str, databases: Sequence[str], stale_days: int = STALE_DAYS) -> DataFrame:
+def table_staleness(metadata: DataFrame, now: str, databases: Sequence[str], stale_days: int = STALE_DAYS,
+                    ordered: bool = False) -> DataFrame:
     """Days since last change (day boundaries crossed) and stale/fresh."""
     now_ts = F.lit(now).cast("timestamp_ntz")
     x = metadata.filter(F.col("database").isin(list(databases)))
     days = F.datediff(now_ts.cast("date"), F.col("last_altered").cast("date"))
-    return x.select(F.col("database").alias("DATABASE"), F.col("table_name").alias("TABLE_NAME"),
-                    F.col("row_count").alias("ROW_COUNT"), F.col("last_altered").alias("LAST_ALTERED"),
-                    days.alias("DAYS_SINCE_UPDATE"),
-                    F.when(days > stale_days, F.lit("stale")).otherwise(F.lit("fresh")).alias("STATUS"))
+    out = x.select(F.col("database").alias("DATABASE"), F.col("table_name").alias("TABLE_NAME"),
+                   F.col("row_count").alias("ROW_COUNT"), F.col("last_altered").alias("LAST_ALTERED"),
+                   days.alias("DAYS_SINCE_UPDATE"),
+                   F.when(days > stale_days, F.lit("stale")).otherwise(F.lit("fresh")).alias("STATUS"))
+    return out.orderBy(F.col("DAYS_SINCE_UPDATE").desc_nulls_first()) if ordered else out
 
 
 # A22 --------------------------------------------------------------------------

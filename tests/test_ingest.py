@@ -83,3 +83,13 @@ def test_narrative_missing_la(spark):
     a = ingest.narrative_for_la(docs, "A").first()
     b = ingest.narrative_for_la(docs, "B").first()
     assert (a.TOTAL_SIGNALS, a.TOP_SIGNAL) == (3, "x") and (b.TOTAL_SIGNALS, b.TOP_SIGNAL) == (0, None)
+
+
+def test_ordered_reports(spark):
+    orgs = spark.createDataFrame([("a", "X"), ("b", "Y"), ("c", "Y")], "monday_name string, service_type string")
+    assert [r.SERVICE_TYPE for r in ingest.service_type_counts(orgs, ordered=True).collect()] == ["Y", "X"]
+    md = spark.createDataFrame([("AVA", "t1", 1, "2026-01-20 00:00:00"), ("AVA", "t2", 1, "2025-06-01 00:00:00")],
+                               "database string, table_name string, row_count long, last_altered string")
+    md = md.withColumn("last_altered", F.to_timestamp_ntz("last_altered"))
+    got = [r.TABLE_NAME for r in ingest.table_staleness(md, "2026-01-31 00:00:00", ["AVA"], ordered=True).collect()]
+    assert got == ["t2", "t1"]
