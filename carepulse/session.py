@@ -49,11 +49,19 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
             spark.conf.set(k, v)
 
 
+# Single-machine runs only: shuffles of a few MB would otherwise be coalesced
+# into 1-3 partitions and leave most cores idle.  Irrelevant at cluster scale,
+# where partitions are far above this size and CLUSTER_CONF applies.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "carepulse") -> SparkSession:
     """Build (or reuse) a local session for tests and benchmarks."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **LOCAL_CONF}.items():
         builder = builder.config(k, v)
     parts = shuffle_partitions or (8 if cores == "*" else max(2, int(cores)))
     builder = builder.config("spark.sql.shuffle.partitions", str(parts))
