@@ -89,7 +89,7 @@ def format_conversations(conversations: DataFrame, template: Template = Template
         if held is not None:
             yield _batch(_turn(template, *held, True), arrow)
 
-    return rows.mapInArrow(run, SEGMENT)
+    return C.map_arrow(rows, run, SEGMENT)
 
 
 def _turn(t: Template, conv, n: int, role: str, text: str, state: str, last: bool) -> list[tuple]:
@@ -140,4 +140,4 @@ def digests(segments: DataFrame, template: Template = Template()) -> DataFrame:
             if out:
                 yield _batch(out, arrow)
 
-    return segments.mapInArrow(run, DIGEST)
+    return C.map_arrow(segments, run, DIGEST)

@@ -11,8 +11,11 @@ Conventions that hold for every operator of this subpackage:
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +58,23 @@ def drop_table(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def map_arrow(df: DataFrame, f: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with this package sent to the executors once per application, wherever they run."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        to = Path(tempfile.mkdtemp(prefix="carepulse-code-")) / "carepulse_code.zip"  # served by the driver, not a shared file
+        with zipfile.ZipFile(to, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        sc.addPyFile(str(to))
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(f, schema)
+
+
 def result_schema(df: DataFrame, carry: list[str], result: str) -> StructType:
     """Schema of the carried columns that keep their name, then the result columns."""
     out = StructType.fromDDL(result)
@@ -83,7 +103,7 @@ def map_texts(df: DataFrame, result: str, work: Callable[[], Callable], carry: l
                 cols = [part.column(i) for i in range(n_kept)] + made
                 yield pa.RecordBatch.from_arrays([c if c.type == t.type else c.cast(t.type) for c, t in zip(cols, arrow, strict=True)], schema=arrow)
 
-    return df.select(*[df[c] for c in kept], df[text].alias("__text")).mapInArrow(run, schema)
+    return map_arrow(df.select(*[df[c] for c in kept], df[text].alias("__text")), run, schema)
 
 
 def to_arrow(schema: StructType) -> pa.Schema:

@@ -135,7 +135,7 @@ def token_counts(docs: DataFrame, block: Block) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["token", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    rows = C.map_arrow(docs.select("text"), run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(len(block.tokens), np.int64)
     for r in rows:
         out[r["token"]] = r["n"]

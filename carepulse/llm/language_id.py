@@ -74,7 +74,7 @@ def learn(docs: DataFrame, buckets: int, orders: tuple[int, ...]) -> tuple[list[
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(into[some])], names=["lang", "bucket", "n"])
 
     train = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    made = train.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    made = C.map_arrow(train, run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # the driver gets languages x buckets rows at most: a corpus with more languages than that is refused, not cut
     rows = made.toPandas()
     langs = sorted(rows["lang"].unique())

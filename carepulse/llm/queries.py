@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.llm import bpe, chat_format, decontaminate, language_id, line_dedup, quality_rules, simhash, token_counts
+from carepulse.llm import bpe, chat_format, decontaminate, language_id, line_dedup, quality_rules, simhash, suffix_dedup, token_counts
 from carepulse.llm.common import documents, table
 
 #: Vocabulary files; parameters of the operators.
@@ -14,6 +14,10 @@ BPE_FILE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir), text=False)
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
@@ -52,5 +56,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_benchmark_decontamination, op3_quality_rules, op4_chat_formatting, op5_bpe_round_trip, op6_line_dedup,
+    op1_suffix_array_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_chat_formatting, op5_bpe_round_trip, op6_line_dedup,
     op7_simhash_near_dedup, op9_language_id, op10_token_counts)}
