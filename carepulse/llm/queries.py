@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.llm import bpe, chat_format, decontaminate, language_id, line_dedup, quality_rules, simhash, suffix_dedup, token_counts
+from carepulse.llm import bpe, chat_format, decontaminate, language_id, line_dedup, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts
 from carepulse.llm.common import documents, table
 
 #: Vocabulary files; parameters of the operators.
@@ -47,6 +47,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(documents(spark, sf_dir))
 
@@ -57,4 +61,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_chat_formatting, op5_bpe_round_trip, op6_line_dedup,
-    op7_simhash_near_dedup, op9_language_id, op10_token_counts)}
+    op7_simhash_near_dedup, op8_substring_dedup, op9_language_id, op10_token_counts)}
