@@ -13,7 +13,7 @@ offsets.  Neighbouring windows with one anchor are a run (about one for each 80
 
 The mergesort merges all runs of a level at once, in numpy.  A sort group is one anchor; an anchor with more than ``GROUP`` distinct
 runs is dealt out by the hash of the window, so equal windows still meet and no task gets it whole.  Copies meet in counts that
-combine in the map tasks.  Texts are shuffled twice: for the runs to sort, and to take the repeats out.
+combine in the map tasks.  Texts cross a shuffle twice, compressed: for the runs to sort, and to take the repeats out.
 
 Null text: empty.  Rows that repeat doc_id and text are copies of each other and get the same result.
 """
@@ -24,6 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ SORT_BYTES = 2 << 20
 def find_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int) -> dict[str, np.ndarray]:
     """Runs of all texts: text, first and last window (from the text's start), anchor's offset and hash, hash of the run's bytes."""
     n = len(data)
+    if not 0 < gram <= length <= 255:
+        raise ValueError("a run's offsets are kept in eight bits")
     if n < length:
         return {k: np.zeros(0, np.int64) for k in ("doc", "first", "last", "lead", "key", "run")}
     prefix = C.prefix_hash(data)
@@ -68,8 +71,10 @@ def find_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int) -> dict
 
 
 def runs_of(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    """A row for each run.  Neighbouring equal runs of a text (a text that repeats itself) are one row with their number."""
-    result = "__id long, __sum int, first long, last long, upto long, lead long, key long, run long, n long"
+    """A row for each run.  Neighbouring equal runs of a text (a text that repeats itself) are one row.
+
+    ``shape`` packs the anchor's offset (8 bits), the last window's (8 bits) and how far equal runs go on after it."""
+    result = "__id long, __sum int, first long, shape long, key long, run long"
     from pyspark.sql.types import StructType
     schema = StructType.fromDDL(result)
     schema["__id"].dataType = keyed.schema["__id"].dataType
@@ -87,16 +92,33 @@ def runs_of(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 at = np.flatnonzero(new)
                 to = np.append(at[1:], len(new)) - 1
                 who = pa.array(r["doc"][at])
-                cols = [part.column(0).take(who), part.column(1).take(who), r["first"][at], r["last"][at], r["last"][to], r["lead"][at], r["key"][at], r["run"][at], to - at + 1]
+                shape = r["lead"][at] | (r["last"] - r["first"])[at] << 8 | r["last"][to] - r["last"][at] << 16
+                cols = [part.column(0).take(who), part.column(1).take(who), r["first"][at], shape, r["key"][at], r["run"][at]]
                 yield pa.RecordBatch.from_arrays([pa.array(c).cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
     return C.map_arrow(keyed.select("__id", "__sum", "text"), run, schema)
 
 
+def packed(keyed: DataFrame) -> DataFrame:
+    """(__id, __sum, z): each text compressed, as it crosses a shuffle."""
+    from pyspark.sql.types import BinaryType, StructField, StructType
+    schema = StructType([keyed.schema["__id"], keyed.schema["__sum"], StructField("z", BinaryType())])
+    arrow = C.to_arrow(schema)
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            z = [press(t.encode()) if t else press(b"") for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(z, pa.binary())], schema=arrow)
+
+    return C.map_arrow(keyed.select("__id", "__sum", "text"), run, schema)
+
+
 def contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of each wanted run, dealt to sort groups (key, sub)."""
-    by_doc = wanted.groupBy("__id", "__sum").agg(F.collect_list(F.struct("first", "last", "lead", "key", "c", "parts")).alias("runs"))
-    both = keyed.join(by_doc, C.same_row(keyed, by_doc)).select(keyed["__id"], keyed["__sum"], keyed["text"], "runs").dropDuplicates(["__id", "__sum"])
+    by_doc = wanted.groupBy("__id", "__sum").agg(F.collect_list(F.struct("first", "shape", "key", "c", "parts")).alias("runs"))
+    texts = packed(keyed)
+    both = texts.join(by_doc, C.same_row(texts, by_doc)).select(texts["__id"], texts["__sum"], texts["z"], "runs").dropDuplicates(["__id", "__sum"])
     from pyspark.sql.types import StructType
     schema = StructType.fromDDL("__id long, __sum int, first long, lead long, key long, c long, parts long, sub long, bytes binary")
     schema["__id"].dataType = keyed.schema["__id"].dataType
@@ -105,15 +127,16 @@ def contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for ident, check, text, runs in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                raw = text.encode()
+            for ident, check, z, runs in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                raw = zstandard.decompress(z)
                 for r in runs:
-                    own = raw[r["first"]:r["last"] + length]
+                    lead, span = r["shape"] & 255, r["shape"] >> 8 & 255
+                    own = raw[r["first"]:r["first"] + span + length]
                     subs = [0]
                     if r["parts"] > 1:
                         prefix = C.prefix_hash(np.frombuffer(own, np.uint8))
                         subs = np.unique(_part(prefix, np.arange(len(own) - length + 1), length, r["parts"])).tolist()
-                    out += [(ident, check, r["first"], r["lead"], r["key"], r["c"], r["parts"], s, own) for s in subs]
+                    out += [(ident, check, r["first"], lead, r["key"], r["c"], r["parts"], s, own) for s in subs]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
@@ -139,11 +162,15 @@ def common_extension(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, length: i
     return have
 
 
-def compare(data: np.ndarray, prefix: np.ndarray, whole: np.ndarray, start: np.ndarray, i: np.ndarray, j: np.ndarray, length: int) -> np.ndarray:
-    """-1, 0 or 1 for suffixes i and j."""
+def compare(data: np.ndarray, front: np.ndarray, prefix: np.ndarray, whole: np.ndarray, start: np.ndarray, i: np.ndarray, j: np.ndarray, length: int) -> np.ndarray:
+    """-1, 0 or 1 for suffixes i and j; ``front`` has the eight bytes from each place on as a number."""
     out = np.zeros(len(i), np.int8)
     differ = np.flatnonzero(whole[i] != whole[j])
     a, b = start[i[differ]], start[j[differ]]
+    x, y = front[a], front[b]
+    soon = x != y  # within the first eight bytes
+    out[differ[soon]] = np.where(x < y, -1, 1)[soon]
+    differ, a, b = differ[~soon], a[~soon], b[~soon]
     have = common_extension(prefix, a, b, length)
     ends = have >= length
     x, y = data[a + np.where(ends, 0, have)], data[b + np.where(ends, 0, have)]
@@ -153,6 +180,9 @@ def compare(data: np.ndarray, prefix: np.ndarray, whole: np.ndarray, start: np.n
 
 def suffix_sort(data: np.ndarray, prefix: np.ndarray, whole: np.ndarray, start: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """Order of the suffixes by group, then bytes: a bottom-up mergesort, all merges of a level at once."""
+    front = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        front[:len(data) - k] |= data[k:].astype(np.uint64) << np.uint64(56 - 8 * k)
     order = np.argsort(group, kind="stable")
     sorted_group = group[order]
     begin = np.searchsorted(sorted_group, sorted_group)
@@ -170,7 +200,7 @@ def suffix_sort(data: np.ndarray, prefix: np.ndarray, whole: np.ndarray, start:
         busy = np.flatnonzero(lo < hi)
         while len(busy):
             mid = (lo[busy] + hi[busy]) // 2
-            c = compare(data, prefix, whole, start, own[busy], order[mid], length)
+            c = compare(data, front, prefix, whole, start, own[busy], order[mid], length)
             after = (c > 0) | ((c == 0) & right[busy])
             lo[busy] = np.where(after, mid + 1, lo[busy])
             hi[busy] = np.where(after, hi[busy], mid)
@@ -190,9 +220,10 @@ def repeated(rows: dict[str, np.ndarray], data: np.ndarray, off: np.ndarray, len
     mine = _part(prefix, start, length, rows["parts"][row]) == rows["sub"][row]
     row, window, start = row[mine], window[mine], start[mine]
     whole = C.slice_hash(prefix, start, start + length)
-    # suffixes of one anchor at one offset from it
-    _, group = np.unique(np.stack([rows["key"][row], rows["sub"][row], rows["lead"][row] - window]), axis=1, return_inverse=True) if len(row) else (None, np.zeros(0, np.int64))
-    group = group.reshape(-1)
+    # suffixes of one anchor (rows come sorted by it) at one offset from it
+    new = np.ones(len(rows["key"]), bool)
+    new[1:] = (rows["key"][1:] != rows["key"][:-1]) | (rows["sub"][1:] != rows["sub"][:-1])
+    group = np.cumsum(new)[row] * 512 + 256 + rows["lead"][row] - window
     some = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
     row, window, start, whole, group = row[some], window[some], start[some], whole[some], group[some]
     order = suffix_sort(data, prefix, whole, start, group, length)
@@ -280,15 +311,18 @@ def _pieces(rows: pa.Table):
 def repeats(keyed: DataFrame, length: int, gram: int, group: int) -> DataFrame:
     """(__id, __sum, a, b): first and last window of stretches of repeats."""
     runs = runs_of(keyed, length, gram)
-    anchors = runs.groupBy("key").agg(F.sum("n").alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")).where("total > 1").select("key", (F.col("lo") != F.col("hi")).alias("several"))
+    more = F.shiftright("shape", 16)
+    times = F.when(more > 0, 2).otherwise(1)  # only one or several matters
+    anchors = runs.groupBy("key").agg(F.sum(times).alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")).where("total > 1").select("key", (F.col("lo") != F.col("hi")).alias("several"))
     shared = C.checkpoint_table(runs.join(anchors, "key"), "runs")
     several = shared.where("several")
-    distinct = several.groupBy("key", "run").agg(F.sum("n").alias("c"), F.min(F.struct("__id", "__sum", "first", "last", "lead")).alias("one"))
+    distinct = several.groupBy("key", "run").agg(F.sum(times).alias("c"), F.min(F.struct("__id", "__sum", "first", "shape")).alias("one"))
     parts = distinct.groupBy("key").agg(F.ceil(F.count("*") / group).cast("long").alias("parts"))
     wanted = C.checkpoint_table(distinct.join(parts, "key").select("one.*", "key", "run", "c", "parts"), "wanted")
     copied = several.join(wanted.where("c > 1").select("key", "run"), ["key", "run"], "left_semi")
     sorted_out = sort_groups(contexts(keyed, wanted, length), length)
-    whole = shared.where("not several").unionByName(copied).select("__id", "__sum", F.col("first").alias("a"), F.col("upto").alias("b"))
+    last = F.col("first") + F.shiftright("shape", 8).bitwiseAND(F.lit(255)) + more
+    whole = shared.where("not several").unionByName(copied).select("__id", "__sum", F.col("first").alias("a"), last.alias("b"))
     return whole.unionByName(sorted_out)
 
 
@@ -296,15 +330,16 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group:
     """Every document with n_bytes, n_removed, n_spans, kept_sha256 and with ``text`` the ``kept`` bytes (removal can cut a character)."""
     keyed = C.row_key(docs.select("doc_id", "text"))
     found = repeats(keyed, length, gram, group).groupBy("__id", "__sum").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    both = keyed.join(found, C.same_row(keyed, found), "left").select(keyed["doc_id"], keyed["text"], "spans")
+    texts = packed(keyed)
+    both = texts.join(found, C.same_row(texts, found), "left").select(texts["__id"], texts["z"], "spans")
     schema = C.result_schema(docs, ["doc_id"], "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * text)
     arrow = C.to_arrow(schema)
 
     def run(batches):
         for batch in batches:
             out = []
-            for raw, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = (raw or "").encode()
+            for z, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                raw = zstandard.decompress(z)
                 kept, at, n_spans, end = [], 0, 0, -1
                 for a, b in sorted((s["a"], s["b"] + length) for s in spans or ()):
                     if a > end:
