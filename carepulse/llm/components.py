@@ -12,7 +12,7 @@ def connected_components(edges: DataFrame, name: str = "stars") -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b); root is the component's smallest node.
 
     Each round hangs nodes on the smallest neighbour; rounds grow with the logarithm of the longest path.  Minima combine
-    in the map tasks and a hot node's join can be split, so no task gathers a component.  Each round is a table in
+    in the map tasks; they are tables of their own, so that a hot node's join is of two shuffles and can be split: no task gathers a component.  Each round is a table in
     the checkpoint folder.  Null nodes and loops are ignored.  Only three numbers a round reach the driver.
     """
     now = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -36,12 +36,12 @@ def _mark(e: DataFrame) -> tuple:
 def _large(e: DataFrame) -> DataFrame:
     """Larger neighbours of each node hang on the smallest one around it."""
     both = e.union(e.select("b", "a"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = C.checkpoint_table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small(e: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and itself, hang on the smallest; edges run from the larger to the smaller node."""
-    least = e.groupBy("a").agg(F.min("b").alias("m"))
+    least = C.checkpoint_table(e.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = e.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", "m")).distinct()

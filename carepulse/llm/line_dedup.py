@@ -45,11 +45,12 @@ def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES
     """Every document with ``text`` as kept, n_lines and n_removed, after the columns in ``carry`` (doc_id)."""
     carry = ["doc_id"] if carry is None else carry
     every = lines(docs, site)
-    often = every.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("h")
+    # tables of their own: a join of two shuffles can be split where a hash is hot, a join on an aggregate's own shuffle can't
+    often = C.checkpoint_table(every.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("h"), "often")
     repeated = C.checkpoint_table(every.join(often, "h"), "repeated")
     bad = C.checkpoint_table(boilerplate(repeated, min_sites), "boilerplate")
     found = repeated.join(bad, "h")
-    first = found.groupBy("h").agg(F.min(F.struct("__id", "__sum", "pos")).alias("first"))
+    first = C.checkpoint_table(found.groupBy("h").agg(F.min(F.struct("__id", "__sum", "pos")).alias("first")), "first")
     gone = found.join(first, "h").where(~F.struct("__id", "__sum", "pos").eqNullSafe(F.col("first")))
     cut = gone.groupBy("__id", "__sum").agg(F.collect_set("pos").alias("gone"))
     keyed = C.row_key(docs)

@@ -109,6 +109,7 @@ def links(fps: DataFrame, bits: int = BITS, groups: int = GROUPS) -> DataFrame:
         raise ValueError("the exact check is for distances of 1 or 2 bits")
     every = cells(fps, bits, groups)
     shared = every.groupBy("grid", "cell", "place").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo != hi").drop("lo", "hi")
+    shared = C.checkpoint_table(shared, "cells")  # so that the join is of two shuffles and a hot cell can be split
     some = every.join(shared, ["grid", "cell", "place"], "left_semi").select("fp").distinct()
     # within 2 bits: a common value within 1 bit; within 1: each other's value with one fixed bit position cleared
     flips = [_long(1 << k) for k in range(64)]
