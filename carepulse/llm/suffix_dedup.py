@@ -314,7 +314,8 @@ def repeats(keyed: DataFrame, length: int, gram: int, group: int) -> DataFrame:
     more = F.shiftright("shape", 16)
     times = F.when(more > 0, 2).otherwise(1)  # only one or several matters
     anchors = runs.groupBy("key").agg(F.sum(times).alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")).where("total > 1").select("key", (F.col("lo") != F.col("hi")).alias("several"))
-    shared = C.checkpoint_table(runs.join(anchors, "key"), "runs")
+    # a table of its own: a join of two shuffles can be split where an anchor is hot, a join on an aggregate's own shuffle can't
+    shared = C.checkpoint_table(runs.join(C.checkpoint_table(anchors, "anchors"), "key"), "runs")
     several = shared.where("several")
     distinct = several.groupBy("key", "run").agg(F.sum(times).alias("c"), F.min(F.struct("__id", "__sum", "first", "shape")).alias("one"))
     parts = distinct.groupBy("key").agg(F.ceil(F.count("*") / group).cast("long").alias("parts"))
