@@ -25,7 +25,7 @@ from pyspark.sql.types import StructType
 from carepulse.session import ensure_checkpoint_dir
 
 #: Texts handled together in one numpy pass, in bytes.  A longer text is a pass of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 #: Base of the polynomial hashes modulo 2**64 and its inverse (both odd, so powers never vanish).

@@ -56,8 +56,8 @@ def fingerprints(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> n
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(raw[a:b], SEED) for a, b in zip(at[word].tolist(), (at[last] + length[last]).tolist(), strict=True)], np.uint64)
     ones = np.zeros((len(have), 64), np.int64)
-    for a in range(0, len(h), 1 << 17):  # in steps: 64 counters a shingle
-        part = np.unpackbits(h[a:a + (1 << 17)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for a in range(0, len(h), 1 << 14):  # in steps: 64 counters a shingle
+        part = np.unpackbits(h[a:a + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         lo = int(np.searchsorted(begin[have], a, "right")) - 1
         hi = int(np.searchsorted(begin[have], a + len(part)))
         ones[lo:hi] += np.add.reduceat(part, np.maximum(begin[have][lo:hi] - a, 0), axis=0, dtype=np.int64)
