@@ -58,4 +58,4 @@ def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES
     all_lines = F.split(keyed["text"], "\n")
     kept = F.when(cut["gone"].isNull(), keyed["text"]).otherwise(F.array_join(F.filter(all_lines, lambda _, i: ~F.array_contains(cut["gone"], i)), "\n"))
     return keyed.join(cut, C.same_row(keyed, cut), "left").select(
-        *[keyed[c] for c in kept_cols], kept.alias("text"), F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+        *[keyed[c] for c in kept_cols], kept.alias("text"), F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(cut["gone"]), F.lit(0)).cast("long").alias("n_removed"))

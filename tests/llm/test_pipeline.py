@@ -1,0 +1,37 @@
+"""The pipeline's stages, each on the whole of what the one before kept."""
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from carepulse.llm.queries import QUERIES
+
+
+def test_queries_are_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+
+
+def test_stages_on_messy_rows(spark, messy, docs, small_sf):
+    """Every stage keeps the columns of documents and takes any rows; what stays is what its operator says."""
+    plain = docs.select(corpus_pipeline.COLUMNS)
+    for frame in (plain, plain.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, frame, small_sf)
+            assert out.schema.names == corpus_pipeline.COLUMNS, name
+            assert [f.dataType for f in out.schema] == [f.dataType for f in frame.schema], name
+            assert out.count() <= frame.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, frame, small_sf).count() == frame.count()
+
+
+def test_near_duplicates_keep_one_of_each_group(spark, docs, messy, small_sf):
+    from carepulse.llm.simhash import simhash_groups
+    plain = docs.select(corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.near_duplicates(spark, plain, small_sf).collect()
+    groups = simhash_groups(plain).select("component_id").distinct().count()
+    assert len(kept) == groups
+
+
+def test_run(spark, small_sf):
+    rows = corpus_pipeline.run(spark, small_sf).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{small_sf}/documents.parquet").collect()}
+    assert 0 < len(rows) < len(docs) and {r.doc_id for r in rows} <= set(docs)
+    assert all(len(r.ids) == r.n_tokens for r in rows)
