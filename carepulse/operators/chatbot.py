@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carepulse.functions.columns import regex_literal
-from carepulse.operators.lookup import maybe_broadcast
 from carepulse.session import ensure_checkpoint_dir
 
 PERSONA_SEPARATOR = ";"
@@ -99,7 +98,7 @@ def dense_keys(values: DataFrame, value_col: str, key_col: str, num_partitions:
         .alias("_offset"))
     offsets = offsets.fillna(0, subset=["_offset"])
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(F.col(value_col).asc()))
-    keyed = ranged.withColumn("_local", local).join(maybe_broadcast(offsets, 1_000_000), "_pid")
+    keyed = ranged.withColumn("_local", local).join(F.broadcast(offsets), "_pid")
     return keyed.select((F.col("_offset") + F.col("_local")).cast("bigint").alias(key_col), F.col(value_col))
 
 
@@ -110,13 +109,14 @@ def persona_dim(bridge: DataFrame, num_partitions: int | None = None) -> DataFra
 
 # P6 ---------------------------------------------------------------------------
 def bridge_diff(rebuilt: DataFrame, existing: DataFrame) -> DataFrame:
-    """Row-level multiset difference both ways, tagged with DIFF_SIDE.
-
-    ``exceptAll`` keeps duplicates (one unmatched copy per extra row)."""
+    """Row-level multiset difference both ways, tagged with DIFF_SIDE (one
+    unmatched copy per extra row): every distinct row's copies are counted
+    with opposite signs in one aggregate."""
     cols = rebuilt.columns
-    added = rebuilt.exceptAll(existing.select(*cols)).withColumn("DIFF_SIDE", F.lit("only_rebuilt"))
-    removed = existing.select(*cols).exceptAll(rebuilt).withColumn("DIFF_SIDE", F.lit("only_existing"))
-    return added.unionByName(removed)
+    both = rebuilt.withColumn("_d", F.lit(1)).unionByName(existing.select(*cols).withColumn("_d", F.lit(-1)))
+    extra = both.groupBy(*cols).agg(F.sum("_d").alias("_d")).filter(F.col("_d") != 0)
+    side = F.when(F.col("_d") > 0, F.lit("only_rebuilt")).otherwise(F.lit("only_existing"))
+    return extra.select(*cols, side.alias("DIFF_SIDE"), F.explode(F.sequence(F.lit(1), F.abs("_d"))).alias("_i")).drop("_i")
 
 
 def legacy_persona_bridge(accessava: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carepulse.functions.columns import parse_open_month
 from carepulse.operators.staging import UNMAPPED
 
 # --- fixed values ------------------------------------------------------------
@@ -88,8 +87,10 @@ def relationships_failures(child: DataFrame, column: str, parent: DataFrame, par
 
 def relationships_summary(child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str,
                           severity: str = "warn") -> DataFrame:
-    f = relationships_failures(child, column, parent, parent_column)
-    return f.agg(*summary_columns(model, "relationships", column, severity, F.count(F.lit(1))))
+    """Children are counted by key first, so the join sees each key once and a hot key is one row."""
+    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    orphans = keys.join(parent.select(F.col(parent_column).alias("_parent_key")), F.col(column) == F.col("_parent_key"), "left_anti")
+    return orphans.agg(*summary_columns(model, "relationships", column, severity, F.coalesce(F.sum("_n"), F.lit(0))))
 
 
 def union_summaries(parts: Sequence[DataFrame]) -> DataFrame:
@@ -145,22 +146,26 @@ def recon_model_breakdown(monthly: DataFrame, la: str, month: str, ordered: bool
     return out.orderBy(F.col("SOURCE_SYSTEM").asc_nulls_last(), F.col("N").desc_nulls_first()) if ordered else out
 
 
+def _in_month(column: str, month: str) -> Column:
+    """Half-open range on the bare column, which reaches the scan."""
+    first = F.lit(month).cast("date")
+    return (F.col(column) >= first) & (F.col(column) < F.add_months(first, 1))
+
+
 def recon_helplines_raw(helplines: DataFrame, la: str, month: str) -> DataFrame:
-    return (helplines.filter((F.col("la_name") == la)
-                             & (F.trunc(F.col("month_date").cast("date"), "MM") == F.lit(month).cast("date")))
+    return (helplines.filter((F.col("la_name") == la) & _in_month("month_date", month))
             .groupBy(F.col("ut1").alias("UT1")).agg(F.sum("n").cast("bigint").alias("N")))
 
 
 def recon_accessava_raw(accessava: DataFrame, la: str, month: str) -> DataFrame:
-    return (accessava.filter((F.col("la_name") == la)
-                             & (F.trunc(F.col("created_at").cast("date"), "MM") == F.lit(month).cast("date")))
+    return (accessava.filter((F.col("la_name") == la) & _in_month("created_at", month))
             .agg(F.count(F.lit(1)).alias("CONVERSATIONS"),
                  F.count("topic_entry_point").alias("WITH_ENTRY_POINT")))
 
 
 def recon_advicepro_raw(casework: DataFrame, bridge: DataFrame, la: str, month: str) -> DataFrame:
-    c = casework.filter((F.col("la_name") == la)
-                        & (parse_open_month("case_open_month") == F.lit(month).cast("date")))
+    # the two spellings that parse_open_month reads as this month, so the scan can filter the text
+    c = casework.filter((F.col("la_name") == la) & F.col("case_open_month").isin(month[:7].replace("-", "/"), month[:7]))
     x = c.select("case_reference").join(bridge.select("case_reference", "s_c_csi_id"), "case_reference")
     return x.agg(F.count(F.lit(1)).alias("TOPIC_PAIRS"), F.count("s_c_csi_id").alias("RESOLVED_TO_TAXONOMY"))
 

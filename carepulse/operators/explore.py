@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carepulse.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, maybe_broadcast
+from carepulse.operators.lookup import lookup_join
 
 # --- fixed values ------------------------------------------------------------
 NOT_RECORDED = ("[Not Specified]", "Not Stated")   # recoded to NULL in casework features
@@ -39,8 +39,7 @@ def unpivot_features(df: DataFrame, ids: Sequence[str], values: Sequence[str] |
 
 
 # X3 ---------------------------------------------------------------------------
-def map_features(long: DataFrame, value_map: DataFrame, on: Sequence[str],
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def map_features(long: DataFrame, value_map: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join on ``on`` where NULL matches NULL (natural-join semantics of
     the analysis).  Null-safe equality still plans as a hash join."""
     m = value_map.select(*[F.col(c).alias(f"_m_{c}") for c in value_map.columns])
@@ -48,7 +47,7 @@ def map_features(long: DataFrame, value_map: DataFrame, on: Sequence[str],
     for c in on:
         e = F.col(c).eqNullSafe(F.col(f"_m_{c}"))
         cond = e if cond is None else cond & e
-    j = long.join(maybe_broadcast(m, max_broadcast_rows), cond, "left")
+    j = lookup_join(long, m, cond, "left")
     extra = [c for c in value_map.columns if c not in on]
     return j.select(*long.columns, *[F.col(f"_m_{c}").alias(c) for c in extra])
 
@@ -139,16 +138,17 @@ def season_table(series: DataFrame) -> DataFrame:
 
 # X11 / X12 --------------------------------------------------------------------
 def top_k_breakdown(combined: DataFrame, key: str, k: int = 20, drop_blank: bool = True) -> DataFrame:
-    """Top-k keys by row count (key breaks ties), then counts by source within
-    them.  The top-k list has at most k rows, so it is broadcast."""
+    """Top-k keys by row count (key breaks ties), and their counts by source.
+
+    Rows are counted once, by key and source; a key's list of sources is as
+    long as there are sources, and the k largest keys are picked from those."""
     keep = F.col(key).isNotNull()
     if drop_blank:
         keep = keep & (F.col(key) != "")
-    top = (combined.filter(keep).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .orderBy(F.col("_n").desc(), F.col(key).asc()).limit(k).select(key))
-    return (combined.join(F.broadcast(top), key, "left_semi")
-            .groupBy(F.col("source").alias("SOURCE"), F.col(key).alias(key.upper()))
-            .agg(F.count(F.lit(1)).alias("N")))
+    counts = combined.filter(keep).groupBy(key, "source").agg(F.count(F.lit(1)).alias("N"))
+    top = (counts.groupBy(key).agg(F.sum("N").alias("_n"), F.collect_list(F.struct(F.col("source").alias("SOURCE"), "N")).alias("_by"))
+           .orderBy(F.col("_n").desc(), F.col(key).asc()).limit(k))
+    return top.select(F.col(key).alias(key.upper()), F.explode("_by").alias("_x")).select("_x.SOURCE", key.upper(), "_x.N")
 
 
 def top_k_categories(combined: DataFrame, k: int = 20) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.types import IntegerType, MapType, StringType, StructField, Str
 
 from carepulse.functions.columns import (NULL_PLACEHOLDERS, drift_flag, normalise_name, null_placeholders,
                                          standardise_service_type, trim_ws)
-from carepulse.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from carepulse.operators.lookup import lookup_join
 
 log = logging.getLogger(__name__)
 
@@ -82,8 +82,7 @@ def incremental_new_keys(incoming: DataFrame, existing: DataFrame, key: str) ->
 
 # A7 ---------------------------------------------------------------------------
 def enrich_postcode(report: DataFrame, existing: DataFrame, directory: DataFrame,
-                    key: str = "case_reference", postcode: str = "postcode",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    key: str = "case_reference", postcode: str = "postcode") -> DataFrame:
     """New cases with a postcode, joined to the postcode directory.
 
     Blank/NULL postcodes are dropped; cases already in the target are
@@ -94,7 +93,10 @@ def enrich_postcode(report: DataFrame, existing: DataFrame, directory: DataFrame
     r = normalise_columns(report).select(key, postcode)
     r = r.filter(F.col(postcode).isNotNull() & (trim_ws(F.col(postcode)) != ""))
     r = incremental_new_keys(r, existing, key)
-    out = lookup_join(r, directory, postcode, "left", max_broadcast_rows).drop(postcode)
+    # one row per postcode: a directory that repeats one must not repeat cases
+    rest = [c for c in directory.columns if c != postcode]
+    once = directory.groupBy(postcode).agg(F.min(F.struct(*rest)).alias("_d")).select(postcode, *[F.col(f"_d.{c}").alias(c) for c in rest])
+    out = lookup_join(r, once, postcode, "left").drop(postcode)
     return out.toDF(*[c.upper() for c in out.columns])
 
 
@@ -261,14 +263,15 @@ def findings_envelope(board: DataFrame, group: str, source: str, board_id: str,
 # A21 --------------------------------------------------------------------------
 def table_staleness(metadata: DataFrame, now: str, databases: Sequence[str], stale_days: int = STALE_DAYS,
                     ordered: bool = False) -> DataFrame:
-    """Days since last change (day boundaries crossed) and stale/fresh."""
+    """Days since last change (day boundaries crossed) and stale/fresh; a table without a change time is neither."""
     now_ts = F.lit(now).cast("timestamp_ntz")
     x = metadata.filter(F.col("database").isin(list(databases)))
     days = F.datediff(now_ts.cast("date"), F.col("last_altered").cast("date"))
     out = x.select(F.col("database").alias("DATABASE"), F.col("table_name").alias("TABLE_NAME"),
                    F.col("row_count").alias("ROW_COUNT"), F.col("last_altered").alias("LAST_ALTERED"),
                    days.alias("DAYS_SINCE_UPDATE"),
-                   F.when(days > stale_days, F.lit("stale")).otherwise(F.lit("fresh")).alias("STATUS"))
+                   F.when(days > stale_days, F.lit("stale")).when(days.isNull(), F.lit("unknown"))
+                    .otherwise(F.lit("fresh")).alias("STATUS"))
     return out.orderBy(F.col("DAYS_SINCE_UPDATE").desc_nulls_first()) if ordered else out
 
 
@@ -283,26 +286,22 @@ def source_freshness(loaded: DataFrame, source_config: DataFrame, table_override
 
     ``loaded``: (database, table_name, loaded_at).  ``source_config``: one row
     per database with warn_count, warn_period, error_count, error_period
-    (NULLs = no check).  ``table_overrides``: (table_name, enabled, warn_*,
-    error_*) replacing the database setting; enabled = false disables it.
-    Both configs are small lookups joined with a size check.
+    (NULLs = no check).  ``table_overrides``: (database, table_name, enabled,
+    warn_*, error_*), one row per table; a threshold it gives replaces the
+    database's, one it leaves out (NULL) stays; enabled = false disables the
+    check.  A table without a load time has status unknown.
     """
     now_ts = F.lit(now).cast("timestamp_ntz")
-    cfg = source_config.select("database", *[F.col(c).alias(f"s_{c}") for c in
-                                              ("warn_count", "warn_period", "error_count", "error_period")])
-    ov = table_overrides.select("table_name", F.col("enabled").alias("o_enabled"),
-                                *[F.col(c).alias(f"o_{c}") for c in
-                                  ("warn_count", "warn_period", "error_count", "error_period")])
+    parts = ("warn_count", "warn_period", "error_count", "error_period")
+    cfg = source_config.select("database", *[F.col(c).alias(f"s_{c}") for c in parts])
+    ov = table_overrides.select("database", "table_name", F.col("enabled").alias("o_enabled"), *[F.col(c).alias(f"o_{c}") for c in parts])
     x = lookup_join(loaded, cfg, "database", "left")
-    x = lookup_join(x, ov, "table_name", "left")
-    use_ov = F.col("o_enabled").isNotNull()
-    warn = F.when(use_ov, _threshold_seconds(F.col("o_warn_count"), F.col("o_warn_period"))) \
-        .otherwise(_threshold_seconds(F.col("s_warn_count"), F.col("s_warn_period")))
-    err = F.when(use_ov, _threshold_seconds(F.col("o_error_count"), F.col("o_error_period"))) \
-        .otherwise(_threshold_seconds(F.col("s_error_count"), F.col("s_error_period")))
+    x = lookup_join(x, ov, ["database", "table_name"], "left")
+    warn, err = (F.coalesce(*[_threshold_seconds(F.col(f"{side}_{k}_count"), F.col(f"{side}_{k}_period")) for side in "os"]) for k in ("warn", "error"))
     enabled = F.coalesce(F.col("o_enabled"), F.lit(True)) & (warn.isNotNull() | err.isNotNull())
     age = F.timestamp_diff("SECOND", F.col("loaded_at").cast("timestamp_ntz"), now_ts)
     status = (F.when(~enabled, F.lit("skipped"))
+              .when(age.isNull(), F.lit("unknown"))
               .when(err.isNotNull() & (age > err), F.lit("error"))
               .when(warn.isNotNull() & (age > warn), F.lit("warn"))
               .otherwise(F.lit("pass")))

@@ -1,11 +1,12 @@
-"""Size-checked lookup joins.
+"""Lookup joins.
 
 Lookup tables (taxonomy maps, postcode directories, value maps) are small in
-practice but nothing guarantees it.  ``lookup_join`` broadcasts the lookup
-only after a bounded probe proves it has at most ``max_rows`` rows; beyond
-that it falls back to an ordinary shuffle join that AQE may still convert.
-The probe is ``limit(max_rows + 1).count()``: it stops reading as soon as the
-bound is exceeded, so it never scans more than ``max_rows + 1`` rows of output.
+practice but nothing guarantees it, so a lookup is joined like any other
+table: Spark broadcasts it when its size in bytes is below the session's
+``autoBroadcastJoinThreshold``, from statistics or, with adaptive execution,
+from the bytes its shuffle wrote.  Beyond that it stays a shuffle join whose
+hot keys (an unmatched NULL key among them) adaptive execution splits.  No
+job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -15,79 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for broadcasting a lookup side: ~200k short rows is a few MB.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
+def literal_lookup(df: DataFrame) -> DataFrame:
+    """A frame whose rows are written in the source, and so bounded: always broadcast."""
+    return F.broadcast(df)
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe).
 
-    What a probe learns (an exact small count, or "more than n") is kept on
-    the DataFrame object, so a lookup used by several joins of one plan is
-    probed once; ``mark_bounded`` records a bound known without a job.
-    """
-    upper = getattr(df, "_carepulse_rows_at_most", None)
-    if upper is not None and upper <= max_rows:
-        return True
-    more = getattr(df, "_carepulse_rows_more_than", None)
-    if more is not None and more >= max_rows:
-        return False
-    n = df.limit(max_rows + 1).count()
-    try:
-        if n <= max_rows:
-            df._carepulse_rows_at_most = n
-        else:
-            df._carepulse_rows_more_than = max_rows
-    except AttributeError:
-        pass
-    return n <= max_rows
-
-
-def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Record a proven row bound (e.g. a frame built from literal rows)."""
-    df._carepulse_rows_at_most = rows
-    return df
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    probe: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint when the size bound is proven, else the frame unchanged.
-
-    ``probe`` may be the frame ``df`` was derived from by projection and
-    filtering only (never more rows), so one probe serves every derivation.
-    """
-    return F.broadcast(df) if has_at_most(df if probe is None else probe, max_rows) else df
-
-
-def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Column,
-                how: str = "left", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                probe: DataFrame | None = None) -> DataFrame:
-    """Join a (usually small) lookup on to a fact table.
-
-    Broadcasting keeps the fact side's partitioning, so a chain of lookups
-    after a shuffle join adds no further exchange.  For a left join the
-    lookup must be the right side, which is the side Spark can broadcast.
-
-    When the lookup is too large to broadcast, a left join on named keys
-    sends fact rows with a NULL key around the join (they cannot match):
-    in a shuffle join they would all hash to one reducer, and unmatched
-    drift rows can be a large share of the fact table.
-    """
-    if has_at_most(lookup if probe is None else probe, max_rows):
-        return fact.join(F.broadcast(lookup), on, how)
-    if how in ("left", "left_outer", "leftouter") and not isinstance(on, Column):
-        keys = [on] if isinstance(on, str) else list(on)
-        return _left_join_null_keys_aside(fact, lookup, keys)
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Column, how: str = "left") -> DataFrame:
+    """Join a lookup on to a fact table; for a left join the lookup is the side Spark can broadcast."""
     return fact.join(lookup, on, how)
-
-
-def _left_join_null_keys_aside(fact: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    any_null = None
-    for k in keys:
-        c = F.col(k).isNull()
-        any_null = c if any_null is None else any_null | c
-    joined = fact.filter(~any_null).join(lookup, list(keys), "left")
-    extra = [f for f in lookup.schema.fields if f.name not in keys]
-    aside = fact.filter(any_null).select(*[F.col(c) for c in fact.columns],
-                                         *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return joined.unionByName(aside)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carepulse.functions.columns import parse_open_month, regex_literal, taxonomy_key
-from carepulse.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from carepulse.operators.lookup import lookup_join
 
 # --- fixed values ------------------------------------------------------------
 TOPIC_SEPARATOR = "; "           # topic_entry_point list separator
@@ -63,8 +63,7 @@ def normalise_topic_map(topic_map: DataFrame) -> DataFrame:
 
 
 def map_topic_to_theme(mentions: DataFrame, topic_map: DataFrame, list_col: str = "topic_entry_point",
-                       value_col: str = "topic_value",
-                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                       value_col: str = "topic_value") -> DataFrame:
     """Left join on lower(topic) = lower(trim(map key)); adds SEGMENT and UT2.
 
     SEGMENT = 'Unmatched' when the source list was NULL, else the map's UT1 or
@@ -73,7 +72,7 @@ def map_topic_to_theme(mentions: DataFrame, topic_map: DataFrame, list_col: str
     """
     m = normalise_topic_map(topic_map)
     x = mentions.withColumn("_topic_key", F.lower(F.col(value_col)))
-    x = lookup_join(x, m, "_topic_key", "left", max_broadcast_rows, probe=topic_map)
+    x = lookup_join(x, m, "_topic_key", "left")
     segment = (F.when(F.col(list_col).isNull(), F.lit(UNMATCHED))
                .otherwise(F.coalesce(F.col("_ut1"), F.lit(UNMAPPED))))
     return (x.withColumn("SEGMENT", segment)
@@ -82,8 +81,7 @@ def map_topic_to_theme(mentions: DataFrame, topic_map: DataFrame, list_col: str
 
 
 # B3 --------------------------------------------------------------------------
-def stg_accessava(accessava: DataFrame, locality: DataFrame, topic_map: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def stg_accessava(accessava: DataFrame, locality: DataFrame, topic_map: DataFrame) -> DataFrame:
     """Chatbot conversations at topic-mention grain, mapped to UT1/UT2.
 
     The locality join runs at conversation grain, before the explode, so the
@@ -94,7 +92,7 @@ def stg_accessava(accessava: DataFrame, locality: DataFrame, topic_map: DataFram
     loc = locality.select("transcript_id", "county")
     conv = conv.join(loc, "transcript_id", "left")
     x = explode_topics(conv, la_col=None)
-    x = map_topic_to_theme(x, topic_map, max_broadcast_rows=max_broadcast_rows)
+    x = map_topic_to_theme(x, topic_map)
     return x.select(*_interface({
         "LA_NAME": F.col("la_name"),
         "QUERY_DATE": F.col("created_at").cast("date"),
@@ -120,20 +118,19 @@ def case_theme_keys(supercategory: Column, category: Column, issue: Column) -> t
 
 
 def map_case_to_theme(rows: DataFrame, csi_map: DataFrame, themes_map: DataFrame,
-                      id_col: str = "s_c_csi_id",
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      id_col: str = "s_c_csi_id") -> DataFrame:
     """Taxonomy id -> (supercategory, category, issue) -> UT1/UT2 (advicepro rows
     of the themes map only).  Adds SEGMENT ('Unmapped' when no theme) and UT2."""
     m = csi_map.select(F.col("s_c_csi_id").alias("_csi_id"), F.col("supercategory").alias("_sc"),
                        F.col("category").alias("_cat"), F.col("case_specific_issue").alias("_csi"))
     x = rows.withColumn("_csi_id", F.col(id_col))
-    x = lookup_join(x, m, "_csi_id", "left", max_broadcast_rows, probe=csi_map)
+    x = lookup_join(x, m, "_csi_id", "left")
     k1, k2 = case_theme_keys(F.col("_sc"), F.col("_cat"), F.col("_csi"))
     x = x.withColumn("_k1", k1).withColumn("_k2", k2)
     u = (themes_map.filter(F.col("org") == ADVICEPRO_ORG)
          .select(F.lower(F.trim("t1")).alias("_k1"), F.lower(F.trim("t2")).alias("_k2"),
                  F.col("ut1").alias("_ut1"), F.col("ut2").alias("_ut2")))
-    x = lookup_join(x, u, ["_k1", "_k2"], "left", max_broadcast_rows, probe=themes_map)
+    x = lookup_join(x, u, ["_k1", "_k2"], "left")
     return (x.withColumn("SEGMENT", F.coalesce(F.col("_ut1"), F.lit(UNMAPPED)))
              .withColumn("UT2", F.nullif(F.col("_ut2"), F.lit(NA_LITERAL)))
              .drop("_csi_id", "_sc", "_cat", "_csi", "_k1", "_k2", "_ut1", "_ut2"))
@@ -141,8 +138,7 @@ def map_case_to_theme(rows: DataFrame, csi_map: DataFrame, themes_map: DataFrame
 
 # B6 --------------------------------------------------------------------------
 def stg_advicepro(casework: DataFrame, bridge: DataFrame, csi_map: DataFrame, themes_map: DataFrame,
-                  demographics: DataFrame, locality: DataFrame, strict_dates: bool = True,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  demographics: DataFrame, locality: DataFrame, strict_dates: bool = True) -> DataFrame:
     """Casework cases at topic-mention grain, mapped to UT1/UT2.
 
     Every large join keys on case_reference, so each input is shuffled once
@@ -160,7 +156,7 @@ def stg_advicepro(casework: DataFrame, bridge: DataFrame, csi_map: DataFrame, th
     x = (c.join(b, "case_reference", "inner")
           .join(d, "case_reference", "left")
           .join(loc, "case_reference", "left"))
-    x = map_case_to_theme(x, csi_map, themes_map, max_broadcast_rows=max_broadcast_rows)
+    x = map_case_to_theme(x, csi_map, themes_map)
     return x.select(*_interface({
         "LA_NAME": F.col("la_name"),
         "QUERY_DATE": parse_open_month("case_open_month", strict=strict_dates),

@@ -64,7 +64,8 @@ def trailing_windows(df: DataFrame, dims: dict[str, Column], measures: dict[str,
     """
     windows = tuple(sorted(set(int(w) for w in windows)))
     dim_names = list(dims)
-    labelled = (df.select(*[c.alias(n) for n, c in dims.items()],
+    labelled = (df.filter(F.col(date_col) >= window_start(as_of, windows[-1]))  # on the bare column: reaches the scan
+                .select(*[c.alias(n) for n, c in dims.items()],
                           *[c.alias(n) for n, c in measures.items()],
                           smallest_window(F.col(date_col), as_of, windows).alias("_min_w"))
                 .filter(F.col("_min_w").isNotNull()))
@@ -201,7 +202,7 @@ def family_aggregate(mentions: DataFrame, as_of, windows: Sequence[int] = WINDOW
     measures serve the legal-letters family.
     """
     aa = F.col("SOURCE_SYSTEM") == SOURCE_ACCESSAVA
-    base = (mentions.select(
+    base = (mentions.filter(F.col("QUERY_DATE") >= window_start(as_of, max(windows))).select(
         F.col("LA_NAME"),
         F.coalesce(F.col("AGE_BAND"), F.lit(UNKNOWN_AGE)).alias("AGE_BAND"),
         F.col("LOCALITY_NAME"),

@@ -7,7 +7,7 @@ JSON Lines with NULL keys kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from carepulse.operators import ingest
@@ -37,5 +37,6 @@ def export_la_signals(spark: SparkSession, signal_dir: str, la: str, out_dir: st
 def export_findings(board: DataFrame, group: str, source: str, board_id: str, pulled_at: str, out_dir: str) -> int:
     """Findings of one group with the envelope fields, as JSON Lines."""
     env = ingest.findings_envelope(board, group, source, board_id, pulled_at)
-    env.write.mode("overwrite").option("ignoreNullFields", "false").json(out_dir)
-    return env.count()
+    seen = Observation("findings")
+    env.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("ignoreNullFields", "false").json(out_dir)
+    return int(seen.get["n"])

@@ -72,7 +72,9 @@ def build_all(spark: SparkSession, src: Sources, as_of: str, las: Sequence[str],
              staging.stg_advicepro(src.advicepro_casework, src.case_topic_bridge, src.s_c_csi_map,
                                    src.universal_themes_map, src.advicepro_demographics, src.casework_locality),
              staging.stg_helplines(src.helplines_aggregated_full))
-    mentions = _write(staging.stg_la_topic_mentions(*parts), f"{out}/stg_la_topic_mentions", ["SOURCE_SYSTEM"])
+    # sorted by date within each file, so the windows' date filter skips row groups
+    staged = staging.stg_la_topic_mentions(*parts).sortWithinPartitions("QUERY_DATE")
+    mentions = _write(staged, f"{out}/stg_la_topic_mentions", ["SOURCE_SYSTEM"])
     built["stg_la_topic_mentions"] = mentions
     built["helplines_advicepro_accessava"] = _write(staging.monthly_theme_counts(mentions),
                                                     f"{out}/helplines_advicepro_accessava")
@@ -102,27 +104,37 @@ def build_all(spark: SparkSession, src: Sources, as_of: str, las: Sequence[str],
     # tests
     summary = checks.with_status(run_declared_tests(built, src))
     built["test_results"] = _write(summary, f"{out}/test_results")
-    failed = built["test_results"].filter(F.col("STATUS") == "fail").limit(100).collect()
-    for r in built["test_results"].filter(F.col("STATUS") == "warn").limit(100).collect():
+    # a row per declared test and per source system: as many as are declared, whatever the data
+    results = built["test_results"].collect()
+    failed = [r for r in results if r.STATUS == "fail"]
+    for r in [r for r in results if r.STATUS == "warn"]:
         log.warning("test warn: %s.%s %s (%s failures)", r.MODEL, r.COLUMN_NAME, r.TEST_NAME, r.FAILURES)
     drift = checks.unmapped_share(built["helplines_advicepro_accessava"])
-    for r in drift.limit(100).collect():
+    for r in drift.collect():
         log.warning("unmapped share %s: %s%%", r.SOURCE_SYSTEM, r.UNMAPPED_PCT)
     if failed and fail_on_error:
         raise RuntimeError(f"{len(failed)} data test(s) failed: "
                            + ", ".join(f"{r.MODEL}.{r.COLUMN_NAME}:{r.TEST_NAME}" for r in failed))
 
     if export_dir:
-        tables = [(n, df) for n, df in built.items() if n.startswith("mart_") and n != "mart_la_query_summary"]
-        export_json(tables, export_dir, refuse_unsuppressed=("mart_la_query_summary",))
+        for name, result in export_json([(n, df) for n, df in built.items() if n.startswith("mart_")], export_dir).items():
+            if result != "ok":
+                log.warning("export %s: %s", name, result)
     return built
 
 
 def run_declared_tests(built: dict[str, DataFrame], src: Sources) -> DataFrame:
     """The declared column tests of the models, as one summary table."""
     m = built["stg_la_topic_mentions"]
+    of = lambda source: m.filter(F.col("SOURCE_SYSTEM") == source)
+    staged = {"stg_accessava": of(staging.SOURCE_ACCESSAVA), "stg_advicepro": of(staging.SOURCE_ADVICEPRO), "stg_helplines": of(staging.SOURCE_HELPLINES)}
+    systems = [staging.SOURCE_ACCESSAVA, staging.SOURCE_ADVICEPRO, staging.SOURCE_HELPLINES]
     mc = built["helplines_advicepro_accessava"]
     parts = [
+        *[checks.not_null_summary(df, name, ["LA_NAME", "QUERY_DATE"]) for name, df in staged.items()],
+        *[checks.accepted_values_summary(df, name, "SOURCE_SYSTEM", [system]) for (name, df), system in zip(staged.items(), systems, strict=True)],
+        checks.accepted_values_summary(mc, "helplines_advicepro_accessava", "SOURCE_SYSTEM", systems),
+        checks.accepted_values_summary(built["mart_la_query_summary"], "mart_la_query_summary", "SOURCE_SYSTEM", systems),
         checks.not_null_summary(m, "stg_la_topic_mentions", ["LA_NAME", "QUERY_DATE", "SOURCE_SYSTEM"]),
         checks.accepted_values_summary(m, "stg_la_topic_mentions", "SOURCE_SYSTEM",
                                        [staging.SOURCE_ACCESSAVA, staging.SOURCE_ADVICEPRO, staging.SOURCE_HELPLINES]),
@@ -175,7 +187,7 @@ def run_loaders(inputs: LoaderInputs, out_dir: str, contracts_group: str, run_id
     """Stage 1: the four loaders in order; every loader runs, failures are
     counted, and the stage fails at the end if any loader failed."""
     from carepulse.operators import ingest
-    from carepulse.sources.files import append_new_rows
+    from carepulse.sources.files import append_new_rows, path_exists, replace_datasets
 
     out = out_dir.rstrip("/")
     spark = inputs.board.sparkSession
@@ -187,22 +199,27 @@ def run_loaders(inputs: LoaderInputs, out_dir: str, contracts_group: str, run_id
 
     def demographics():
         raw = ingest.require_rows(inputs.demographics_report, "demographics report")
-        ingest.clean_demographics(raw).write.mode("overwrite").parquet(f"{out}/advicepro_demographics")
+        cleaned = _write(ingest.clean_demographics(raw), f"{out}/advicepro_demographics")
+        report = ingest.demographics_load_report(raw, cleaned).first()
+        if report["AT_PAGE_LIMIT"]:
+            log.warning("demographics: %s rows is the report's page limit, rows may be missing", report["N_IN"])
+        if report["N_DROPPED"]:
+            log.warning("demographics: %s duplicate row(s) dropped", report["N_DROPPED"])
 
     def external_sources():
         plan = ingest.manifest_load_plan(inputs.manifest, inputs.existing_tables, inputs.landed_files)
         plan = plan.persist()
         flags = ingest.with_drift_flag(inputs.manifest).select("dataset_id", "DRIFT_FLAG")
         tagged = ingest.tag_loaded_rows(inputs.dataset_rows, plan, flags, run_id, run_at)
-        tagged.write.mode("overwrite").partitionBy("dataset_id").parquet(f"{out}/external_sources")
+        replace_datasets(tagged, f"{out}/external_sources")
         summary = ingest.load_summary(plan).first()
         plan.unpersist()
         ingest.raise_on_failures(summary)
 
     def locality():
-        try:
+        if path_exists(spark, locality_target):
             existing = spark.read.parquet(locality_target).select(F.col("CASE_REFERENCE").alias("case_reference"))
-        except Exception:  # noqa: BLE001 - first run: no target yet
+        else:
             existing = spark.createDataFrame([], "case_reference string")
         new = ingest.enrich_postcode(inputs.postcode_report, existing, inputs.postcode_directory)
         append_new_rows(new, locality_target, "CASE_REFERENCE", check_unique=True)

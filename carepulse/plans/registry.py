@@ -228,13 +228,25 @@ def q_test_unique(spark, sf):
     ])
 
 
+def _bridge_with_repeats(fx):
+    """The bridge with some pairs a second time, so that the test has something to find."""
+    b = chatbot.persona_bridge(fx.accessava)
+    return b.unionByName(b.filter(F.col("TRANSCRIPT_ID").endswith("7")))
+
+
+def _children_with_orphans(fx):
+    """Case topics, some with an id that no parent has."""
+    orphan = F.when(F.col("case_reference").endswith("1"), F.concat(F.lit("orphan-"), F.col("s_c_csi_id")))
+    return fx.case_topic_bridge.withColumn("s_c_csi_id", F.coalesce(orphan, F.col("s_c_csi_id")))
+
+
 @register("test_unique_combination")
 def q_test_unique_combo(spark, sf):
     fx = Fixtures.of(spark, sf)
     return checks.union_summaries([
         checks.unique_combination_summary(chatbot.conversations_monthly(fx.accessava), "conversations_monthly",
                                           ["TENANT_NAME", "CONVERSATION_MONTH"]),
-        checks.unique_combination_summary(chatbot.persona_bridge(fx.accessava), "persona_bridge",
+        checks.unique_combination_summary(_bridge_with_repeats(fx), "persona_bridge",
                                           ["TRANSCRIPT_ID", "PERSONA"]),
     ])
 
@@ -242,7 +254,7 @@ def q_test_unique_combo(spark, sf):
 @register("test_relationships")
 def q_test_relationships(spark, sf):
     fx = Fixtures.of(spark, sf)
-    return checks.relationships_summary(fx.case_topic_bridge, "case_topic_bridge", "s_c_csi_id",
+    return checks.relationships_summary(_children_with_orphans(fx), "case_topic_bridge", "s_c_csi_id",
                                         fx.s_c_csi_map, "s_c_csi_id")
 
 
@@ -284,9 +296,12 @@ def q_recon_ap(spark, sf):
 @register("fanout_guard")
 def q_fanout(spark, sf):
     fx = Fixtures.of(spark, sf)
-    themes = checks.fanout_guard(fx.universal_themes_map, ["t1", "t2"], org="advicepro")
-    topics = checks.fanout_guard(fx.topic_entry_point_map.withColumn("_none", F.lit("")),
-                                 ["topic_entry_point", "_none"])
+    # some keys a second time in another spelling, so that the guard has something to find
+    m, t = fx.universal_themes_map, fx.topic_entry_point_map
+    m = m.unionByName(m.filter(F.col("ut1") == "Care plan").withColumn("t1", F.concat(F.lower("t1"), F.lit("  "))))
+    t = t.unionByName(t.filter(F.length("topic_entry_point") % 2 == 0).withColumn("topic_entry_point", F.upper("topic_entry_point")))
+    themes = checks.fanout_guard(m, ["t1", "t2"], org="advicepro")
+    topics = checks.fanout_guard(t.withColumn("_none", F.lit("")), ["topic_entry_point", "_none"])
     return themes.unionByName(topics)
 
 
@@ -475,6 +490,17 @@ def q_tag_provenance(spark, sf):
     return ingest.tag_loaded_rows(fxm.dataset_rows(fx), _plan(fx), _flags(fx), fxm.RUN_ID, fxm.RUN_AT)
 
 
+@register("external_sources_two_runs")
+def q_two_runs(spark, sf):
+    """A second load replaces the datasets it brings and leaves the others as the first one wrote them."""
+    fx = Fixtures.of(spark, sf)
+    target = _landing(spark, sf, "external_sources")
+    first = ingest.tag_provenance(fxm.dataset_rows(fx), "run-1", fxm.RUN_AT, None)
+    first.write.mode("overwrite").partitionBy("dataset_id").parquet(target)
+    files.replace_datasets(ingest.tag_loaded_rows(fxm.dataset_rows(fx), _plan(fx), _flags(fx), fxm.RUN_ID, fxm.RUN_AT), target)
+    return spark.read.schema(first.schema).parquet(target).select("dataset_id", "l_linenumber", "l_quantity", "_RUN_ID")
+
+
 @register("load_summary")
 def q_load_summary(spark, sf):
     return ingest.load_summary(_plan(Fixtures.of(spark, sf)))

@@ -48,6 +48,12 @@ def read_latest_csv(spark: SparkSession, folder: str, glob: str, schema: StructT
     return reader.csv(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``; any other trouble with the store is raised, not taken for absence."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 # A8 ---------------------------------------------------------------------------
 def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str = "parquet",
                     check_unique: bool = False) -> int:
@@ -56,46 +62,59 @@ def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str =
     The anti join against the target runs in the same job as the write, so
     a rerun after a partial failure does not duplicate keys.  Single writer
     per target.  Returns the number of rows written (from an observed
-    metric, not a second pass).  ``check_unique`` then runs the unique test
-    on the target key (the incoming report itself may repeat a key) and
-    raises on duplicates; only one duplicated key is fetched for the message.
+    metric, not a second pass).  ``check_unique`` first tests the rows that
+    would be written (a report may repeat a key) and raises before anything
+    is written; only one duplicated key is fetched for the message.  A target
+    that is there but can't be read fails the load and stays as it is.
     """
     spark = new_rows.sparkSession
-    try:
-        existing = spark.read.format(fmt).load(target_path).select(key)
-        exists = True
-    except Exception:  # noqa: BLE001 - missing path raises AnalysisException
-        exists = False
-    rows = incremental_new_keys(new_rows, existing, key) if exists else new_rows
+    exists = path_exists(spark, target_path)
+    rows = incremental_new_keys(new_rows, spark.read.format(fmt).load(target_path).select(key), key) if exists else new_rows
+    if check_unique:
+        from carepulse.operators.checks import unique_failures
+        dup = unique_failures(rows, key).limit(1).collect()
+        if dup:
+            raise ValueError(f"duplicate {key} for {target_path}: {dup[0]['VALUE']!r}; nothing was written")
     from pyspark.sql import Observation
     obs = Observation("appended")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append" if exists else "errorifexists").format(fmt).save(target_path)
-    if check_unique:
-        from carepulse.operators.checks import unique_failures
-        dup = unique_failures(spark.read.format(fmt).load(target_path), key).limit(1).collect()
-        if dup:
-            raise ValueError(f"duplicate {key} in {target_path}: {dup[0]['VALUE']!r}")
     return int(obs.get["n"])
 
 
+# A11 --------------------------------------------------------------------------
+def replace_datasets(rows: DataFrame, path: str, key: str = "dataset_id", salts: int = 8) -> None:
+    """Replace the datasets that ``rows`` holds, each in a partition folder of its own; all others stay.
+
+    A dataset without a row (skipped, failed or empty) keeps what was loaded before.  Rows are dealt by
+    dataset and a salt from their values, so a task opens few files and a big dataset is several tasks' work.
+    """
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(salts))
+    (rows.repartition(F.col(key), salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(key).parquet(path))
+
+
 # A20 --------------------------------------------------------------------------
+#: Marts with raw counts: an export refuses them unless told otherwise.
+UNSUPPRESSED = ("mart_la_query_summary",)
+
+
 def export_json(tables: Iterable[tuple[str, DataFrame]], folder: str,
-                refuse_unsuppressed: Sequence[str] = ()) -> dict[str, str]:
+                refuse_unsuppressed: Sequence[str] = UNSUPPRESSED) -> dict[str, str]:
     """Write each table as JSON Lines keeping NULL keys; skip empty tables;
     collect failures and raise at the end.  Tables are processed in name
-    order; names in ``refuse_unsuppressed`` are refused (small-number
-    suppression must not be bypassed by an export)."""
+    order; names in ``refuse_unsuppressed`` are refused and reported
+    (small-number suppression must not be bypassed by an export)."""
     results: dict[str, str] = {}
     failures: list[str] = []
     for name, df in sorted(tables, key=lambda t: t[0]):
         if name in refuse_unsuppressed:
             results[name] = "refused"
             continue
-        if df.isEmpty():
-            results[name] = "empty"
-            continue
         try:
+            if df.isEmpty():
+                results[name] = "empty"
+                continue
             (df.write.mode("overwrite").option("ignoreNullFields", "false")
              .json(f"{folder.rstrip('/')}/{name}"))
             results[name] = "ok"

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carepulse.functions.columns import taxonomy_key
-from carepulse.operators.lookup import mark_bounded, maybe_broadcast
+from carepulse.operators.lookup import literal_lookup
 from carepulse.sources.tables import TableSet
 
 # Target local authority and reporting date used by the registered queries.
@@ -138,9 +138,8 @@ class Fixtures:
 
     @cached_property
     def topic_entry_point_map(self) -> DataFrame:
-        return mark_bounded(self.spark.createDataFrame(list(TOPIC_MAP_ROWS),
-                                                       "topic_entry_point string, ut1 string, ut2 string"),
-                            len(TOPIC_MAP_ROWS))
+        return literal_lookup(self.spark.createDataFrame(list(TOPIC_MAP_ROWS),
+                                                       "topic_entry_point string, ut1 string, ut2 string"))
 
     # -- casework -----------------------------------------------------------
     @cached_property
@@ -163,7 +162,7 @@ class Fixtures:
         # are functions of (l_orderkey, p_type, p_brand)
         x = li.join(p, li.l_partkey == p.p_partkey).select("l_orderkey", "p_type", "p_brand").distinct()
         sc = F.when(F.col("p_type") == "ECONOMY", F.lit("Community Care")).otherwise(F.col("p_type"))
-        x = x.join(maybe_broadcast(m), (m.supercategory == sc) & (m.category == x.p_brand), "left")
+        x = x.join(m, (m.supercategory == sc) & (m.category == x.p_brand), "left")
         return x.select(
             F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("case_reference"),
             F.col("s_c_csi_id"),
@@ -260,14 +259,12 @@ PERIOD_END = "2001-03-31"
 
 
 def ilta_map_ava(spark: SparkSession) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(list(ILTA_MAP_AVA_ROWS), "FEATURE string, ACCESSAVA string, ILTA string"),
-                        len(ILTA_MAP_AVA_ROWS))
+    return literal_lookup(spark.createDataFrame(list(ILTA_MAP_AVA_ROWS), "FEATURE string, ACCESSAVA string, ILTA string"))
 
 
 def ilta_map_casework(spark: SparkSession) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(list(ILTA_MAP_CASEWORK_ROWS),
-                                              "CASEWORK string, FEATURE string, ILTA string"),
-                        len(ILTA_MAP_CASEWORK_ROWS))
+    return literal_lookup(spark.createDataFrame(list(ILTA_MAP_CASEWORK_ROWS),
+                                              "CASEWORK string, FEATURE string, ILTA string"))
 
 
 def casework_demo_report(fx: Fixtures) -> DataFrame:
@@ -427,8 +424,14 @@ def table_metadata(fx: Fixtures) -> DataFrame:
     m = F.col("s_nationkey") % 4
     db = (F.when(m == 0, F.lit("CASEWORK")).when(m == 1, F.lit("AVA")).when(m == 2, F.lit("HELPLINES"))
           .otherwise(F.lit("SCRATCH")))
-    return (x.groupBy(db.alias("database"), F.concat(F.lit("T_"), F.col("l_suppkey").cast("string")).alias("table_name"))
-            .agg(F.count(F.lit(1)).alias("row_count"), F.max(F.col("l_shipdate")).alias("last_altered")))
+    per = (x.groupBy(db.alias("database"), F.col("l_suppkey"))
+           .agg(F.count(F.lit(1)).alias("row_count"), F.max(F.col("l_shipdate")).alias("last_altered")))
+    k = F.col("l_suppkey")
+    # some tables have no change time; some names stand in a second database
+    cols = [F.concat(F.lit("T_"), k.cast("string")).alias("table_name"), F.col("row_count"),
+            F.when(k % 17 != 0, F.col("last_altered")).alias("last_altered")]
+    again = per.filter((k % 5 == 0) & (F.col("database") != "AVA"))
+    return per.select("database", *cols).unionByName(again.select(F.lit("AVA").alias("database"), *cols))
 
 
 # fixed values: source-level freshness settings (warn/error after count+period)
@@ -440,21 +443,24 @@ FRESHNESS_CONFIG_ROWS = (
 
 
 def freshness_config(spark: SparkSession) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(list(FRESHNESS_CONFIG_ROWS),
+    return literal_lookup(spark.createDataFrame(list(FRESHNESS_CONFIG_ROWS),
                                               "database string, warn_count int, warn_period string, "
-                                              "error_count int, error_period string"),
-                        len(FRESHNESS_CONFIG_ROWS))
+                                              "error_count int, error_period string"))
 
 
 def freshness_overrides(fx: Fixtures) -> DataFrame:
     """Table-level overrides: suppliers in debit are disabled, rich ones get
-    yearly thresholds."""
+    yearly thresholds, some of them for the warning alone."""
     s = fx.t("supplier").filter((F.col("s_acctbal") < 0) | (F.col("s_acctbal") > 9000))
     neg = F.col("s_acctbal") < 0
     null_i, null_s = F.lit(None).cast("int"), F.lit(None).cast("string")
-    return s.select(F.concat(F.lit("T_"), F.col("s_suppkey").cast("string")).alias("table_name"),
+    m = F.col("s_nationkey") % 4
+    db = (F.when(m == 0, F.lit("CASEWORK")).when(m == 1, F.lit("AVA")).when(m == 2, F.lit("HELPLINES"))
+          .otherwise(F.lit("SCRATCH")))
+    part = neg | (F.col("s_suppkey") % 3 == 0)
+    return s.select(db.alias("database"), F.concat(F.lit("T_"), F.col("s_suppkey").cast("string")).alias("table_name"),
                     (~neg).alias("enabled"),
                     F.when(neg, null_i).otherwise(F.lit(400)).alias("warn_count"),
                     F.when(neg, null_s).otherwise(F.lit("day")).alias("warn_period"),
-                    F.when(neg, null_i).otherwise(F.lit(550)).alias("error_count"),
-                    F.when(neg, null_s).otherwise(F.lit("day")).alias("error_period"))
+                    F.when(part, null_i).otherwise(F.lit(550)).alias("error_count"),
+                    F.when(part, null_s).otherwise(F.lit("day")).alias("error_period"))

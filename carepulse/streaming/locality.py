@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from carepulse.operators.ingest import enrich_postcode
 from carepulse.session import ensure_checkpoint_dir
+from carepulse.sources.files import path_exists
 
 REPORT_SCHEMA = StructType([StructField("Case Reference", StringType()), StructField("Postcode", StringType())])
 
@@ -30,15 +31,12 @@ def start_locality_stream(spark: SparkSession, landing: str, target: str, direct
     reports = spark.readStream.schema(REPORT_SCHEMA).option("header", True).csv(landing)
 
     def process(batch: DataFrame, _epoch: int) -> None:
-        try:
-            existing = spark.read.format(fmt).load(target)
-            exists = True
-        except Exception:  # noqa: BLE001 - first batch: no target yet
-            existing = spark.createDataFrame([], "CASE_REFERENCE string")
-            exists = False
+        # only a missing target is a first batch; one that can't be read fails the batch, and nothing is ever overwritten
+        exists = path_exists(spark, target)
+        existing = spark.read.format(fmt).load(target) if exists else spark.createDataFrame([], "CASE_REFERENCE string")
         existing = existing.withColumnRenamed("CASE_REFERENCE", "case_reference").select("case_reference")
         new = enrich_postcode(batch, existing, directory)
-        new.write.mode("append" if exists else "overwrite").format(fmt).save(target)
+        new.write.mode("append").format(fmt).save(target)
 
     writer = reports.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")

@@ -69,3 +69,55 @@ def test_append_check_unique(spark, tmpdir_path):
     a = spark.createDataFrame([("C1", "x"), ("C1", "y")], "CASE_REFERENCE string, COUNTY string")
     with pytest.raises(ValueError):
         files.append_new_rows(a, target, "CASE_REFERENCE", check_unique=True)
+
+
+def test_duplicates_are_refused_before_the_write(spark, tmpdir_path):
+    import pytest
+    target = os.path.join(tmpdir_path, "loc_dup2")
+    files.append_new_rows(spark.createDataFrame([("C1", "x")], "CASE_REFERENCE string, COUNTY string"), target, "CASE_REFERENCE", check_unique=True)
+    twice = spark.createDataFrame([("C2", "x"), ("C2", "y")], "CASE_REFERENCE string, COUNTY string")
+    with pytest.raises(ValueError):
+        files.append_new_rows(twice, target, "CASE_REFERENCE", check_unique=True)
+    assert [r[0] for r in spark.read.parquet(target).collect()] == ["C1"]
+    assert files.append_new_rows(spark.createDataFrame([("C3", "x")], "CASE_REFERENCE string, COUNTY string"), target, "CASE_REFERENCE", check_unique=True) == 1
+
+
+def test_unreadable_target_fails_without_a_write(spark, tmpdir_path):
+    import pytest
+
+    from carepulse.streaming.locality import start_locality_stream
+    target, landing = os.path.join(tmpdir_path, "t"), os.path.join(tmpdir_path, "landing")
+    rows = spark.createDataFrame([("C1", "x", "y"), ("C2", "x", "y")], "CASE_REFERENCE string, LA_NAME string, COUNTY string")
+    rows.write.parquet(target)
+    with open(os.path.join(target, "part-99999-broken.parquet"), "w") as f:
+        f.write("not parquet")
+    before = sorted(os.listdir(target))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "r1.csv"), "w") as f:
+        f.write("Case Reference,Postcode\nC9,P1\n")
+    directory = spark.createDataFrame([("P1", "LA1", "County1")], "postcode string, la_name string, county string")
+    with pytest.raises(Exception):  # noqa: B017 - whatever the reader raises
+        start_locality_stream(spark, landing, target, directory, checkpoint=os.path.join(tmpdir_path, "c")).awaitTermination(120)
+    with pytest.raises(Exception):  # noqa: B017
+        files.append_new_rows(rows, target, "CASE_REFERENCE")
+    assert sorted(os.listdir(target)) == before
+
+
+def test_skipped_failed_and_empty_datasets_survive_a_second_load(spark, tmpdir_path):
+    target = os.path.join(tmpdir_path, "ext")
+    schema = "dataset_id string, v int, _RUN_ID string"
+    first = spark.createDataFrame([(d, i, "r1") for d in ("d1", "skipped", "failed", "empty") for i in range(3)], schema)
+    files.replace_datasets(first, target)
+    files.replace_datasets(spark.createDataFrame([("d1", 7, "r2"), ("new", 8, "r2")], schema), target)
+    got = sorted((r.dataset_id, r.v, r._RUN_ID) for r in spark.read.parquet(target).collect())
+    assert got == sorted([(d, i, "r1") for d in ("skipped", "failed", "empty") for i in range(3)] + [("d1", 7, "r2"), ("new", 8, "r2")])
+
+
+def test_export_reports_broken_and_refused_tables(spark, tmpdir_path):
+    import pytest
+    good = spark.createDataFrame([("LA", "1-5")], "LA_NAME string, QUERY_COUNT_DISPLAY string")
+    broken = good.select(F.raise_error(F.lit("broken")).alias("x"))
+    with pytest.raises(RuntimeError, match="a_broken"):
+        files.export_json([("a_broken", broken), ("b_good", good), ("mart_la_query_summary", good)], tmpdir_path)
+    assert os.path.isdir(os.path.join(tmpdir_path, "b_good")) and not os.path.isdir(os.path.join(tmpdir_path, "mart_la_query_summary"))
+    assert files.export_json([("mart_la_query_summary", good)], tmpdir_path) == {"mart_la_query_summary": "refused"}

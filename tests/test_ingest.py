@@ -47,16 +47,37 @@ def test_freshness_thresholds(spark):
         ("A", "a_pass", "2026-01-02 00:00:00"), ("A", "a_warn", "2025-12-31 23:00:00"), ("A", "a_edge", "2026-01-01 00:00:00"),
         ("A", "a_err", "2025-12-30 00:00:00"), ("A", "a_off", "2020-01-01 00:00:00"),
         ("B", "b_none", "2020-01-01 00:00:00"), ("C", "c_nocfg", "2020-01-01 00:00:00"),
-        ("B", "b_ov", "2025-12-01 00:00:00")], "database string, table_name string, loaded_at string")
+        ("B", "b_ov", "2025-12-01 00:00:00"), ("B", "a_off", "2025-12-30 00:00:00"), ("A", "a_part", "2020-01-01 00:00:00"),
+        ("A", "a_part2", "2025-12-31 12:00:00"), ("A", "a_null", None)], "database string, table_name string, loaded_at string")
     loaded = loaded.withColumn("loaded_at", F.to_timestamp_ntz("loaded_at"))
     cfg = spark.createDataFrame([("A", 36, "hour", 72, "hour"), ("B", None, None, None, None)],
                                 "database string, warn_count int, warn_period string, error_count int, error_period string")
-    ov = spark.createDataFrame([("a_off", False, None, None, None, None), ("b_ov", True, 10, "day", 90, "day")],
-                               "table_name string, enabled boolean, warn_count int, warn_period string, "
+    # a name in two databases, and overrides that give the warning alone
+    ov = spark.createDataFrame([("A", "a_off", False, None, None, None, None), ("B", "b_ov", True, 10, "day", 90, "day"),
+                                ("A", "a_part", True, 10, "day", None, None), ("A", "a_part2", True, 10, "day", None, None)],
+                               "database string, table_name string, enabled boolean, warn_count int, warn_period string, "
                                "error_count int, error_period string")
-    got = {r.TABLE_NAME: r.STATUS for r in ingest.source_freshness(loaded, cfg, ov, "2026-01-02 12:00:00").collect()}
-    assert got == {"a_pass": "pass", "a_warn": "warn", "a_edge": "pass", "a_err": "error", "a_off": "skipped",
-                   "b_none": "skipped", "c_nocfg": "skipped", "b_ov": "warn"}
+    rows = ingest.source_freshness(loaded, cfg, ov, "2026-01-02 12:00:00").collect()
+    got = {(r.DATABASE, r.TABLE_NAME): r.STATUS for r in rows}
+    assert len(rows) == len(got)
+    assert got == {("A", "a_pass"): "pass", ("A", "a_warn"): "warn", ("A", "a_edge"): "pass", ("A", "a_err"): "error",
+                   ("A", "a_off"): "skipped", ("B", "b_none"): "skipped", ("C", "c_nocfg"): "skipped", ("B", "b_ov"): "warn",
+                   ("B", "a_off"): "skipped", ("A", "a_part"): "error", ("A", "a_part2"): "pass", ("A", "a_null"): "unknown"}
+
+
+def test_staleness_without_a_change_time(spark):
+    meta = spark.createDataFrame([("A", "t", 1, None), ("A", "u", 1, "2026-01-01 00:00:00")], "database string, table_name string, row_count int, last_altered string")
+    meta = meta.withColumn("last_altered", F.to_timestamp_ntz("last_altered"))
+    got = {r.TABLE_NAME: r.STATUS for r in ingest.table_staleness(meta, "2026-01-02 12:00:00", ["A"]).collect()}
+    assert got == {"t": "unknown", "u": "fresh"}
+
+
+def test_repeated_directory_postcode_keeps_one_row_per_case(spark):
+    report = spark.createDataFrame([("C1", "P1"), ("C2", "P2")], "`Case Reference` string, Postcode string")
+    directory = spark.createDataFrame([("P1", "LA1", "X"), ("P1", "LA1", "X"), ("P1", "LA2", "Y")], "postcode string, la_name string, county string")
+    existing = spark.createDataFrame([], "case_reference string")
+    got = sorted(tuple(r) for r in ingest.enrich_postcode(report, existing, directory).collect())
+    assert got == [("C1", "LA1", "X"), ("C2", None, None)]
 
 
 def test_clean_demographics_keep_first(spark):

@@ -9,11 +9,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from carepulse.plans import registry
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+#: The library's own queries; those of the corpus operators have their tests in tests/llm.
+QUERIES = {k: q for k, q in E.queries().items() if k in registry.REGISTRY}
+SQL = {k: q for k, q in E.oracle_sql().items() if k in registry.REGISTRY}
 
 
 def _norm(v):
@@ -57,6 +59,12 @@ def test_query_matches_oracle(spark, duck, small_sf, name):
     assert s_rows == d_rows
 
 
+@pytest.mark.parametrize("name", ["test_unique_combination", "test_relationships", "fanout_guard"])
+def test_fixtures_give_the_checks_something_to_find(spark, small_sf, name):
+    rows = QUERIES[name](spark, small_sf).collect()
+    assert any((r.asDict().get("FAILURES") or r.asDict().get("N") or 0) > 0 for r in rows)
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
