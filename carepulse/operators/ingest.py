@@ -223,9 +223,10 @@ def narrative_documents(signals: DataFrame) -> DataFrame:
     per = signals.groupBy("file_name", "unit", "signal").agg(F.count(F.lit(1)).alias("n"))
     per_la = per.groupBy("file_name", "unit").agg(
         F.sum("n").cast("int").alias("total_signals"),
-        F.max_by("signal", F.struct(F.col("n"), F.col("signal"))).alias("top_signal"))
+        F.max_by("signal", F.struct(F.col("n"), F.col("signal"))).alias("top_signal"),
+        F.array_sort(F.collect_list(F.struct("signal", "n"))).alias("topics"))   # one entry per signal type
     docs = per_la.groupBy("file_name").agg(
-        F.map_from_entries(F.collect_list(F.struct("unit", F.struct("total_signals", "top_signal")))).alias("las"))
+        F.map_from_entries(F.collect_list(F.struct("unit", F.struct("total_signals", "top_signal", "topics")))).alias("las"))
     run_date = F.regexp_extract("file_name", r"(\d{8})", 1)
     return docs.select("file_name", F.to_json(F.struct(run_date.alias("run_date"), "las")).alias("json"))
 
@@ -242,6 +243,21 @@ def narrative_for_la(documents: DataFrame, la: str, json_col: str = "json", pros
                     entry["top_signal"].alias("TOP_SIGNAL"))
 
 
+def narrative_data(documents: DataFrame, la: str, json_col: str = "json", prose: str | None = None) -> DataFrame:
+    """The LA's whole object of each narrative document, whatever fields it has, as JSON text in DATA
+    (``{}`` for a missing LA), with RUN_DATE, LA and PROSE."""
+    doc = F.from_json(F.col(json_col), "run_date string, las map<string, string>")
+    x = documents.select(doc.alias("d"))
+    return x.select(F.col("d.run_date").alias("RUN_DATE"), F.lit(la).alias("LA"), F.lit(prose).cast("string").alias("PROSE"),
+                    F.coalesce(F.element_at("d.las", F.lit(la)), F.lit("{}")).alias("DATA"))
+
+
+def narrative_json(data: DataFrame) -> DataFrame:
+    """Rows of ``narrative_data`` as JSON text, one object {run_date, la, prose, data} each, with the LA's object nested."""
+    head = F.to_json(F.struct(F.col("RUN_DATE").alias("run_date"), F.col("LA").alias("la"), F.col("PROSE").alias("prose")), {"ignoreNullFields": "false"})
+    return data.select(F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"data":'), F.col("DATA"), F.lit("}")).alias("value"))
+
+
 # A19 --------------------------------------------------------------------------
 def findings_envelope(board: DataFrame, group: str, source: str, board_id: str, pulled_at: str) -> DataFrame:
     """Findings of one group, each row carrying the envelope fields.

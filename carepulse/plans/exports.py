@@ -29,6 +29,8 @@ def export_la_signals(spark: SparkSession, signal_dir: str, la: str, out_dir: st
     narrative = ingest.narrative_for_la(docs, la, prose=prose)
     signals = ingest.filter_unit(spark.read.option("header", True).csv(sig_path), la)
     out = out_dir.rstrip("/")
+    # the LA's object in full, as it stands in the document
+    ingest.narrative_json(ingest.narrative_data(docs, la, prose=prose)).write.mode("overwrite").text(f"{out}/narrative_full")
     for name, df in (("narrative", narrative), ("signals", signals)):
         df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{out}/{name}")
     return {"narrative": narrative, "signals": signals}

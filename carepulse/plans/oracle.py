@@ -686,9 +686,8 @@ FROM (SELECT 'ds_' || CAST(l_orderkey AS VARCHAR) AS dataset_id, l_linenumber, l
 JOIN load_plan p ON r.dataset_id = p.DATASET_ID AND p.ACTION IN ('load', 'first_time_load')
 LEFT JOIN drift_flags f ON r.dataset_id = f.dataset_id""")
 SQL["external_sources_two_runs"] = compose(f"""
-SELECT 'ds_' || l_orderkey AS dataset_id, l_linenumber, l_quantity,
-  CASE WHEN 'ds_' || l_orderkey IN (SELECT DATASET_ID FROM load_plan WHERE ACTION IN ('load', 'first_time_load'))
-       THEN '{RUN_ID}' ELSE 'run-1' END AS _RUN_ID
+SELECT 'line_' || l_linenumber AS dataset_id, l_linenumber, l_quantity,
+  CASE WHEN l_linenumber % 2 = 1 THEN '{RUN_ID}' ELSE 'run-1' END AS _RUN_ID
 FROM lineitem""")
 SQL["load_summary"] = compose("""
 SELECT N_LOADED, N_SKIPPED, N_FAILED, CASE WHEN N_FAILED > 0 THEN 'failed' ELSE 'ok' END AS OUTCOME
@@ -775,3 +774,16 @@ WHERE r."Postcode" IS NOT NULL AND trim(r."Postcode", {WS}) <> ''
   AND NOT EXISTS (SELECT 1 FROM casework_locality e WHERE e.case_reference = r."Case Reference")""")
 SQL["export_json"] = mart_sql("locality_overview", 12)
 SQL["trailing_windows_shared"] = intermediate_sql("query_segments")
+
+# every LA: the same unions over all mentions
+for _fam in FAMILY_SQL:
+    SQL[f"{_fam}_all_las"] = compose(CTES[f"int_{_fam}"].replace("stg_la_topic_mentions_slice", "stg_la_topic_mentions"))
+
+SQL["narrative_data"] = compose(f"""
+SELECT regexp_extract(file_name, '(\\d{{8}})', 1) AS RUN_DATE, CAST(sum(count(*)) OVER (PARTITION BY file_name) AS INTEGER) AS TOTAL_SIGNALS,
+  signal AS SIGNAL, count(*) AS N
+FROM peer_signals WHERE unit = '{TARGET_LA}' GROUP BY file_name, signal""")
+SQL["manifest_datasets"] = """
+SELECT 'run-x' AS run_id, 'nation_' || n_nationkey AS dataset_id,
+  ['SUCCESS', 'NO_UPDATE', 'LIMITATION', 'PARTIAL'][1 + n_nationkey % 4] AS status, n_nationkey % 8 = 0 AS drifted
+FROM nation"""

@@ -495,9 +495,11 @@ def q_two_runs(spark, sf):
     """A second load replaces the datasets it brings and leaves the others as the first one wrote them."""
     fx = Fixtures.of(spark, sf)
     target = _landing(spark, sf, "external_sources")
-    first = ingest.tag_provenance(fxm.dataset_rows(fx), "run-1", fxm.RUN_AT, None)
+    # a dataset per line number; the second run brings the odd ones, each under the plan's action and provenance tags
+    rows = fxm.dataset_rows(fx).withColumn("dataset_id", F.concat(F.lit("line_"), F.col("l_linenumber").cast("string")))
+    first = ingest.tag_provenance(rows, "run-1", fxm.RUN_AT, None)
     first.write.mode("overwrite").partitionBy("dataset_id").parquet(target)
-    files.replace_datasets(ingest.tag_loaded_rows(fxm.dataset_rows(fx), _plan(fx), _flags(fx), fxm.RUN_ID, fxm.RUN_AT), target)
+    files.replace_datasets(ingest.tag_provenance(rows.filter(F.col("l_linenumber") % 2 == 1), fxm.RUN_ID, fxm.RUN_AT, None), target)
     return spark.read.schema(first.schema).parquet(target).select("dataset_id", "l_linenumber", "l_quantity", "_RUN_ID")
 
 
@@ -618,3 +620,43 @@ def q_export_json(spark, sf):
 def q_windows_shared(spark, sf):
     agg = windows.family_aggregate(la_slice(Fixtures.of(spark, sf)), AS_OF)
     return windows.families_from_aggregate(agg)["query_segments"]
+
+
+# every LA, not one: a family's grouping is then the size of the data
+def _all_las(family):
+    return lambda spark, sf: windows.family_windows(mentions(Fixtures.of(spark, sf)), family, AS_OF)
+
+
+for _fam in windows.FAMILIES:
+    REGISTRY[f"{_fam}_all_las"] = _all_las(_fam)
+
+
+@register("narrative_data")
+def q_narrative_data(spark, sf):
+    """Topics out of the LA's whole object, for every snapshot."""
+    docs = ingest.narrative_documents(fxm.peer_signals(Fixtures.of(spark, sf)))
+    data = F.from_json("DATA", "total_signals int, topics array<struct<signal: string, n: bigint>>")
+    x = ingest.narrative_data(docs, TARGET_LA).select("RUN_DATE", data.alias("d"))
+    return x.select("RUN_DATE", F.col("d.total_signals").alias("TOTAL_SIGNALS"), F.explode("d.topics").alias("t")).select(
+        "RUN_DATE", "TOTAL_SIGNALS", F.col("t.signal").alias("SIGNAL"), F.col("t.n").alias("N"))
+
+
+def _land_manifest(spark, sf):
+    """A manifest document of one dataset per nation, in a landing folder."""
+    path = f"{_landing(spark, sf, 'external')}/manifest.json"
+    k = F.col("n_nationkey")
+    status = F.when(k % 4 == 0, "SUCCESS").when(k % 4 == 1, "NO_UPDATE").when(k % 4 == 2, "LIMITATION").otherwise("PARTIAL")
+    drift = F.array(F.struct(F.lit("SCHEMA_DRIFT").alias("code"), F.lit("m").alias("message"), F.lit("d").alias("details")))
+    dataset = F.struct(F.concat(F.lit("nation_"), k.cast("string")).alias("dataset_id"), status.alias("status"),
+                       F.struct(F.when(k % 8 == 0, drift).alias("warnings")).alias("provenance"))
+    # one document by nature, an entry per nation
+    doc = Fixtures.of(spark, sf).t("nation").agg(F.collect_list(dataset).alias("datasets"))
+    doc.select(F.to_json(F.struct(F.lit("run-x").alias("run_id"), F.lit("now").alias("run_at"), "datasets")).alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+@register("manifest_datasets")
+def q_manifest_datasets(spark, sf):
+    from carepulse.plans.external import read_manifest
+    x = ingest.with_drift_flag(read_manifest(spark, _land_manifest(spark, sf)))
+    return x.select("run_id", "dataset_id", "status", F.col("DRIFT_FLAG").isNotNull().alias("drifted"))

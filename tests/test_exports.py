@@ -40,6 +40,10 @@ def test_export_la_signals(spark, small_sf, tmpdir_path):
     nar = _read_json_lines(os.path.join(tmpdir_path, "out", "narrative"))
     assert len(nar) == 1 and nar[0]["LA"] == "NATION_7" and "PROSE" in nar[0]
     assert nar[0]["RUN_DATE"] == last[len("la_peer_signals_"):-len(".csv")]
+    full = [json.loads(x) for fn in os.listdir(os.path.join(tmpdir_path, "out", "narrative_full")) if fn.endswith(".txt")
+            for x in open(os.path.join(tmpdir_path, "out", "narrative_full", fn))]
+    assert [set(x) for x in full] == [{"run_date", "la", "prose", "data"}]
+    assert full[0]["data"]["total_signals"] == sum(t["n"] for t in full[0]["data"]["topics"]) == nar[0]["TOTAL_SIGNALS"]
     expected = sum(1 for r in by_file[last] if r.unit == "NATION_7")
     assert nar[0]["TOTAL_SIGNALS"] == expected == res["signals"].count()
 

@@ -114,3 +114,50 @@ def test_ordered_reports(spark):
     md = md.withColumn("last_altered", F.to_timestamp_ntz("last_altered"))
     got = [r.TABLE_NAME for r in ingest.table_staleness(md, "2026-01-31 00:00:00", ["AVA"], ordered=True).collect()]
     assert got == ["t2", "t1"]
+
+
+def test_narrative_keeps_every_field(spark):
+    doc = '{"run_date": "20240101", "las": {"A": {"total_signals": 2, "topics": [{"name": "x", "deep": {"y": [1, null]}}], "note": "a \\"b\\""}}}'
+    docs = spark.createDataFrame([(doc,)], "json string")
+    import json
+    got = json.loads(ingest.narrative_json(ingest.narrative_data(docs, "A", prose='say "x"')).first()[0])
+    assert got == {"run_date": "20240101", "la": "A", "prose": 'say "x"', "data": json.loads(doc)["las"]["A"]}
+    none = json.loads(ingest.narrative_json(ingest.narrative_data(docs, "B")).first()[0])
+    assert none == {"run_date": "20240101", "la": "B", "prose": None, "data": {}}
+
+
+def test_external_load_from_landed_files(spark, tmpdir_path):
+    import json
+    import os
+
+    import pytest
+
+    from carepulse.plans.external import list_tables, load_external_sources, read_manifest
+    land, target = tmpdir_path + "/land", tmpdir_path + "/tables"
+    os.makedirs(land)
+
+    def put(run, datasets, **csv):
+        with open(f"{land}/manifest.json", "w") as f:
+            json.dump({"run_id": run, "run_at": "t", "datasets": datasets, "other": 1}, f, indent=2)
+        for name, text in csv.items():
+            with open(f"{land}/{name}.csv", "w") as f:
+                f.write(text)
+    drift = {"warnings": [{"code": "SCHEMA_DRIFT", "message": "m", "details": "d"}]}
+    put("r1", [{"dataset_id": "d1", "status": "SUCCESS", "provenance": drift}, {"dataset_id": "d2", "status": "NO_UPDATE"},
+               {"dataset_id": "gap", "status": "LIMITATION", "message": "none"}], d1="a,b\n1,x\n2,y\n", d2="c\n3.5\n")
+    plan = {r.DATASET_ID: r.ACTION for r in load_external_sources(spark, land, target).collect()}
+    assert plan == {"d1": "load", "d2": "first_time_load", "gap": "skip"}
+    assert sorted(r[0] for r in list_tables(spark, target).collect()) == ["d1", "d2"]
+    assert spark.read.parquet(f"{target}/d1").columns == ["a", "b", "_RUN_ID", "_RUN_AT", "_DRIFT_FLAG"]
+    assert spark.read.parquet(f"{target}/d1").select("_DRIFT_FLAG").first()[0] is not None
+    # second run: d1 replaced, d2 skipped, the failed one and the one without a file leave their tables alone
+    put("r2", [{"dataset_id": "d1", "status": "SUCCESS"}, {"dataset_id": "d2", "status": "NO_UPDATE"},
+               {"dataset_id": "d3", "status": "FAILED_FETCH"}, {"dataset_id": "d4", "status": "SUCCESS"}], d1="a,b\n9,z\n")
+    with pytest.raises(RuntimeError, match="d3, d4"):
+        load_external_sources(spark, land, target)
+    assert [tuple(r)[:3] for r in spark.read.parquet(f"{target}/d1").collect()] == [(9, "z", "r2")]
+    assert [r._RUN_ID for r in spark.read.parquet(f"{target}/d2").collect()] == ["r1"]
+    assert read_manifest(spark, f"{land}/manifest.json").count() == 4
+    put("r3", [{"dataset_id": "d1", "status": "NO_UPDATE"}])
+    load_external_sources(spark, land, target)
+    assert spark.read.parquet(f"{target}/d1").count() == 1
