@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from carepulse.llm import common as C
 
 LENGTH, GRAM, GROUP = 200, 32, 4096
-SORT_BYTES = 2 << 20
+SORT_BYTES = 1 << 18
 
 
 def find_runs(data: np.ndarray, off: np.ndarray, length: int, gram: int) -> dict[str, np.ndarray]:
@@ -310,7 +310,7 @@ def _pieces(rows: pa.Table):
 
 def repeats(keyed: DataFrame, length: int, gram: int, group: int) -> DataFrame:
     """(__id, __sum, a, b): first and last window of stretches of repeats."""
-    runs = runs_of(keyed, length, gram)
+    runs = C.checkpoint_table(runs_of(keyed, length, gram), "sampled")  # read twice; texts are hashed once
     more = F.shiftright("shape", 16)
     times = F.when(more > 0, 2).otherwise(1)  # only one or several matters
     anchors = runs.groupBy("key").agg(F.sum(times).alias("total"), F.min("run").alias("lo"), F.max("run").alias("hi")).where("total > 1").select("key", (F.col("lo") != F.col("hi")).alias("several"))
