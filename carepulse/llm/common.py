@@ -217,10 +217,10 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def row_key(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``__id`` and ``__sum``, which name a row by its doc_id and a checksum of its text.
+    """``df`` with ``__id`` and ``__sum``, which name a row by its doc_id and a 64-bit checksum of its text.
     Rows that agree in both are the same document twice and get the same results."""
     from pyspark.sql import functions as F
-    return df.withColumns({"__id": F.col("doc_id"), "__sum": F.hash(F.coalesce(F.col(text), F.lit("")))})
+    return df.withColumns({"__id": F.col("doc_id"), "__sum": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
 
 
 def same_row(a: DataFrame, b: DataFrame):

@@ -74,7 +74,7 @@ def runs_of(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     """A row for each run.  Neighbouring equal runs of a text (a text that repeats itself) are one row.
 
     ``shape`` packs the anchor's offset (8 bits), the last window's (8 bits) and how far equal runs go on after it."""
-    result = "__id long, __sum int, first long, shape long, key long, run long"
+    result = "__id long, __sum long, first long, shape long, key long, run long"
     from pyspark.sql.types import StructType
     schema = StructType.fromDDL(result)
     schema["__id"].dataType = keyed.schema["__id"].dataType
@@ -120,7 +120,7 @@ def contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     texts = packed(keyed)
     both = texts.join(by_doc, C.same_row(texts, by_doc)).select(texts["__id"], texts["__sum"], texts["z"], "runs").dropDuplicates(["__id", "__sum"])
     from pyspark.sql.types import StructType
-    schema = StructType.fromDDL("__id long, __sum int, first long, lead long, key long, c long, parts long, sub long, bytes binary")
+    schema = StructType.fromDDL("__id long, __sum long, first long, lead long, key long, c long, parts long, sub long, bytes binary")
     schema["__id"].dataType = keyed.schema["__id"].dataType
     arrow = C.to_arrow(schema)
 
@@ -248,7 +248,7 @@ def repeated(rows: dict[str, np.ndarray], data: np.ndarray, off: np.ndarray, len
 def sort_groups(dealt: DataFrame, length: int) -> DataFrame:
     """Windows found to be repeats, as (__id, __sum, a, b): first and last window."""
     from pyspark.sql.types import StructType
-    schema = StructType.fromDDL("__id long, __sum int, a long, b long")
+    schema = StructType.fromDDL("__id long, __sum long, a long, b long")
     schema["__id"].dataType = dealt.schema["__id"].dataType
     arrow = C.to_arrow(schema)
     n = len(dealt.columns)
