@@ -5,8 +5,9 @@ each operator starts from a DataFrame of what the pull returned."""
 
 from __future__ import annotations
 
+import functools
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -277,6 +278,18 @@ def findings_envelope(board: DataFrame, group: str, source: str, board_id: str,
 
 
 # A21 --------------------------------------------------------------------------
+def table_metadata(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+    """Row count and last change (newest file) of tables read from files, by (database, table name).
+
+    One aggregate per table that combines map-side and reads no data column; a table without files has 0 rows and
+    no change time.
+    """
+    parts = [df.agg(F.lit(database).alias("database"), F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                    F.max("_metadata.file_modification_time").cast("timestamp_ntz").alias("last_altered"))
+             for (database, name), df in tables.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def table_staleness(metadata: DataFrame, now: str, databases: Sequence[str], stale_days: int = STALE_DAYS,
                     ordered: bool = False) -> DataFrame:
     """Days since last change (day boundaries crossed) and stale/fresh; a table without a change time is neither."""

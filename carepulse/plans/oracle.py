@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 
 from carepulse.sources.fixtures import AS_OF, RECON_MONTH, TARGET_LA
+from carepulse.sources.tables import DRIVER_TABLES
 
 CTES: dict[str, str] = {}
 
@@ -787,3 +788,5 @@ SQL["manifest_datasets"] = """
 SELECT 'run-x' AS run_id, 'nation_' || n_nationkey AS dataset_id,
   ['SUCCESS', 'NO_UPDATE', 'LIMITATION', 'PARTIAL'][1 + n_nationkey % 4] AS status, n_nationkey % 8 = 0 AS drifted
 FROM nation"""
+SQL["table_metadata"] = " UNION ALL ".join(
+    f"SELECT 'LANDED' AS DATABASE, '{t.upper()}' AS TABLE_NAME, count(*) AS ROW_COUNT, true AS HAS_CHANGE_TIME FROM {t}" for t in DRIVER_TABLES)

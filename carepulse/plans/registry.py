@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 
 from carepulse.operators import marts, staging, windows
 from carepulse.sources.fixtures import AS_OF, TARGET_LA, Fixtures
-from carepulse.sources.tables import TableSet
+from carepulse.sources.tables import DRIVER_TABLES, TableSet
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Builder] = {}
@@ -552,6 +552,15 @@ def q_findings(spark, sf):
                                     "Hypothesis board", "board-1", fxm.RUN_AT)
 
 
+@register("table_metadata")
+def q_table_metadata(spark, sf):
+    """Row counts of every landed table; the files' times are only checked to be there."""
+    tables = TableSet(spark, sf)
+    found = ingest.table_metadata({("LANDED", n.upper()): tables(n) for n in DRIVER_TABLES})
+    return found.select(F.col("database").alias("DATABASE"), F.col("table_name").alias("TABLE_NAME"),
+                        F.col("row_count").alias("ROW_COUNT"), F.col("last_altered").isNotNull().alias("HAS_CHANGE_TIME"))
+
+
 @register("table_staleness")
 def q_staleness(spark, sf):
     return ingest.table_staleness(fxm.table_metadata(Fixtures.of(spark, sf)), fxm.NOW, fxm.STALENESS_DATABASES)

@@ -33,3 +33,42 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
     "helplines_aggregated_full": _s(("la_name", S), ("month_date", D), ("ut1", S), ("n", L)),
     "table_metadata": _s(("database", S), ("table_name", S), ("row_count", L), ("last_altered", TimestampNTZType())),
 }
+
+#: Declared columns that no model reads (all text unless typed): part of a source's full schema only.
+FURTHER_COLUMNS: dict[str, tuple[tuple[str, object], ...]] = {
+    "accessava_locality": tuple((c, S) for c in (
+        "la_name", "county_code", "ward", "ward_code", "lso_area_name", "mso_area_name")),
+    "casework_locality": tuple((c, S) for c in (
+        "postcode", "county_code", "ward", "ward_code", "lso_area_name", "lso_area_code", "mso_area_name", "la_name")),
+    "advicepro_demographics": tuple((c, S) for c in (
+        "gender", "do_you_have_a_disability", "what_type_of_disability_do_you_consider_you_have", "ethnic_origin")),
+    "advicepro_casework": (
+        *((c, S) for c in ("case_close_month", "case_status", "case_level", "case_outcome", "case_specific_issues_group",
+                           "case_specific_issues")),
+        ("number_of_cases", L),
+        *((c, S) for c in ("referred_from_account", "member_canonical_name", "la_code", "la_name_original"))),
+}
+
+#: Sources declared by name only, by group: read with the columns of their files.
+OPEN_SOURCES: dict[str, tuple[str, ...]] = {
+    "reference": (
+        "census_ts007a_utla", "census_ts021_utla", "census_ts029_utla", "census_ts038_utla", "census_ts051_utla",
+        "census_ts054_utla", "census_ts062_utla", "census_ts067_utla", "census_rm073_utla", "census_rm070_utla",
+        "lann_ethnicity", "lann_english_proficiency", "lann_housing_tenure", "lann_ns_sec", "lann_population_data",
+        "lann_qualification_level", "lann_rooms", "lann_area_sqkm", "lann_distance_to_sea", "lsoa21_to_utla22",
+        "sam_utla_2021"),
+    "data_portal": (
+        "ascfr_salt", "cqc_ratings", "asc_workforce", "people_receiving_care", "metric", "dols", "population",
+        "disability_prevalence", "imd_deprivation", "ombudsman", "discharge_delays"),
+    "monday": (
+        "monday_hypothesis_tracker", "monday_la_budgets", "monday_la_useful_contacts", "monday_data_strategy_initiatives"),
+}
+
+
+def full_schema(name: str) -> StructType | None:
+    """Every declared column of a source; None if only its name is declared."""
+    if name in SOURCE_SCHEMAS:
+        return StructType([*SOURCE_SCHEMAS[name].fields, *_s(*FURTHER_COLUMNS.get(name, ())).fields])
+    if any(name in names for names in OPEN_SOURCES.values()):
+        return None
+    raise KeyError(f"no source {name!r} is declared")

@@ -61,3 +61,9 @@ def scan_source(spark: SparkSession, path: str, schema: StructType | None = None
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
+
+
+def scan_declared(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """Every declared column of the landed source ``<root>/<name>``; one declared by name only has its files' columns."""
+    from carepulse.sources.schemas import full_schema
+    return scan_source(spark, f"{root.rstrip('/')}/{name}", full_schema(name), fmt)

@@ -161,3 +161,31 @@ def test_external_load_from_landed_files(spark, tmpdir_path):
     put("r3", [{"dataset_id": "d1", "status": "NO_UPDATE"}])
     load_external_sources(spark, land, target)
     assert spark.read.parquet(f"{target}/d1").count() == 1
+
+
+def test_table_metadata_feeds_monitoring(spark, tmpdir_path):
+    spark.range(3).write.parquet(tmpdir_path + "/md_full")
+    spark.range(0).write.parquet(tmpdir_path + "/md_none")
+    found = ingest.table_metadata({("CASEWORK", "FULL"): spark.read.parquet(tmpdir_path + "/md_full"),
+                                   ("CASEWORK", "NONE"): spark.read.parquet(tmpdir_path + "/md_none")})
+    rows = {r.table_name: r for r in found.collect()}
+    assert rows["FULL"].row_count == 3 and rows["FULL"].last_altered is not None
+    assert rows["NONE"].row_count == 0 and rows["NONE"].last_altered is None
+    stale = ingest.table_staleness(found, "2999-01-01 00:00:00", ["CASEWORK"])
+    assert {r.TABLE_NAME: r.STATUS for r in stale.collect()} == {"FULL": "stale", "NONE": "unknown"}
+
+
+def test_declared_sources_in_full(spark, tmpdir_path):
+    from carepulse.sources.schemas import FURTHER_COLUMNS, OPEN_SOURCES, SOURCE_SCHEMAS, full_schema
+    from carepulse.sources.tables import scan_declared
+    assert set(FURTHER_COLUMNS) <= set(SOURCE_SCHEMAS)
+    for name in SOURCE_SCHEMAS:
+        names = full_schema(name).names
+        assert len(names) == len(set(names))
+    spark.createDataFrame([("c1", "AB1 2CD")], "case_reference string, postcode string").write.parquet(tmpdir_path + "/casework_locality")
+    r = scan_declared(spark, tmpdir_path, "casework_locality").first()
+    assert (r.postcode, r.mso_area_name) == ("AB1 2CD", None)
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(tmpdir_path + "/" + OPEN_SOURCES["monday"][0])
+    assert scan_declared(spark, tmpdir_path, OPEN_SOURCES["monday"][0]).columns == ["a", "b"]
+    with pytest.raises(KeyError):
+        full_schema("no_such_source")
