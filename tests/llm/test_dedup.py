@@ -166,6 +166,45 @@ def test_edited_passages_are_one_class(spark):
     assert all(got[100 + i].n_passages == 0 for i in range(10))
 
 
+def test_exact_passages_are_found_whatever_the_hubs_hold(spark):
+    """A third document has only the middle of the passage, a fourth its halves in the other order; one of them can be the seeds' hub."""
+    rnd, n = random.Random(12), iter(range(10**9))
+    w = lambda k: [f"w{next(n)}" for _ in range(k)]
+    rows, want = [], {}
+    for i in range(60):
+        p, edge = w(rnd.randint(50, 60)), len(rows)
+        shorter = p[3:48]
+        for d, text in enumerate((w(30) + p + w(20), w(7) + p + w(33) + p, w(15) + shorter + w(15), w(9) + p[28:] + w(5) + p[:28])):
+            rows.append((edge + d, " ".join(text)))
+        want[edge], want[edge + 1] = [(30, 30 + len(p))], [(7, 7 + len(p)), (40 + len(p), 40 + 2 * len(p))]
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d in range(len(rows)):
+        assert [(p.a, p.b) for p in got[d].passages] == want.get(d, []), d
+        assert got[d].class_id == (d // 4 * 4 if d in want else d)
+
+
+def test_exact_windows_match_brute_force(docs, messy):
+    """Every window of 50 words that two documents have lies in a passage of each of them."""
+    word = lambda t: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    texts = {(r[0], r[1] or "") for r in messy}
+    has = collections.defaultdict(set)
+    for d, t in texts:
+        v = word(t)
+        for i in range(len(v) - 49):
+            has[tuple(v[i:i + 50])].add((d, t))
+    got = collections.defaultdict(list)
+    for r in substring_dedup.substring_dedup(docs).collect():
+        got[r.doc_id, r.n_words].append(r)
+    n = 0
+    for d, t in texts:
+        v = word(t)
+        for i in range(len(v) - 49):
+            if len(has[tuple(v[i:i + 50])]) > 1:
+                n += 1
+                assert any(p.a <= i and i + 50 <= p.b for p in got[d, len(v)][0].passages)
+    assert n > 500
+
+
 def test_chains_match_quadratic_dynamic_programme():
     rnd = random.Random(4)
     for _ in range(200):
