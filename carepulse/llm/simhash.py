@@ -118,9 +118,10 @@ def links(fps: DataFrame, bits: int = BITS, groups: int = GROUPS) -> DataFrame:
     return met.select(F.explode("met").alias("a"), F.array_min("met").alias("b")).where("a != b").distinct()
 
 
-def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, carry: list[str] | None = None) -> DataFrame:
+def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, carry: list[str] | None = None, root: bool = False) -> DataFrame:
     """Every document with ``fingerprint`` (16 hex digits) and ``component_id``, after the columns in ``carry``
-    (doc_id; columns other than text, which is not kept)."""
+    (doc_id; columns other than text, which is not kept).  With ``root`` also the group's own name, a fingerprint of it:
+    different groups have one component_id where rows repeat a doc_id or have none."""
 
     def work():
         def f(texts):
@@ -130,10 +131,10 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, ca
 
     carry = ["doc_id"] if carry is None else carry
     keyed = docs.withColumn("__id", F.col("doc_id"))
-    made = C.checkpoint_table(C.map_texts(keyed, "fp long", work, [*[c for c in carry if c not in ("fp", "__id", "component_id", "fingerprint")], "__id"]), "fingerprints")
+    made = C.checkpoint_table(C.map_texts(keyed, "fp long", work, [*[c for c in carry if c not in ("fp", "__id", "component_id", "fingerprint", *["root"] * root)], "__id"]), "fingerprints")
     classes = made.groupBy("fp").agg(F.min("__id").alias("least"))
     groups = connected_components(links(made.select("fp").distinct(), bits)).withColumnRenamed("node", "fp")
     rooted = classes.join(groups, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(least, "root").select("fp", "component_id")
+    by_fp = rooted.join(least, "root").select("fp", "component_id", *["root"] * root)
     return made.join(by_fp, "fp").drop("__id").withColumn("fingerprint", F.lpad(F.lower(F.hex("fp")), 16, "0")).drop("fp")

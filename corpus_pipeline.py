@@ -30,9 +30,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest doc_id (ties: the smallest checksum)."""
     keyed = row_key(docs)
-    groups = simhash.simhash_groups(keyed.select("doc_id", "text", "__sum"), carry=["doc_id", "__sum"])
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("component_id").alias("__id")).agg(F.min("__sum").alias("__sum"))
-    # smallest ids of different groups differ, unless rows repeat an id: then each group keeps its own row
+    groups = simhash.simhash_groups(keyed.select("doc_id", "text", "__sum"), carry=["doc_id", "__sum"], root=True)
+    # by the group's root: groups of rows that repeat an id, or have none, share their smallest id and each keeps a row of its own
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("component_id").alias("__id"), F.min("__sum").alias("__sum"))
     return keyed.join(stay, same_row(keyed, stay), "left_semi").dropDuplicates(["__id", "__sum"]).select(COLUMNS)
 
 

@@ -30,6 +30,22 @@ def test_near_duplicates_keep_one_of_each_group(spark, docs, messy, small_sf):
     assert len(kept) == groups
 
 
+def test_near_duplicates_of_repeated_and_missing_ids(spark, small_sf):
+    """Groups that have the same smallest doc_id, or none, keep a row each: counted by brute-force components."""
+    import random
+
+    from test_dedup import brute_fingerprint, brute_groups
+    rnd = random.Random(11)
+    texts = [" ".join(f"w{rnd.randrange(10_000)}" for _ in range(60)) for _ in range(8)]
+    rows = [(None, t, "en", "s", 1) for t in texts[:4]] + [(5, t, "en", "s", 1) for t in texts[4:7]] + [(6, texts[7], "en", "s", 1)]
+    rows += [(None, texts[0], "de", "s", 1), (7, texts[7], "en", "s", 1), (8, texts[1], "en", "s", 1)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), small_sf).collect()
+    groups = brute_groups({brute_fingerprint(r[1]) for r in rows})
+    assert len(kept) == len(set(groups.values()))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept) == sorted(
+        [(True, 0, t) for t in (texts[0], texts[2], texts[3])] + [(False, 8, texts[1])] + [(False, 5, t) for t in texts[4:7]] + [(False, 6, texts[7])])
+
+
 def test_run(spark, small_sf):
     rows = corpus_pipeline.run(spark, small_sf).collect()
     docs = {r.doc_id: r for r in spark.read.parquet(f"{small_sf}/documents.parquet").collect()}
