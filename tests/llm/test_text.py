@@ -63,6 +63,16 @@ def brute_base(text):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(again), len(w) < 50 or 100 * len(again) > 50 * len(w)
 
 
+def test_lines_of_texts_that_begin_or_end_with_newlines():
+    texts = ["\nabc\nabc", "\nabc", "abc", "", "\n", "\n\nabc\n\nabc\n", "abc\nabc\n", "", "\nx y\nabc\nx y\n\n", "\n"]
+    raws = [t.encode() for t in texts]
+    off = np.cumsum([0, *map(len, raws)])
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts) + 1):
+            out = quality_rules.base_stats(np.frombuffer(b"".join(raws[a:b]), np.uint8), off[a:b + 1] - off[a])
+            assert out["n_dup_lines"].tolist() == [brute_base(t)[3] for t in texts[a:b]]
+
+
 def test_base_rules_and_scores_match_brute_force(spark, docs, messy):
     labels = [(i, 1 if i % 4 else 0, None) for i in range(0, 60)] + [(210, 0, 1), (None, 1, 0), (61, None, 0), (62, 1, 0), (62, 0, 0)]
     out = quality_rules.quality_rules(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
