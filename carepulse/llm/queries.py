@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.llm import bpe, chat_format, decontaminate, language_id, line_dedup, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts
+from carepulse.llm import bpe, chat_format, decontaminate, language_id, line_dedup, pii, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts
 from carepulse.llm.common import documents, table
 
 #: Vocabulary files; parameters of the operators.
@@ -59,6 +59,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), PIECE_FILE)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(documents(spark, sf_dir)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_chat_formatting, op5_bpe_round_trip, op6_line_dedup,
-    op7_simhash_near_dedup, op8_substring_dedup, op9_language_id, op10_token_counts)}
+    op7_simhash_near_dedup, op8_substring_dedup, op9_language_id, op10_token_counts, op11_pii)}
