@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.llm import bpe, chat_format, decontaminate, language_id, line_dedup, pii, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts
+from carepulse.llm import bpe, chat_format, decontaminate, hard_negatives, language_id, line_dedup, pii, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts
 from carepulse.llm.common import documents, table
 
 #: Vocabulary files; parameters of the operators.
@@ -63,6 +63,12 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.personal_data(documents(spark, sf_dir)))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_chat_formatting, op5_bpe_round_trip, op6_line_dedup,
-    op7_simhash_near_dedup, op8_substring_dedup, op9_language_id, op10_token_counts, op11_pii)}
+    op7_simhash_near_dedup, op8_substring_dedup, op9_language_id, op10_token_counts, op11_pii, op12_hard_negatives)}

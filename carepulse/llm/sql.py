@@ -39,8 +39,20 @@ SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) A
        sha256(CASE WHEN gone IS NULL THEN coalesce(text, '') ELSE array_to_string([ls[i] FOR i IN range(1, len(ls) + 1) IF NOT list_contains(gone, i)], chr(10)) END) AS kept_sha256
 FROM d LEFT JOIN gone USING (r)"""
 
+HARD_NEGATIVES = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+           FROM e a JOIN e c ON a.vec_id % 100 = 0 AND a.vec_id != c.vec_id),
+     p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 100 * n.score BETWEEN 80 * p.score AND 100 * p.score
+QUALIFY rank <= 5"""
+
 SQL = {
     "op2_benchmark_decontamination": DECONTAMINATION,
     "op4_chat_formatting": CHAT,
     "op6_line_dedup": LINE_DEDUP,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

@@ -10,7 +10,7 @@ from carepulse.llm.sql import SQL
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, small_sf, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small_sf}/{t}.parquet')")
     got = QUERIES[name](spark, small_sf)
     cols = sorted(got.columns)
