@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.llm import bpe, chat_format, decontaminate, hard_negatives, language_id, line_dedup, pii, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts
+from carepulse.llm import bpe, chat_format, decontaminate, hard_negatives, language_id, line_dedup, pii, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts, whitening
 from carepulse.llm.common import documents, table
 
 #: Vocabulary files; parameters of the operators.
@@ -69,6 +69,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_chat_formatting, op5_bpe_round_trip, op6_line_dedup,
-    op7_simhash_near_dedup, op8_substring_dedup, op9_language_id, op10_token_counts, op11_pii, op12_hard_negatives)}
+    op7_simhash_near_dedup, op8_substring_dedup, op9_language_id, op10_token_counts, op11_pii, op12_hard_negatives, op13_embedding_whitening)}

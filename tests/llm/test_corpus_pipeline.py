@@ -7,7 +7,7 @@ from carepulse.llm.queries import QUERIES
 
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_stages_on_messy_rows(spark, messy, docs, small_sf):

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from carepulse.llm import hard_negatives as hn
-from carepulse.llm import hilbert
+from carepulse.llm import hilbert, whitening
+from carepulse.llm.queries import op13_embedding_whitening
 
 ROWS = "vec_id long, embedding array<float>, label int"
 
@@ -105,3 +106,82 @@ def test_empty_and_unusable_tables(spark):
     for rows in ([], [(0, None, 1)], [(0, [1.0], 1)], [(0, [], 1), (100, [], 2), (1, [], 1)]):
         got = sorted(map(tuple, hn.hard_negatives(spark.createDataFrame(rows, ROWS), F.col("vec_id") % 100 == 0).collect()))
         assert got == brute(rows, lambda i: i % 100 == 0)
+
+
+def brute_whitening(rows):
+    """Rows left, and from exact whole numbers: n, deviations and the covariance with its eigenvectors."""
+    kept = [(i, whole(v)) for i, v, *_ in rows if v is not None and all(c is not None and math.isfinite(c) and abs(c * 256) < 2**40 for c in v)]
+    dim = max(len(v) for _, v in kept)
+    kept = [(i, v + [0] * (dim - len(v))) for i, v in kept]
+    fit = sorted({tuple(v) for _, v in kept})
+    n, sums = len(fit), [sum(c) for c in zip(*fit, strict=True)]
+    centred = [[n * v - s for v, s in zip(x, sums, strict=True)] for x in fit]
+    cov = np.array([[sum(r[i] * r[j] for r in centred) / n**3 for j in range(dim)] for i in range(dim)])
+    values, axes = np.linalg.eigh(cov)
+    away = {(i, tuple(v)): np.array([(n * c - s) / n for c, s in zip(v, sums, strict=True)]) for i, v in kept}
+    deviation = sorted(((str(i), sum((n * c - s) ** 2 for c, s in zip(v, sums, strict=True))) for i, v in kept))
+    return n, deviation, values[::-1], axes[:, ::-1], away, np.trace(cov), kept
+
+
+def check_whitening(rows, got):
+    n, deviation, values, axes, away, trace, kept = brute_whitening(rows)
+    count = min(4, axes.shape[0])
+    assert len(got) == count * len(kept) and {r.n for r in got} == {n}
+    for k in range(count):
+        mine = [r for r in got if r.component == k + 1]
+        assert sorted((str(r.vec_id), r.deviation) for r in mine) == [(i, d if d < 2**63 else None) for i, d in deviation]
+        assert all(abs(r.explained * trace - values[k]) <= 1e-9 * values[0] for r in mine)
+        want = {}
+        for (i, _), a in away.items():
+            want.setdefault(str(i), []).append(abs(float(a @ axes[:, k])) / math.sqrt(values[k]))
+        have = {}
+        for r in mine:
+            have.setdefault(str(r.vec_id), set()).add(round(abs(r.whitened), 6))
+        for i, each in want.items():
+            assert have[i] <= {round(v + e, 6) for v in each for e in (-1e-6, 0, 1e-6)}
+    assert len({r.identity_error for r in got}) == 1 and 0 <= got[0].identity_error <= 1e-4
+
+
+def test_whitening_equals_brute_force(spark):
+    rows = [r for r in rows_of(4, dim=7) if r[0] not in (5700, 5800)]
+    df = spark.createDataFrame(rows, ROWS).withColumns({c: F.lit("clash") for c in ("x", "n", "component", "whitened")})
+    check_whitening(rows, whitening.whiten(df).collect())
+
+
+def test_whitening_far_from_zero(spark):
+    """Entries about 2**22 with a spread of one: products of 2**60 whose differences count; outliers widen the planes."""
+    rnd = random.Random(8)
+    rows = [(i, f32(16384 + rnd.randrange(-200, 200) / 256 for _ in range(4)), 1) for i in range(300)]
+    check_whitening(rows, whitening.whiten(spark.createDataFrame(rows, ROWS)).collect())
+    rows += [(900, f32([2.0**31, -5.0, 3.0, 1.0]), 1)]
+    out = whitening.whiten(spark.createDataFrame(rows, ROWS)).collect()
+    n, deviation, values, *_ = brute_whitening(rows)
+    assert sorted((str(r.vec_id), r.deviation) for r in out if r.component == 1) == [(i, d if d < 2**63 else None) for i, d in deviation]
+    assert any(r.deviation is None for r in out) and {r.n for r in out} == {n}
+
+
+def test_whitening_without_variance(spark):
+    for rows in ([(1, [1.0, 2.0], 1)], [(1, [1.0, 2.0], 1)] * 3, [(1, [], 1), (None, [0.0], 2)]):
+        out = whitening.whiten(spark.createDataFrame(rows, ROWS)).collect()
+        assert len(out) == len(rows) * max(1, len(rows[0][1])) and all(r.whitened is None and r.n == 1 and r.deviation == 0 and r.explained == 0 and r.identity_error == 0 for r in out)
+    line = whitening.whiten(spark.createDataFrame([(i, [float(i), 1.0], 1) for i in range(4)], ROWS)).collect()
+    assert [r.whitened is None for r in sorted(line, key=lambda r: r.component)] == [False] * 4 + [True] * 4
+    for rows in ([], [(1, None, 1), (2, [None], 1), (3, [float("inf")], 1)]):
+        assert whitening.whiten(spark.createDataFrame(rows, ROWS)).collect() == []
+
+
+def test_plane_counts_are_products():
+    rnd = np.random.default_rng(2)
+    for top in (1, 2, 300, 2**33):
+        x = rnd.integers(0, top, (133, 5))
+        x[:, 3] = 0
+        bits = [int(x[:, d].max()).bit_length() for d in range(5)]
+        sums = whitening.weighted(whitening.and_counts(whitening.planes(x, bits)), bits)
+        assert sums == [[sum(int(p) * int(q) for p, q in zip(x[:, i], x[:, j], strict=True)) for j in range(i, 5)] for i in range(5)]
+
+
+def test_whitening_of_the_whole_table(spark, small_sf):
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{small_sf}/embeddings.parquet").collect()]
+    got = op13_embedding_whitening(spark, small_sf).collect()
+    assert len(got) == 4 * len(rows)
+    check_whitening(rows[:], got)
