@@ -75,20 +75,26 @@ def persona_bridge(accessava: DataFrame, sep: str = PERSONA_SEPARATOR) -> DataFr
 
 
 # P5 ---------------------------------------------------------------------------
-def dense_keys(values: DataFrame, value_col: str, key_col: str, num_partitions: int | None = None) -> DataFrame:
-    """Surrogate key = rank of each distinct value in ascending order, from 1.
+#: Distinct values that one range partition numbers.
+KEYS_PER_PARTITION = 1_000_000
+
+
+def dense_keys(values: DataFrame, value_col: str, key_col: str, num_partitions: int | None = None, after: int = 0) -> DataFrame:
+    """Surrogate key = rank of each distinct value in ascending order, from ``after`` + 1.
 
     A global ``row_number() OVER (ORDER BY v)`` runs in one task.  Instead:
-    range-partition the distinct values (sampled boundaries), checkpoint so
-    the partitioning is fixed (sampling is not repeatable, and the lineage is
-    cut so a lost executor does not re-sample), count rows per partition,
-    turn the counts into offsets (one row per partition, a proven bound, so
-    broadcast is safe) and add a row number within each partition.
+    range-partition the distinct values (sampled boundaries; as many
+    partitions as their number asks for), checkpoint so the partitioning is
+    fixed (sampling is not repeatable, and the lineage is cut so a lost
+    executor does not re-sample), count rows per partition, turn the counts
+    into offsets (one row per partition, a proven bound, so broadcast is
+    safe) and add a row number within each partition.
     """
     spark = values.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = values.select(F.col(value_col)).filter(F.col(value_col).isNotNull()).distinct()
+    distinct = values.select(F.col(value_col)).filter(F.col(value_col).isNotNull()).distinct().checkpoint(eager=True)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(1, min(most, -(-distinct.count() // KEYS_PER_PARTITION)))
     ranged = distinct.repartitionByRange(n, F.col(value_col).asc()).checkpoint(eager=True)
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -99,7 +105,15 @@ def dense_keys(values: DataFrame, value_col: str, key_col: str, num_partitions:
     offsets = offsets.fillna(0, subset=["_offset"])
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(F.col(value_col).asc()))
     keyed = ranged.withColumn("_local", local).join(F.broadcast(offsets), "_pid")
-    return keyed.select((F.col("_offset") + F.col("_local")).cast("bigint").alias(key_col), F.col(value_col))
+    return keyed.select((F.col("_offset") + F.col("_local") + after).cast("bigint").alias(key_col), F.col(value_col))
+
+
+def extend_keys(known: DataFrame, values: DataFrame, value_col: str, key_col: str) -> DataFrame:
+    """Keys of the values that ``known`` (key, value) has none for yet, numbered on from its last: keys stay dense, and what
+    was built on the old ones stays right."""
+    last = known.agg(F.max(key_col)).head()[0] or 0
+    new = values.select(value_col).distinct().join(known.select(value_col), value_col, "left_anti")
+    return dense_keys(new, value_col, key_col, after=last)
 
 
 def persona_dim(bridge: DataFrame, num_partitions: int | None = None) -> DataFrame:

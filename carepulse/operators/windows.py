@@ -33,6 +33,8 @@ EXCLUDED_SEGMENTS = (UNMATCHED, UNMAPPED, "UNMATCHED", UNCATEGORISED)
 # -----------------------------------------------------------------------------
 
 WINDOW_COL = "TIME_WINDOW_MONTHS"
+#: First day of a mention's month, where mentions are laid out by month (``sources.layout``).
+MONTH_COL = "MENTION_MONTH"
 
 
 def as_date(as_of: str | dt.date | Column) -> Column:
@@ -46,6 +48,12 @@ def window_start(as_of: str | dt.date | Column, months: int) -> Column:
     return F.add_months(as_date(as_of), -months)
 
 
+def since(df: DataFrame, start: Column, date_col: str = "QUERY_DATE") -> DataFrame:
+    """Rows from ``start`` on: the bare date column reaches the scan, and the month, where there is one, prunes folders."""
+    out = df.filter(F.col(date_col) >= start)
+    return out.filter(F.col(MONTH_COL) >= F.trunc(start, "MM")) if MONTH_COL in df.columns else out
+
+
 def smallest_window(date_col: Column, as_of, windows: Sequence[int] = WINDOWS) -> Column:
     """Smallest w in ``windows`` whose window contains the date, else NULL."""
     out = None
@@ -64,7 +72,7 @@ def trailing_windows(df: DataFrame, dims: dict[str, Column], measures: dict[str,
     """
     windows = tuple(sorted(set(int(w) for w in windows)))
     dim_names = list(dims)
-    labelled = (df.filter(F.col(date_col) >= window_start(as_of, windows[-1]))  # on the bare column: reaches the scan
+    labelled = (since(df, window_start(as_of, windows[-1]), date_col)
                 .select(*[c.alias(n) for n, c in dims.items()],
                           *[c.alias(n) for n, c in measures.items()],
                           smallest_window(F.col(date_col), as_of, windows).alias("_min_w"))
@@ -202,7 +210,7 @@ def family_aggregate(mentions: DataFrame, as_of, windows: Sequence[int] = WINDOW
     measures serve the legal-letters family.
     """
     aa = F.col("SOURCE_SYSTEM") == SOURCE_ACCESSAVA
-    base = (mentions.filter(F.col("QUERY_DATE") >= window_start(as_of, max(windows))).select(
+    base = (since(mentions, window_start(as_of, max(windows))).select(
         F.col("LA_NAME"),
         F.coalesce(F.col("AGE_BAND"), F.lit(UNKNOWN_AGE)).alias("AGE_BAND"),
         F.col("LOCALITY_NAME"),

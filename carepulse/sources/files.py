@@ -14,10 +14,11 @@ from carepulse.operators.ingest import incremental_new_keys
 
 # A2 ---------------------------------------------------------------------------
 def scan_csv_dataset(spark: SparkSession, folder: str, dataset_id: str,
-                     schema: StructType | None = None) -> DataFrame:
+                     schema: StructType | str | None = None, fail_fast: bool = False) -> DataFrame:
     """Read ``<folder>/<dataset_id>.csv`` with a header.  Pass a schema in
-    production; without one the types are inferred (an extra pass)."""
-    reader = spark.read.option("header", True)
+    production; without one the types are inferred (an extra pass).
+    ``fail_fast``: a value that doesn't fit its column fails the scan instead of becoming NULL."""
+    reader = spark.read.option("header", True).option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(f"{folder.rstrip('/')}/{dataset_id}.csv")
 
@@ -83,15 +84,14 @@ def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str =
 
 
 # A11 --------------------------------------------------------------------------
-def replace_datasets(rows: DataFrame, path: str, key: str = "dataset_id", salts: int = 8) -> None:
+def replace_datasets(rows: DataFrame, path: str, key: str = "dataset_id") -> None:
     """Replace the datasets that ``rows`` holds, each in a partition folder of its own; all others stay.
 
-    A dataset without a row (skipped, failed or empty) keeps what was loaded before.  Rows are dealt by
-    dataset and a salt from their values, so a task opens few files and a big dataset is several tasks' work.
+    A dataset without a row (skipped, failed or empty) keeps what was loaded before.  Rows are dealt by dataset and the
+    parts levelled by their bytes at run time: a big dataset is many tasks' work, small ones share a task.  Files are staged
+    by the writer and moved at the end, so a failing task leaves every dataset as it was.
     """
-    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(salts))
-    (rows.repartition(F.col(key), salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(key).parquet(path))
+    (rows.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path))
 
 
 # A20 --------------------------------------------------------------------------

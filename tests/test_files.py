@@ -121,3 +121,43 @@ def test_export_reports_broken_and_refused_tables(spark, tmpdir_path):
         files.export_json([("a_broken", broken), ("b_good", good), ("mart_la_query_summary", good)], tmpdir_path)
     assert os.path.isdir(os.path.join(tmpdir_path, "b_good")) and not os.path.isdir(os.path.join(tmpdir_path, "mart_la_query_summary"))
     assert files.export_json([("mart_la_query_summary", good)], tmpdir_path) == {"mart_la_query_summary": "refused"}
+
+
+def _stream(spark, folder, name, text, target):
+    from carepulse.streaming.locality import start_locality_stream
+    landing = os.path.join(folder, "landing")
+    os.makedirs(landing, exist_ok=True)
+    with open(os.path.join(landing, name), "w") as f:
+        f.write("Case Reference,Postcode\n" + text)
+    directory = spark.createDataFrame([("P1", "LA1", "County1"), ("P2", "LA2", "County2")], "postcode string, la_name string, county string")
+    start_locality_stream(spark, landing, target, directory, checkpoint=os.path.join(folder, "ckpt")).awaitTermination(120)
+    return sorted(tuple(r) for r in spark.read.parquet(target).select("CASE_REFERENCE", "LA_NAME").collect())
+
+
+def test_stream_writes_a_repeated_case_once(spark, tmpdir_path):
+    target = os.path.join(tmpdir_path, "target")
+    assert _stream(spark, tmpdir_path, "r1.csv", "C1,P2\nC1,P1\nC1,\nC2,P2\nC1,P2\n", target) == [("C1", "LA1"), ("C2", "LA2")]
+    assert _stream(spark, tmpdir_path, "r2.csv", "C2,P1\nC3,P1\nC3,P1\n", target) == [("C1", "LA1"), ("C2", "LA2"), ("C3", "LA1")]
+
+
+def test_replayed_batch_changes_nothing(spark, tmpdir_path):
+    """A batch whose commit was lost is run again: with its marker it is skipped, without (it died while appending, some
+    rows had arrived) only the missing rows are added."""
+    target, ckpt = os.path.join(tmpdir_path, "target"), os.path.join(tmpdir_path, "ckpt")
+    want = _stream(spark, tmpdir_path, "r1.csv", "C1,P1\nC2,P2\nC2,P1\nC3,P1\n", target)
+    files_before = sorted(os.listdir(target))
+
+    def lose_commit():
+        for f in os.listdir(os.path.join(ckpt, "commits")):
+            os.remove(os.path.join(ckpt, "commits", f))
+    lose_commit()
+    assert _stream(spark, tmpdir_path, "r1.csv", "C1,P1\nC2,P2\nC2,P1\nC3,P1\n", target) == want
+    assert sorted(os.listdir(target)) == files_before
+    lose_commit()
+    for f in os.listdir(target + "_batches"):
+        os.remove(os.path.join(target + "_batches", f))
+    rest = spark.read.parquet(target).filter("CASE_REFERENCE != 'C2'").toPandas()
+    for f in os.listdir(target):
+        os.remove(os.path.join(target, f))
+    spark.createDataFrame(rest).write.mode("append").parquet(target)
+    assert _stream(spark, tmpdir_path, "r1.csv", "C1,P1\nC2,P2\nC2,P1\nC3,P1\n", target) == want

@@ -133,6 +133,7 @@ def test_external_load_from_landed_files(spark, tmpdir_path):
     import pytest
 
     from carepulse.plans.external import list_tables, load_external_sources, read_manifest
+    from carepulse.sources.versioned import read_table
     land, target = tmpdir_path + "/land", tmpdir_path + "/tables"
     os.makedirs(land)
 
@@ -148,19 +149,30 @@ def test_external_load_from_landed_files(spark, tmpdir_path):
     plan = {r.DATASET_ID: r.ACTION for r in load_external_sources(spark, land, target).collect()}
     assert plan == {"d1": "load", "d2": "first_time_load", "gap": "skip"}
     assert sorted(r[0] for r in list_tables(spark, target).collect()) == ["d1", "d2"]
-    assert spark.read.parquet(f"{target}/d1").columns == ["a", "b", "_RUN_ID", "_RUN_AT", "_DRIFT_FLAG"]
-    assert spark.read.parquet(f"{target}/d1").select("_DRIFT_FLAG").first()[0] is not None
+    assert read_table(spark, f"{target}/d1").columns == ["a", "b", "_RUN_ID", "_RUN_AT", "_DRIFT_FLAG"]
+    assert read_table(spark, f"{target}/d1").select("_DRIFT_FLAG").first()[0] is not None
     # second run: d1 replaced, d2 skipped, the failed one and the one without a file leave their tables alone
     put("r2", [{"dataset_id": "d1", "status": "SUCCESS"}, {"dataset_id": "d2", "status": "NO_UPDATE"},
                {"dataset_id": "d3", "status": "FAILED_FETCH"}, {"dataset_id": "d4", "status": "SUCCESS"}], d1="a,b\n9,z\n")
     with pytest.raises(RuntimeError, match="d3, d4"):
         load_external_sources(spark, land, target)
-    assert [tuple(r)[:3] for r in spark.read.parquet(f"{target}/d1").collect()] == [(9, "z", "r2")]
-    assert [r._RUN_ID for r in spark.read.parquet(f"{target}/d2").collect()] == ["r1"]
+    assert [tuple(r)[:3] for r in read_table(spark, f"{target}/d1").collect()] == [(9, "z", "r2")]
+    assert [r._RUN_ID for r in read_table(spark, f"{target}/d2").collect()] == ["r1"]
     assert read_manifest(spark, f"{land}/manifest.json").count() == 4
     put("r3", [{"dataset_id": "d1", "status": "NO_UPDATE"}])
     load_external_sources(spark, land, target)
-    assert spark.read.parquet(f"{target}/d1").count() == 1
+    assert read_table(spark, f"{target}/d1").count() == 1
+    # a load of d1 that dies while its rows are written: a value that its column can't hold, far down the file
+    put("r4", [{"dataset_id": "d1", "status": "SUCCESS"}, {"dataset_id": "d5", "status": "SUCCESS"}],
+        d1="a,b\n" + "".join(f"{i},x\n" for i in range(5000)) + "oops,x\n", d5="k\n1\n")
+    with pytest.raises(RuntimeError, match="1 dataset.*d1"):
+        load_external_sources(spark, land, target)
+    assert [tuple(r)[:3] for r in read_table(spark, f"{target}/d1").collect()] == [(9, "z", "r2")]
+    assert [r.k for r in read_table(spark, f"{target}/d5").collect()] == [1]
+    # another header is another table
+    put("r5", [{"dataset_id": "d1", "status": "SUCCESS"}], d1="a,extra\noops,2.5\n")
+    load_external_sources(spark, land, target)
+    assert [tuple(r)[:2] for r in read_table(spark, f"{target}/d1").collect()] == [("oops", 2.5)]
 
 
 def test_table_metadata_feeds_monitoring(spark, tmpdir_path):
