@@ -8,10 +8,11 @@ whole suite is a handful of scans instead of one scan per test.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from carepulse.operators.staging import UNMAPPED
@@ -93,6 +94,50 @@ def relationships_summary(child: DataFrame, model: str, column: str, parent: Dat
     return orphans.agg(*summary_columns(model, "relationships", column, severity, F.coalesce(F.sum("_n"), F.lit(0))))
 
 
+# T1, T2 on the write ------------------------------------------------------------
+@dataclass(frozen=True)
+class ColumnTest:
+    """A declared test that each row passes or fails on its own: ``not_null``, or ``accepted_values`` with its list."""
+    model: str
+    test: str
+    column: str
+    values: tuple[str, ...] = ()
+    severity: str = "error"
+
+    def failing(self) -> Column:
+        c = F.col(self.column)
+        return c.isNull() if self.test == "not_null" else c.isNotNull() & ~c.isin(list(self.values))
+
+
+def not_nulls(model: str, columns: Sequence[str], severity: str = "error") -> list[ColumnTest]:
+    return [ColumnTest(model, "not_null", c, (), severity) for c in columns]
+
+
+def observe_tests(df: DataFrame, tests: Sequence[ColumnTest], rows: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` counting the tests' failures while it is written, without a scan of its own.
+
+    ``rows`` narrows a model's tests to some rows (parts that are written as one table).  Failures are rows for
+    ``not_null`` and distinct values for ``accepted_values`` (estimated: exact while they are few, and 0 only if there is
+    none), as in the summaries above.  Put it behind the last exchange: a stage below one can be run again, or first for
+    a sample, and its rows would be counted again.
+    """
+    rows, metrics = rows or {}, []
+    for i, t in enumerate(tests):
+        bad = t.failing() & rows[t.model] if t.model in rows else t.failing()
+        metrics.append((F.count_if(bad) if t.test == "not_null" else F.approx_count_distinct(F.when(bad, F.col(t.column)), 0.01)).alias(f"t{i}"))
+    observation = Observation(f"tests_{uuid.uuid4().hex}")
+    return df.observe(observation, *metrics), observation
+
+
+def observed_results(tests: Sequence[ColumnTest], observation: Observation) -> list[tuple]:
+    """Summary rows (``SUMMARY_COLS``) of tests whose table has been written; a row per declared test."""
+    found = observation.get
+    return [(t.model, t.test, t.column, t.severity, int(found[f"t{i}"] or 0)) for i, t in enumerate(tests)]
+
+
+SUMMARY_SCHEMA = "MODEL string, TEST_NAME string, COLUMN_NAME string, SEVERITY string, FAILURES bigint"
+
+
 def union_summaries(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -179,6 +224,16 @@ def fanout_guard(lookup: DataFrame, key_cols: Sequence[str], org: str | None = N
     return (lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("N")).filter(F.col("N") > 1))
 
 
+def recon_slices(accessava: DataFrame, casework: DataFrame, bridge: DataFrame, helplines: DataFrame, la: str, month: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows of one area and month of each source as checkpoints, so that the model and the raw side of a reconciliation
+    read each source once between them.  A case's topics are those of the cases that are left."""
+    spelled = F.col("case_open_month").isin(month[:7].replace("-", "/"), month[:7])
+    ava = accessava.filter((F.col("la_name") == la) & _in_month("created_at", month)).checkpoint()
+    cases = casework.filter((F.col("la_name") == la) & spelled).checkpoint()
+    topics = bridge.join(cases.select("case_reference").distinct(), "case_reference", "left_semi").checkpoint()
+    return ava, cases, topics, helplines.filter((F.col("la_name") == la) & _in_month("month_date", month)).checkpoint()
+
+
 # T12 --------------------------------------------------------------------------
 def recon_totals(model_totals: DataFrame, raw_totals: DataFrame) -> DataFrame:
     """Full outer join of per-source totals; DIFF = model - raw."""

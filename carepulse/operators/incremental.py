@@ -51,6 +51,11 @@ def add_days(stored: DataFrame, loaded: DataFrame) -> DataFrame:
     return _sum(stored.unionByName(loaded), [*GROUP, DAY, w.MONTH_COL])
 
 
+def recent(days: DataFrame, as_of: str | dt.date, months: Sequence[int] = w.WINDOWS) -> DataFrame:
+    """Days that a window at ``as_of`` or later can still lose."""
+    return w.since(days, w.window_start(as_of, max(months)), DAY)
+
+
 def _sum(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in _SUMS]).filter(F.col("_n") != 0)
 

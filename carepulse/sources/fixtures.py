@@ -238,6 +238,15 @@ class Fixtures:
         return x.select(F.col("n_name").alias("la_name"), "month_date", "ut1", "n")
 
 
+    # -- data portal ----------------------------------------------------------
+    @cached_property
+    def people_receiving_care(self) -> DataFrame:
+        """A row per order line; the metric of some is none of the accepted values."""
+        li = self.t("lineitem").select("l_linenumber", "l_returnflag", "l_quantity")
+        metric = F.when(F.col("l_linenumber") == 7, F.concat(F.lit("other_"), F.col("l_returnflag"))).when(F.col("l_returnflag") == "N", "new_clients").otherwise("long_term_clients")
+        return li.select(metric.alias("metric"))
+
+
 # --- fixed values: exploratory value maps (NULL rows match NULL values) ------
 ILTA_MAP_AVA_ROWS = (
     ("age_range", "18-24", "Young adult"), ("age_range", "25-64", "Adult"), ("age_range", "65+", "Older adult"),

@@ -31,9 +31,11 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
     "advicepro_demographics": _s(("case_reference", S), ("age_range", S)),
     "casework_locality": _s(("case_reference", S), ("county", S)),
     "helplines_aggregated_full": _s(("la_name", S), ("month_date", D), ("ut1", S), ("n", L)),
+    "people_receiving_care": _s(("metric", S)),
     "table_metadata": _s(("database", S), ("table_name", S), ("row_count", L), ("last_altered", TimestampNTZType())),
 }
 
+#: The names of the further columns and sources that are declared.
 #: Declared columns that no model reads (all text unless typed): part of a source's full schema only.
 FURTHER_COLUMNS: dict[str, tuple[tuple[str, object], ...]] = {
     "accessava_locality": tuple((c, S) for c in (
