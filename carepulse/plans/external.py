@@ -58,7 +58,7 @@ def load_external_sources(spark: SparkSession, folder: str, target: str,
     """
     folder, target = folder.rstrip("/"), target.rstrip("/")
     manifest = read_manifest(spark, f"{folder}/manifest.json")
-    plan = ingest.manifest_load_plan(manifest, list_tables(spark, target), files.list_files(spark, folder, "*.csv"))
+    plan = ingest.manifest_load_plan(manifest, list_tables(spark, target), files.list_names(spark, folder, "*.csv"))
     flags = ingest.with_drift_flag(manifest).select(F.col("dataset_id").alias("DATASET_ID"), "run_id", "run_at", "DRIFT_FLAG")
     steps = plan.join(flags, "DATASET_ID", "left").orderBy("DATASET_ID").collect()
     failed = [s["DATASET_ID"] for s in steps if s["ACTION"] == ingest.FAILED]

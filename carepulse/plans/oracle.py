@@ -785,8 +785,69 @@ SELECT regexp_extract(file_name, '(\\d{{8}})', 1) AS RUN_DATE, CAST(sum(count(*)
   signal AS SIGNAL, count(*) AS N
 FROM peer_signals WHERE unit = '{TARGET_LA}' GROUP BY file_name, signal""")
 SQL["manifest_datasets"] = """
-SELECT 'run-x' AS run_id, 'nation_' || n_nationkey AS dataset_id,
-  ['SUCCESS', 'NO_UPDATE', 'LIMITATION', 'PARTIAL'][1 + n_nationkey % 4] AS status, n_nationkey % 8 = 0 AS drifted
-FROM nation"""
+SELECT 'run-x' AS run_id, 'supplier_' || s_suppkey AS dataset_id,
+  ['SUCCESS', 'NO_UPDATE', 'LIMITATION', 'PARTIAL'][1 + s_suppkey % 4] AS status, s_suppkey % 8 = 0 AS drifted
+FROM supplier"""
 SQL["table_metadata"] = " UNION ALL ".join(
     f"SELECT 'LANDED' AS DATABASE, '{t.upper()}' AS TABLE_NAME, count(*) AS ROW_COUNT, true AS HAS_CHANGE_TIME FROM {t}" for t in DRIVER_TABLES)
+
+# ------------------------------------------------- tables that are kept up ---
+SQL["external_load"] = f"""
+SELECT 'lines_A' AS DATASET_ID, l_orderkey AS K, l_linenumber::BIGINT AS V, 'run-1' AS RUN_ID, false AS DRIFTED FROM lineitem WHERE l_returnflag = 'A'
+UNION ALL SELECT 'lines_N', l_orderkey, l_linenumber, 'run-1', true FROM lineitem WHERE l_returnflag = 'N'
+UNION ALL SELECT 'lines_R', l_orderkey, l_linenumber, '{RUN_ID}', true FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber % 2 = 1
+UNION ALL SELECT 'orders_' || o_orderstatus, o_orderkey, o_custkey, '{RUN_ID}', false FROM orders WHERE o_orderstatus IN ('F', 'O')"""
+
+cte("mart_la_query_summary", SQL["mart_la_query_summary"].split("\n)\n")[-1])
+cte("persona_dim", "SELECT row_number() OVER (ORDER BY PERSONA) AS PERSONA_ID, PERSONA FROM (SELECT DISTINCT PERSONA FROM persona_bridge) p")
+cte("people_receiving_care", """
+SELECT CASE WHEN l_linenumber = 7 THEN 'other_' || l_returnflag WHEN l_returnflag = 'N' THEN 'new_clients' ELSE 'long_term_clients' END AS metric
+FROM lineitem""")
+_SYSTEMS = {"stg_accessava": ["AccessAva"], "stg_advicepro": ["AdvicePro"], "stg_helplines": ["Helplines"],
+            **{m: ["AccessAva", "AdvicePro", "Helplines"] for m in ("stg_la_topic_mentions", "helplines_advicepro_accessava", "mart_la_query_summary")}}
+_NOT_NULL = {
+    "stg_accessava": ["LA_NAME", "QUERY_DATE"], "stg_advicepro": ["LA_NAME", "QUERY_DATE"], "stg_helplines": ["LA_NAME", "QUERY_DATE"],
+    "stg_la_topic_mentions": ["LA_NAME", "QUERY_DATE", "SOURCE_SYSTEM"], "helplines_advicepro_accessava": ["LA_NAME", "MONTH_DATE", "SOURCE_SYSTEM", "UT1", "QUERY_COUNT"],
+    "mart_la_query_summary": ["LA_NAME", "SOURCE_SYSTEM", "QUERY_COUNT"], "conversations_monthly": ["TENANT_NAME", "CONVERSATION_MONTH", "CONVERSATION_COUNT"],
+    "conversations_total": ["TENANT_NAME", "TOTAL_CONVERSATIONS"], "persona_bridge": ["TRANSCRIPT_ID", "PERSONA"], "persona_dim": ["PERSONA_ID", "PERSONA"], "s_c_csi_map": ["s_c_csi_id"]}
+
+
+def _accepted_sql(model: str, column: str, values: list[str], severity: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return _summary_sql(model, "accepted_values", column, severity, f"count(DISTINCT {column}) FILTER ({column} NOT IN ({listed}))", model)
+
+
+SQL["declared_tests"] = compose("SELECT *, CASE WHEN FAILURES = 0 THEN 'pass' WHEN SEVERITY = 'warn' THEN 'warn' ELSE 'fail' END AS STATUS FROM (\n" + "\nUNION ALL\n".join([
+    *[_summary_sql(m, "not_null", c, "error", f"COUNT(*) FILTER (WHERE {c} IS NULL)", m) for m, columns in _NOT_NULL.items() for c in columns],
+    *[_accepted_sql(m, "SOURCE_SYSTEM", values, "error") for m, values in _SYSTEMS.items()],
+    _accepted_sql("people_receiving_care", "metric", ["new_clients", "long_term_clients"], "warn"),
+    *[_unique_sql(m, c, m) for m, c in (("conversations_total", "TENANT_NAME"), ("persona_dim", "PERSONA_ID"), ("persona_dim", "PERSONA"), ("s_c_csi_map", "s_c_csi_id"))],
+    _summary_sql("conversations_monthly", "unique_combination_of_columns", "TENANT_NAME,CONVERSATION_MONTH", "error", "COUNT(*)",
+                 "(SELECT 1 FROM conversations_monthly GROUP BY TENANT_NAME, CONVERSATION_MONTH HAVING COUNT(*) > 1) f"),
+    _summary_sql("case_topic_bridge", "relationships", "s_c_csi_id", "warn", "COUNT(*)",
+                 "case_topic_bridge b ANTI JOIN s_c_csi_map m USING (s_c_csi_id) WHERE s_c_csi_id IS NOT NULL"),
+    _summary_sql("universal_themes_map", "fanout_guard", "t1,t2", "warn", "COUNT(*)",
+                 "(SELECT 1 FROM universal_themes_map WHERE org = 'advicepro' GROUP BY lower(trim(t1)), lower(trim(t2)) HAVING COUNT(*) > 1) f"),
+    _summary_sql("topic_entry_point_map", "fanout_guard", "topic_entry_point", "warn", "COUNT(*)",
+                 "(SELECT 1 FROM topic_entry_point_map GROUP BY lower(trim(topic_entry_point)) HAVING COUNT(*) > 1) f"),
+]) + "\n) tests")
+SQL["windows_by_month"] = SQL["query_segments_all_las"]
+
+
+def _long_sql(family: str) -> str:
+    dims = FAMILY_DIMS[family]
+    dim = f"CAST({dims[1]} AS VARCHAR)" if len(dims) > 1 else "CAST(NULL AS VARCHAR)"
+    letters = "HAS_LETTER_RAW" if family == "legal_letters" else "CAST(NULL AS BIGINT)"
+    rows = CTES[f"int_{family}"].replace("stg_la_topic_mentions_slice", "stg_la_topic_mentions")
+    return f"SELECT '{family}' AS FAMILY, LA_NAME, {dim} AS DIM, QUERY_COUNT_RAW, {letters} AS HAS_LETTER_RAW, TIME_WINDOW_MONTHS FROM (\n{rows}\n) {family}"
+
+
+SQL["windows_incremental"] = compose("\nUNION ALL\n".join(_long_sql(f) for f in FAMILY_DIMS))
+SQL["conversations_monthly_bitmaps"] = SQL["conversations_monthly"]
+SQL["conversations_total_bitmaps"] = SQL["conversations_total"]
+SQL["incremental_new_keys_filtered"] = SQL["incremental_new_keys"]
+SQL["locality_stream"] = compose(f"""
+SELECT r."Case Reference" AS CASE_REFERENCE, d.la_name AS LA_NAME, d.county AS COUNTY, d.county_code AS COUNTY_CODE
+FROM postcode_report r LEFT JOIN postcode_directory d ON r."Postcode" = d.postcode
+WHERE r."Postcode" IS NOT NULL AND trim(r."Postcode", {WS}) <> ''""")
+SQL["latest_snapshot_by_folder"] = SQL["latest_snapshot"]

@@ -307,14 +307,20 @@ def q_fanout(spark, sf):
 
 @register("recon_totals")
 def q_recon_totals(spark, sf):
+    """Both sides from one read of each source: the rows of the area and month are kept, staged and counted."""
     fx = Fixtures.of(spark, sf)
-    model = (checks.recon_model_breakdown(_monthly(fx), TARGET_LA, RECON_MONTH)
+    ava, cases, topics, help_ = checks.recon_slices(fx.accessava, fx.advicepro_casework, fx.case_topic_bridge, fx.helplines_aggregated_full, TARGET_LA, RECON_MONTH)
+    staged = staging.stg_la_topic_mentions(
+        staging.stg_accessava(ava, fx.accessava_locality, fx.topic_entry_point_map),
+        staging.stg_advicepro(cases, topics, fx.s_c_csi_map, fx.universal_themes_map, fx.advicepro_demographics, fx.casework_locality),
+        staging.stg_helplines(help_))
+    model = (checks.recon_model_breakdown(staging.monthly_theme_counts(staged), TARGET_LA, RECON_MONTH)
              .groupBy("SOURCE_SYSTEM").agg(F.sum("N").cast("bigint").alias("TOTAL")))
-    h = checks.recon_helplines_raw(fx.helplines_aggregated_full, TARGET_LA, RECON_MONTH).agg(
+    h = checks.recon_helplines_raw(help_, TARGET_LA, RECON_MONTH).agg(
         F.lit("Helplines").alias("SOURCE_SYSTEM"), F.sum("N").cast("bigint").alias("TOTAL"))
-    a = checks.recon_accessava_raw(fx.accessava, TARGET_LA, RECON_MONTH).select(
+    a = checks.recon_accessava_raw(ava, TARGET_LA, RECON_MONTH).select(
         F.lit("AccessAva").alias("SOURCE_SYSTEM"), F.col("CONVERSATIONS").alias("TOTAL"))
-    p = checks.recon_advicepro_raw(fx.advicepro_casework, fx.case_topic_bridge, TARGET_LA, RECON_MONTH).select(
+    p = checks.recon_advicepro_raw(cases, topics, TARGET_LA, RECON_MONTH).select(
         F.lit("AdvicePro").alias("SOURCE_SYSTEM"), F.col("TOPIC_PAIRS").alias("TOTAL"))
     return checks.recon_totals(model, h.unionByName(a).unionByName(p))
 
@@ -651,15 +657,15 @@ def q_narrative_data(spark, sf):
 
 
 def _land_manifest(spark, sf):
-    """A manifest document of one dataset per nation, in a landing folder."""
+    """A manifest document of one dataset per supplier, in a landing folder."""
     path = f"{_landing(spark, sf, 'external')}/manifest.json"
-    k = F.col("n_nationkey")
+    k = F.col("s_suppkey")
     status = F.when(k % 4 == 0, "SUCCESS").when(k % 4 == 1, "NO_UPDATE").when(k % 4 == 2, "LIMITATION").otherwise("PARTIAL")
     drift = F.array(F.struct(F.lit("SCHEMA_DRIFT").alias("code"), F.lit("m").alias("message"), F.lit("d").alias("details")))
-    dataset = F.struct(F.concat(F.lit("nation_"), k.cast("string")).alias("dataset_id"), status.alias("status"),
+    dataset = F.struct(F.concat(F.lit("supplier_"), k.cast("string")).alias("dataset_id"), status.alias("status"),
                        F.struct(F.when(k % 8 == 0, drift).alias("warnings")).alias("provenance"))
-    # one document by nature, an entry per nation
-    doc = Fixtures.of(spark, sf).t("nation").agg(F.collect_list(dataset).alias("datasets"))
+    # one document by nature, an entry per dataset
+    doc = Fixtures.of(spark, sf).t("supplier").agg(F.collect_list(dataset).alias("datasets"))
     doc.select(F.to_json(F.struct(F.lit("run-x").alias("run_id"), F.lit("now").alias("run_at"), "datasets")).alias("value")).write.mode("overwrite").text(path)
     return path
 
@@ -669,3 +675,143 @@ def q_manifest_datasets(spark, sf):
     from carepulse.plans.external import read_manifest
     x = ingest.with_drift_flag(read_manifest(spark, _land_manifest(spark, sf)))
     return x.select("run_id", "dataset_id", "status", F.col("DRIFT_FLAG").isNotNull().alias("drifted"))
+
+
+# ------------------------------------------------- tables that are kept up ---
+import json  # noqa: E402
+import uuid  # noqa: E402
+
+from carepulse.operators import distinct, incremental, membership  # noqa: E402
+from carepulse.plans import pipeline  # noqa: E402
+from carepulse.plans.external import load_external_sources  # noqa: E402
+from carepulse.sources import layout, versioned  # noqa: E402
+
+
+def _fresh(spark, sf: str, key: str) -> str:
+    """A folder of this run's own, for what starts from nothing."""
+    return f"{_landing(spark, sf, key)}/{uuid.uuid4().hex}"
+
+
+def _put_manifest(spark, folder: str, run: str, datasets: list[tuple[str, str, bool]]) -> None:
+    warning = {"warnings": [{"code": "SCHEMA_DRIFT", "message": "m", "details": "d"}]}
+    doc = {"run_id": run, "run_at": fxm.RUN_AT, "datasets": [{"dataset_id": d, "status": s, **({"provenance": warning} if w else {})} for d, s, w in datasets]}
+    spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/manifest.json")
+
+
+@register("external_load")
+def q_external_load(spark, sf):
+    """Two loads of datasets with columns of their own, from manifest and CSV files to published tables: the second
+    replaces what it brings, loads one for the first time, and leaves the skipped ones as they were."""
+    fx, base = Fixtures.of(spark, sf), _fresh(spark, sf, "external_load")
+    land, target = f"{base}/land", f"{base}/tables"
+    lines = fx.t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").withColumnsRenamed({"l_orderkey": "k", "l_linenumber": "v"})
+    orders = fx.t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"), "o_orderstatus")
+    put = lambda df, name: df.write.mode("overwrite").option("header", True).csv(f"{land}/{name}.csv")
+    for flag in ("A", "N", "R"):
+        put(lines.filter(F.col("l_returnflag") == flag).drop("l_returnflag"), f"lines_{flag}")
+    put(orders.filter(F.col("o_orderstatus") == "F"), "orders_F")
+    put(orders.filter(F.col("o_orderstatus") == "P"), "orders_P")
+    plain, status = "k bigint, v bigint", "k bigint, v bigint, o_orderstatus string"
+    schemas = {**{f"lines_{f}": plain for f in "AN"}, "orders_F": status, "orders_O": status}
+    _put_manifest(spark, land, "run-1", [("lines_A", "SUCCESS", False), ("lines_N", "SUCCESS", True), ("lines_R", "SUCCESS", False), ("orders_F", "SUCCESS", False), ("orders_P", "LIMITATION", False)])
+    load_external_sources(spark, land, target, schemas)
+    put(lines.filter((F.col("l_returnflag") == "R") & (F.col("v") % 2 == 1)).drop("l_returnflag"), "lines_R")
+    put(orders.filter(F.col("o_orderstatus") == "O"), "orders_O")
+    _put_manifest(spark, land, fxm.RUN_ID, [("lines_A", "NO_UPDATE", True), ("lines_R", "SUCCESS", True), ("orders_F", "SUCCESS", False), ("orders_O", "NO_UPDATE", False), ("orders_P", "LIMITATION", False)])
+    load_external_sources(spark, land, target, schemas)
+    parts = [versioned.read_table(spark, f"{target}/{n}").select(F.lit(n).alias("DATASET_ID"), F.col("k").cast("bigint").alias("K"), F.col("v").cast("bigint").alias("V"), F.col("_RUN_ID").alias("RUN_ID"), F.col("_DRIFT_FLAG").isNotNull().alias("DRIFTED"))
+             for n in versioned.list_tables(spark, target)]
+    return checks.union_summaries(parts)
+
+
+@register("declared_tests")
+def q_declared_tests(spark, sf):
+    """Every declared test: on the rows while the models are written, on sets from the written tables."""
+    src = pipeline.Sources.from_fixtures(Fixtures.of(spark, sf))
+    return pipeline.build_models(spark, src, _fresh(spark, sf, "declared_tests"))[1]
+
+
+@register("windows_by_month")
+def q_windows_by_month(spark, sf):
+    """Windows over mentions that are laid out by month: the scan opens the folders of the longest window only."""
+    laid = versioned.publish(layout.by_month(mentions(Fixtures.of(spark, sf))), _fresh(spark, sf, "mentions"), [windows.MONTH_COL])
+    return windows.family_windows(laid, "query_segments", AS_OF)
+
+
+def _long(families: dict[str, DataFrame]) -> DataFrame:
+    """All intermediates as one table: the dimension beside the area as text."""
+    parts = []
+    for family, dims in windows.FAMILY_SETS.items():
+        df = families[family]
+        dim = F.col(dims[1]).cast("string") if len(dims) > 1 else F.lit(None).cast("string")
+        letters = F.col("HAS_LETTER_RAW") if family == "legal_letters" else F.lit(None).cast("bigint")
+        parts.append(df.select(F.lit(family).alias("FAMILY"), "LA_NAME", dim.alias("DIM"), "QUERY_COUNT_RAW", letters.alias("HAS_LETTER_RAW"), windows.WINDOW_COL))
+    return checks.union_summaries(parts)
+
+
+@register("windows_incremental")
+def q_windows_incremental(spark, sf):
+    """Every family of every LA after a first build and two loads at later dates, each from the state before it."""
+    m = mentions(Fixtures.of(spark, sf)).checkpoint()
+    dates = ["2001-06-30", "2001-07-31", AS_OF]
+    when = F.when(F.col("QUERY_DATE") <= dates[0], 0).when(F.col("QUERY_DATE") <= dates[1], F.pmod(F.xxhash64(*m.columns), F.lit(3)).cast("int")).otherwise(2)
+    days = incremental.daily_sums(m.filter(when == 0)).checkpoint()
+    totals = incremental.window_totals(days, dates[0]).checkpoint()
+    for i in (1, 2):
+        new = incremental.daily_sums(m.filter(when == i)).checkpoint()
+        totals = incremental.advance(totals, days, new, dates[i - 1], dates[i]).checkpoint()
+        days = incremental.recent(incremental.add_days(days, new), dates[i])
+    return _long(incremental.families(totals))
+
+
+def _bitmaps(spark, sf):
+    """The monthly bitmaps of two loads, merged; the second load's conversations get keys after the first one's."""
+    rows = Fixtures.of(spark, sf).accessava.select("transcript_id", "tenant_name", "created_at").checkpoint()
+    late = F.pmod(F.xxhash64("transcript_id", "created_at"), F.lit(4)) == 0
+    first, second = rows.filter(~late), rows.filter(late)
+    keys = chatbot.dense_keys(first, "transcript_id", distinct.KEY).checkpoint()
+    both = keys.unionByName(chatbot.extend_keys(keys, second, "transcript_id", distinct.KEY))
+    return distinct.merge_bitmaps(distinct.conversation_bitmaps(first, keys), distinct.conversation_bitmaps(second, both))
+
+
+@register("conversations_monthly_bitmaps")
+def q_monthly_bitmaps(spark, sf):
+    return distinct.monthly_from_bitmaps(_bitmaps(spark, sf))
+
+
+@register("conversations_total_bitmaps")
+def q_total_bitmaps(spark, sf):
+    return distinct.total_from_bitmaps(_bitmaps(spark, sf))
+
+
+@register("incremental_new_keys_filtered")
+def q_new_keys_filtered(spark, sf):
+    """As ``incremental_new_keys``, by the target's stored key filter: two appends, the second's keys merged in."""
+    fx = Fixtures.of(spark, sf)
+    rep = ingest.normalise_columns(fxm.postcode_report(fx))
+    known, key = fx.casework_locality, "case_reference"
+    blocks = membership.blocks_for(known.count())
+    early = F.pmod(F.xxhash64(key), F.lit(3)) > 0
+    stored = membership.merge_filters(membership.key_filter(known.filter(early), key, blocks), membership.key_filter(known.filter(~early), key, blocks))
+    return membership.new_rows(rep, key, stored, blocks, known)
+
+
+@register("locality_stream")
+def q_locality_stream(spark, sf):
+    """Reports that repeat cases, landed in two goes: the stream appends each new case once."""
+    from carepulse.streaming.locality import start_locality_stream
+    fx, base = Fixtures.of(spark, sf), _fresh(spark, sf, "locality_stream")
+    rep = fxm.postcode_report(fx)
+    early = F.pmod(F.xxhash64("Case Reference"), F.lit(2)) == 0
+    for part in (rep.filter(early).unionByName(rep.filter(early)), rep):
+        part.write.mode("append").option("header", True).csv(f"{base}/landing")
+        start_locality_stream(spark, f"{base}/landing", f"{base}/target", fxm.postcode_directory(fx), checkpoint=f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/target")
+
+
+@register("latest_snapshot_by_folder")
+def q_latest_by_folder(spark, sf):
+    """As ``latest_snapshot``, with a folder per snapshot: the folders' names tell the last, and it alone is read."""
+    signals, table = fxm.peer_signals(Fixtures.of(spark, sf)), _fresh(spark, sf, "signals")
+    signals.repartition("file_name").write.partitionBy("file_name").parquet(table)
+    return files.latest_partition(spark, table, "file_name", signals.schema).select(*signals.columns)

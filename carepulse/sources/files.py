@@ -31,6 +31,13 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
                      F.col("modificationTime").alias("modification_time"), "length")
 
 
+def list_names(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """Names (file_name) of what stands in ``folder`` and matches, a file or a folder of part files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return spark.createDataFrame([(s.getPath().getName(),) for s in found or []], "file_name string")
+
+
 # A16 --------------------------------------------------------------------------
 def latest_file(spark: SparkSession, folder: str, glob: str) -> str | None:
     """Path of the lexicographically last file matching ``glob`` (dated
@@ -49,6 +56,19 @@ def read_latest_csv(spark: SparkSession, folder: str, glob: str, schema: StructT
     return reader.csv(path)
 
 
+def latest_partition(spark: SparkSession, table: str, column: str, schema: StructType | str, fmt: str = "parquet") -> DataFrame:
+    """Rows of the last value of a table's partition column, as ``ingest.latest_snapshot`` of the whole.
+
+    The value is the greatest of the folders' names, so no data is read to find it, and the scan opens its folder only.
+    ``schema`` has the column; an empty table gives no rows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    listed = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    values = [unescape(n.removeprefix(f"{column}=")) for n in (s.getPath().getName() for s in listed) if n.startswith(f"{column}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__")]
+    rows = spark.read.format(fmt).schema(schema).load(table)
+    return rows.filter(F.col(column) == max(values)) if values else rows.limit(0)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is stored at ``path``; any other trouble with the store is raised, not taken for absence."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
