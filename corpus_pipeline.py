@@ -33,7 +33,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = simhash.simhash_groups(keyed.select("doc_id", "text", "__sum"), carry=["doc_id", "__sum"], root=True)
     # by the group's root: groups of rows that repeat an id, or have none, share their smallest id and each keeps a row of its own
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("component_id").alias("__id"), F.min("__sum").alias("__sum"))
-    return keyed.join(stay, same_row(keyed, stay), "left_semi").dropDuplicates(["__id", "__sum"]).select(COLUMNS)
+    # rows that repeat an id and a text are one document; which one stays is settled by their other columns
+    one = keyed.join(stay, same_row(keyed, stay), "left_semi").groupBy("__id", "__sum").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("r"))
+    return one.select(F.col("__id").alias("doc_id"), "r.text", "r.lang", "r.source", "r.n_chars")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
