@@ -1,7 +1,8 @@
 """BPE encoding and decoding, identical to the tokenizers library.
 
 A text is normalised and split into words as the vocabulary file says, and each distinct word is
-encoded once per worker process (until its bounded cache is full).  A stretch that nothing splits and that is longer than ``LONG`` characters
+encoded once per task (until its bounded cache is full); a task ends without
+leaving the vocabulary or the cache behind in its worker process, where later stages need the memory.  A stretch that nothing splits and that is longer than ``LONG`` characters
 is encoded as a tree: its leaves of ``LEAF`` characters are encoded together, then neighbours are joined level
 by level.  At each join the last tokens on the left and the first on the right are encoded
 again as one window, which grows until its first token is the left side's and its last the right side's.
@@ -15,7 +16,6 @@ Null and empty texts have no tokens: ids ``""`` and decoded ``""``.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 from pathlib import Path
@@ -28,7 +28,7 @@ from carepulse.llm import common as C
 
 MAX_FILE = 64 << 20
 LONG, LEAF = 2048, 512
-#: Distinct words kept per worker process.
+#: Distinct words kept by a task.
 CACHE = 300_000
 #: Letters and signs below U+0250 without the odd control and space characters: stable under NFC, and lowered alike everywhere.
 PLAIN = regex.compile(r"[\t\n\r !-~¡-ɏ]*")
@@ -135,12 +135,6 @@ class Codec:
         return self.lib.decode(ids, skip_special_tokens=False)
 
 
-@functools.lru_cache(maxsize=1)
-def codec(spec: str) -> Codec:
-    """One codec, with its word cache, serves all tasks of a worker process."""
-    return Codec(spec)
-
-
 def _byte_characters() -> list[int]:
     """The character that stands for each byte: itself if printable, else the next from U+0100 on."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -160,7 +154,7 @@ def bpe_round_trip(docs: DataFrame, path: str, carry: list[str] | None = None, t
     result = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded string" * tokens
 
     def work():
-        own = codec(sent.value)
+        own = Codec(sent.value)
 
         def f(texts):
             made = [own.encode(t) for t in texts.to_pylist()]
@@ -168,4 +162,4 @@ def bpe_round_trip(docs: DataFrame, path: str, carry: list[str] | None = None, t
             return out + [pa.array([m[k] for m in made], pa.string()) for k in (0, 1)] * tokens
         return f
 
-    return C.map_texts(docs, result, work, ["doc_id"] if carry is None else carry)
+    return C.map_texts(docs, result, work, ["doc_id"] if carry is None else carry, after=C.hand_back)

@@ -11,6 +11,9 @@ Conventions that hold for every operator of this subpackage:
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -82,12 +85,20 @@ def result_schema(df: DataFrame, carry: list[str], result: str) -> StructType:
     return StructType(kept + out.fields)
 
 
-def map_texts(df: DataFrame, result: str, work: Callable[[], Callable], carry: list[str], text: str = "text") -> DataFrame:
+def hand_back() -> None:
+    """Return to the system what a task has freed: its worker process is used again and would hold it while others need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_texts(df: DataFrame, result: str, work: Callable[[], Callable], carry: list[str], text: str = "text", after: Callable[[], None] | None = None) -> DataFrame:
     """Append result columns computed from ``text``; no shuffle.
 
     ``work()`` is called once per task and returns ``f(texts) -> list of arrays``,
     where ``texts`` is an Arrow string array without nulls of about
-    ``CHUNK_BYTES`` bytes, and each array has one value per text.
+    ``CHUNK_BYTES`` bytes, and each array has one value per text.  ``after()`` is called when a task has let go of ``f``.
     """
     schema = result_schema(df, carry, result)
     kept = [c for c in carry if c not in StructType.fromDDL(result).names]
@@ -102,6 +113,9 @@ def map_texts(df: DataFrame, result: str, work: Callable[[], Callable], carry: l
                 made = [x if isinstance(x, pa.Array) else pa.array(x) for x in f(texts)]
                 cols = [part.column(i) for i in range(n_kept)] + made
                 yield pa.RecordBatch.from_arrays([c if c.type == t.type else c.cast(t.type) for c, t in zip(cols, arrow, strict=True)], schema=arrow)
+        if after:
+            f = texts = made = None
+            after()
 
     return map_arrow(df.select(*[df[c] for c in kept], df[text].alias("__text")), run, schema)
 

@@ -23,11 +23,13 @@ def test_stages_on_messy_rows(spark, messy, docs, small_sf):
 
 
 def test_near_duplicates_keep_one_of_each_group(spark, docs, messy, small_sf):
-    from carepulse.llm.simhash import simhash_groups
+    """As many rows as brute-force groups: a repeated id, or none, names no group."""
+    from test_dedup import brute_fingerprint, brute_groups
     plain = docs.select(corpus_pipeline.COLUMNS)
     kept = corpus_pipeline.near_duplicates(spark, plain, small_sf).collect()
-    groups = simhash_groups(plain).select("component_id").distinct().count()
-    assert len(kept) == groups
+    groups = brute_groups({brute_fingerprint(r[1]) for r in messy})
+    assert len(kept) == len(set(groups.values()))
+    assert len({groups[brute_fingerprint(r.text)] for r in kept}) == len(kept)
 
 
 def test_near_duplicates_of_repeated_and_missing_ids(spark, small_sf):

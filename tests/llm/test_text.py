@@ -154,7 +154,7 @@ def codec():
     lib = Tokenizer.from_file(BPE_FILE)
     lib.no_truncation()
     lib.no_padding()
-    return bpe.codec(bpe.read_spec(BPE_FILE)), lib
+    return bpe.Codec(bpe.read_spec(BPE_FILE)), lib
 
 
 def same(codec, text):
