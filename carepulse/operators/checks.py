@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -228,10 +230,16 @@ def recon_slices(accessava: DataFrame, casework: DataFrame, bridge: DataFrame, h
     """The rows of one area and month of each source as checkpoints, so that the model and the raw side of a reconciliation
     read each source once between them.  A case's topics are those of the cases that are left."""
     spelled = F.col("case_open_month").isin(month[:7].replace("-", "/"), month[:7])
-    ava = accessava.filter((F.col("la_name") == la) & _in_month("created_at", month)).checkpoint()
-    cases = casework.filter((F.col("la_name") == la) & spelled).checkpoint()
-    topics = bridge.join(cases.select("case_reference").distinct(), "case_reference", "left_semi").checkpoint()
-    return ava, cases, topics, helplines.filter((F.col("la_name") == la) & _in_month("month_date", month)).checkpoint()
+
+    def of_cases():
+        cases = casework.filter((F.col("la_name") == la) & spelled).checkpoint()
+        return cases, bridge.join(cases.select("case_reference").distinct(), "case_reference", "left_semi").checkpoint()
+
+    parts = (lambda: accessava.filter((F.col("la_name") == la) & _in_month("created_at", month)).checkpoint(), of_cases,
+             lambda: helplines.filter((F.col("la_name") == la) & _in_month("month_date", month)).checkpoint())
+    with ThreadPoolExecutor(len(parts)) as pool:   # the sources have nothing to wait for in each other
+        ava, (cases, topics), help_ = pool.map(inheritable_thread_target(accessava.sparkSession)(lambda part: part()), parts)
+    return ava, cases, topics, help_
 
 
 # T12 --------------------------------------------------------------------------

@@ -142,8 +142,8 @@ def stg_advicepro(casework: DataFrame, bridge: DataFrame, csi_map: DataFrame, th
     """Casework cases at topic-mention grain, mapped to UT1/UT2.
 
     Every large join keys on case_reference, so each input is shuffled once
-    and the joins reuse that partitioning; the two taxonomy maps are
-    size-checked broadcasts that keep it.  The case x topic bridge joins
+    and the joins reuse that partitioning; the two taxonomy maps
+    are broadcast where Spark finds them small.  The case x topic bridge joins
     first: it is the side where one case could hold a large share of the
     rows, and only a join whose two inputs come straight from a shuffle can
     have a hot partition split by AQE's skew handling.

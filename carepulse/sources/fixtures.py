@@ -53,7 +53,7 @@ class Fixtures:
 
     ``Fixtures.of(spark, sf_dir)`` returns one shared instance per session
     and folder: the views are immutable plans, so queries of one session can
-    share their declarations (and the lookup-size probes remembered on them).
+    share their declarations.
     Nothing is cached as data; every query executes its whole plan.
     """
 
