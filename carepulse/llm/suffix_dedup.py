@@ -330,7 +330,8 @@ def repeats(keyed: DataFrame, length: int, gram: int, group: int) -> DataFrame:
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, text: bool = True) -> DataFrame:
     """Every document with n_bytes, n_removed, n_spans, kept_sha256 and with ``text`` the ``kept`` bytes (removal can cut a character)."""
     keyed = C.row_key(docs.select("doc_id", "text"))
-    found = repeats(keyed, length, gram, group).groupBy("__id", "__sum").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    # a set, combined in the map tasks: rows that repeat an id and a text have one list, no longer than one text's runs; a table, so that the join can split them
+    found = C.checkpoint_table(repeats(keyed, length, gram, group).groupBy("__id", "__sum").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
     texts = packed(keyed)
     both = texts.join(found, C.same_row(texts, found), "left").select(texts["__id"], texts["z"], "spans")
     schema = C.result_schema(docs, ["doc_id"], "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * text)

@@ -35,6 +35,15 @@ def test_suffixes_match_brute_force(docs, messy, group):
     assert sorted(map(tuple, got), key=str) == brute_suffixes(messy, 200)
 
 
+def test_suffixes_of_a_row_that_repeats_thousands_of_times(spark):
+    """All copies of a row share one list of spans, as long as one row's; null ids repeat too."""
+    rnd = random.Random(2)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(1500))
+    rows = [(None, text)] * 3000 + [(7, text)] * 50 + [(8, "x" + text[300:900] + "y"), (9, text[:150])]
+    got = collections.Counter(map(tuple, suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), text=False).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()))
+    assert got == {(None, 1500, 1500, 1): 3000, (7, 1500, 1500, 1): 50, (8, 602, 600, 1): 1, (9, 150, 0, 0): 1}
+
+
 def test_suffix_collisions_are_found_by_bytes(monkeypatch):
     """With a hash that always collides, only the bytes tell repeats apart."""
     data = np.frombuffer(b"abcdefgh" + b"abcdefgh" + b"abcdefgx", np.uint8)
