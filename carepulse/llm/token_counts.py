@@ -10,7 +10,9 @@ No unigram model is among the public files, so the vocabulary and its scores are
 the piece model that is; its scores are whole numbers, hence sums are exact, and the best
 path of a text is made of the best paths between places that no piece spans.  Texts are cut
 there (before each word mark, and around characters that no piece holds), and each distinct
-stretch is worked out once per worker process (until its bounded cache is full).
+stretch is worked out once per worker process (until its bounded cache is full).  Matches are
+taken as the automaton finds them and states kept for the longest piece's length, so a
+stretch without a cut, however long, takes no memory beside its characters.
 
 White space is marked as the tokenizer's metaspace does: every space becomes a word mark and a text
 that doesn't begin with one gets one.  Null and empty texts have no tokens.
@@ -48,6 +50,7 @@ class Counter:
         for piece, score in pieces:
             self.auto.add_word(piece, (len(piece), float(score)))
         self.auto.make_automaton()
+        self.states = 1 + max(len(piece) for piece, _ in pieces)
         if any(score != int(score) for _, score in pieces):
             raise ValueError("scores must be whole numbers for sums to be exact")
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
@@ -63,21 +66,26 @@ class Counter:
 
     def viterbi(self, s: str) -> int:
         """Pieces of the best path over ``s``."""
-        n = len(s)
-        score, count = [0.0] + [None] * n, [0] * (n + 1)
-        found: list[list] = [[] for _ in range(n)]
-        for end, (length, worth) in self.auto.iter(s):
-            found[end].append((length, worth))
+        n, size = len(s), min(self.states, len(s) + 1)
+        # the states before the last ``size`` places, by place modulo ``size``: no piece begins before them
+        score, count = [0.0] * size, [0] * size
+        matches = self.auto.iter(s)
+        at, piece = next(matches, (n, None))
         for end in range(n):
-            best, many = None, 0
-            for length, worth in sorted(found[end], reverse=True):
-                start = end + 1 - length
+            best, many, here = None, 0, []
+            while at == end:
+                here.append(piece)
+                at, piece = next(matches, (n, None))
+            if len(here) > 1:
+                here.sort(reverse=True)
+            for length, worth in here:
+                start = (end + 1 - length) % size
                 if best is None or worth + score[start] > best:
                     best, many = worth + score[start], count[start] + 1
-            if s[end] not in self.single and (best is None or self.unknown + score[end] > best):
-                best, many = self.unknown + score[end], count[end] + len(s[end].encode("utf-8", "surrogatepass"))
-            score[end + 1], count[end + 1] = best, many
-        return count[n]
+            if s[end] not in self.single and (best is None or self.unknown + score[end % size] > best):
+                best, many = self.unknown + score[end % size], count[end % size] + len(s[end].encode("utf-8", "surrogatepass"))
+            score[(end + 1) % size], count[(end + 1) % size] = best, many
+        return count[n % size]
 
     def __call__(self, text: str) -> int:
         if not text:
@@ -86,7 +94,8 @@ class Counter:
         if text[0] != MARK:
             text = MARK + text
         cache, total = self.cache, 0
-        for s in self.stretch.findall(text):
+        for found in self.stretch.finditer(text):
+            s = found[0]
             n = cache.get(s)
             if n is None:
                 if len(cache) >= CACHE:
