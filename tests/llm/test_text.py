@@ -1,9 +1,12 @@
 """Decontamination, quality rules, chat formatting, BPE, language ID and token counts against brute force."""
 
 import collections
+import functools
 import hashlib
+import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -200,6 +203,63 @@ def test_token_counts_are_the_unigram_tokenizers(docs, messy):
         assert own(t) == want(t), t
 
 
+def test_token_counts_of_a_long_unbroken_stretch():
+    pieces = token_counts.read_pieces(PIECES)
+    lib, own = models.Unigram(list(pieces), 0, True), token_counts.Counter(pieces)
+    rnd = random.Random(11)
+    text = "".join(rnd.choice("abcdefghijklmnoprstu") for _ in range(200_000))
+    assert own(text) == len(lib.tokenize(token_counts.MARK + text))
+    tracemalloc.start()
+    try:
+        own.viterbi(text)
+        assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("languages", [1, 2, 1000])
+def test_language_blocks_agree_with_brute_force(spark, languages):
+    rnd = random.Random(3)
+    letters = {f"l{i}": rnd.sample("abcdefghijklmnopqrstuvwxyzäöüéß", 6) for i in range(5)}
+    rows = [(i, " ".join("".join(rnd.choice(letters[lang]) for _ in range(rnd.randint(1, 5))) for _ in range(rnd.randint(1, 12))), lang) for i, lang in enumerate(rnd.choices(sorted(letters), k=80))]
+    rows += [(90, None, "l0"), (91, "12 !", "l1"), (92, "zq", None), (93, "äö " * 400, "l2")]
+    buckets = 128
+    grams = {}
+    for i, text, _ in rows:
+        out = []
+        for n in language_id.ORDERS:
+            low = [ord(c) for c in (text or "").lower()]
+            for a in range(len(low) - n + 1):
+                h = functools.reduce(lambda v, c: (v * 0x110011 + c) % 2**64, low[a:a + n], 0)
+                out.append((((h + n) * 0x9E3779B97F4A7C15 % 2**64) >> 40) % buckets)
+        grams[i] = out
+    counts = {}
+    for i, text, lang in rows:
+        if lang and text is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts.setdefault(lang, collections.Counter()).update(grams[i])
+    logs = {lang: [round(language_id.SCALE * math.log((c[b] + 1) / (c.total() + buckets))) for b in range(buckets)] for lang, c in counts.items()}
+    got = {r.doc_id: r for r in language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"), buckets=buckets, languages=languages).collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        if not text or not any(c.isalpha() for c in text):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        total = {lang: sum(m[b] for b in grams[i]) for lang, m in logs.items()}
+        best = min(total, key=lambda x: (-total[x], x))
+        unit = min(len(grams[i]), 50) / len(grams[i]) / language_id.SCALE
+        assert got[i].lang_pred == best
+        assert got[i].score == pytest.approx(1 / sum(math.exp((v - total[best]) * unit) for v in total.values()), rel=1e-9)
+
+
+def test_thousands_of_languages(spark):
+    rows = [(i, f"text {i} {'abcdefghij'[i % 10] * 4}", f"lang{i:05d}") for i in range(9000)]
+    got = language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"), buckets=256, languages=2000)
+    learned = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(learned) > 6000
+    rows = got.collect()
+    assert len(rows) == 9000 and all(r.lang_pred in learned and 0 < r.score <= 1 for r in rows)
+
+
 def test_language_of_held_out_documents(spark, small_sf):
     rows = spark.read.parquet(f"{small_sf}/documents.parquet")
     got = {r.doc_id: r for r in language_id.language_id(rows).collect()}
