@@ -82,18 +82,19 @@ def incremental_new_keys(incoming: DataFrame, existing: DataFrame, key: str) ->
 
 
 # A7 ---------------------------------------------------------------------------
-def enrich_postcode(report: DataFrame, existing: DataFrame, directory: DataFrame,
+def enrich_postcode(report: DataFrame, existing: DataFrame | None, directory: DataFrame,
                     key: str = "case_reference", postcode: str = "postcode") -> DataFrame:
     """New cases with a postcode, joined to the postcode directory.
 
     Blank/NULL postcodes are dropped; cases already in the target are
-    skipped; an unresolved postcode keeps the case with NULL geography; the
+    skipped (none are known where ``existing`` is None); an unresolved postcode keeps the case with NULL geography; the
     postcode itself is not stored; output columns are upper-case.  One join
     replaces one lookup call per distinct postcode.
     """
     r = normalise_columns(report).select(key, postcode)
     r = r.filter(F.col(postcode).isNotNull() & (trim_ws(F.col(postcode)) != ""))
-    r = incremental_new_keys(r, existing, key)
+    if existing is not None:
+        r = incremental_new_keys(r, existing, key)
     # one row per postcode: a directory that repeats one must not repeat cases
     rest = [c for c in directory.columns if c != postcode]
     once = directory.groupBy(postcode).agg(F.min(F.struct(*rest)).alias("_d")).select(postcode, *[F.col(f"_d.{c}").alias(c) for c in rest])

@@ -8,6 +8,8 @@ new ones, are joined with the target's keys; when there are none the target is n
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,8 +60,8 @@ def with_maybe_known(rows: DataFrame, key: str, stored: DataFrame, blocks: int,
     return found.withColumn(name, F.coalesce(every & k.isNotNull(), F.lit(False))).select(*[rows[c] for c in rows.columns], name)
 
 
-def new_rows(rows: DataFrame, key: str, stored: DataFrame, blocks: int, target: DataFrame) -> DataFrame:
-    """Rows whose key ``target`` does not have; NULL keys are never known.
+def new_rows(rows: DataFrame, key: str, stored: DataFrame, blocks: int, target: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+    """Rows whose key ``target`` does not have; NULL keys are never known.  A callable target is opened only if it is read.
 
     The flagged rows are a checkpoint, so the rows are worked out once, and whether any may be known is known before the
     target is scanned."""
@@ -68,4 +70,5 @@ def new_rows(rows: DataFrame, key: str, stored: DataFrame, blocks: int, target:
     maybe = flagged.filter("_MAYBE").drop("_MAYBE")
     if maybe.isEmpty():
         return sure
+    target = target() if callable(target) else target
     return sure.unionByName(maybe.join(target.select(F.col(key)), key, "left_anti").select(*rows.columns))

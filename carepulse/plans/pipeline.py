@@ -259,7 +259,8 @@ def run_loaders(inputs: LoaderInputs, out_dir: str, contracts_group: str, locali
     """Stage 1: the four loaders in order; every loader runs, failures are
     counted, and the stage fails at the end if any loader failed."""
     from carepulse.operators import ingest
-    from carepulse.sources.files import append_new_rows, path_exists
+    from carepulse.sources.files import append_new_rows
+    from carepulse.sources.keyed import unseen
 
     out = out_dir.rstrip("/")
     spark = inputs.board.sparkSession
@@ -282,11 +283,8 @@ def run_loaders(inputs: LoaderInputs, out_dir: str, contracts_group: str, locali
         load_external_sources(spark, inputs.external_folder, f"{out}/external_sources", inputs.external_schemas)
 
     def locality():
-        if path_exists(spark, locality_target):
-            existing = spark.read.parquet(locality_target).select(F.col("CASE_REFERENCE").alias("case_reference"))
-        else:
-            existing = spark.createDataFrame([], "case_reference string")
-        new = ingest.enrich_postcode(inputs.postcode_report, existing, inputs.postcode_directory)
+        report = unseen(ingest.normalise_columns(inputs.postcode_report), "case_reference", locality_target, "CASE_REFERENCE")
+        new = ingest.enrich_postcode(report, None, inputs.postcode_directory)
         append_new_rows(new, locality_target, "CASE_REFERENCE", check_unique=True)
 
     for name, step in (("member_orgs", member_orgs), ("demographics", demographics),

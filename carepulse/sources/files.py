@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from carepulse.operators.ingest import incremental_new_keys
-
 
 # A2 ---------------------------------------------------------------------------
 def scan_csv_dataset(spark: SparkSession, folder: str, dataset_id: str,
@@ -80,8 +78,9 @@ def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str =
                     check_unique: bool = False) -> int:
     """Create the target if absent, else append only rows whose key is new.
 
-    The anti join against the target runs in the same job as the write, so
-    a rerun after a partial failure does not duplicate keys.  Single writer
+    Keys are told new by the target's key filter (``sources.keyed``) as it is
+    at the write, so a rerun after a partial failure does not duplicate keys,
+    and the target is read only where a key may be known.  Single writer
     per target.  Returns the number of rows written (from an observed
     metric, not a second pass).  ``check_unique`` first tests the rows that
     would be written (a report may repeat a key) and raises before anything
@@ -90,7 +89,8 @@ def append_new_rows(new_rows: DataFrame, target_path: str, key: str, fmt: str =
     """
     spark = new_rows.sparkSession
     exists = path_exists(spark, target_path)
-    rows = incremental_new_keys(new_rows, spark.read.format(fmt).load(target_path).select(key), key) if exists else new_rows
+    from carepulse.sources.keyed import unseen
+    rows = unseen(new_rows, key, target_path, fmt=fmt)
     if check_unique:
         from carepulse.operators.checks import unique_failures
         dup = unique_failures(rows, key).limit(1).collect()

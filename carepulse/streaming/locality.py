@@ -6,10 +6,11 @@ micro-batch: ``foreachBatch`` runs the same enrichment against the current
 target and appends only new case references, one row each.
 
 * In a batch, a case that is reported more than once is the row with the smallest postcode, whatever the order of rows.
-* Across batches, the anti join against the target drops what was appended before.
+* Across batches, the target's key filter and an exact join on what it lets through drop what was appended before; the
+  target is not read for cases that are new.
 * The checkpoint (in the shared ``spark.checkpoint.dir``) records which files were processed.  A batch that is appended
   leaves a marker with its query's id and number beside the target; replayed after that, it does nothing.  A batch that died
-  while it was appended has no marker and is run again: rows that had already arrived are dropped by the anti join, the
+  while it was appended has no marker and is run again: rows that had already arrived are dropped as known, the
   rest follow, and since a case's row is the same each time the outcome is that of one run.
 """
 
@@ -21,9 +22,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from carepulse.functions.columns import trim_ws
-from carepulse.operators.ingest import enrich_postcode
+from carepulse.operators.ingest import enrich_postcode, normalise_columns
 from carepulse.session import ensure_checkpoint_dir
 from carepulse.sources.files import path_exists
+from carepulse.sources.keyed import unseen
 
 REPORT_SCHEMA = StructType([StructField("Case Reference", StringType()), StructField("Postcode", StringType())])
 
@@ -58,10 +60,8 @@ def start_locality_stream(spark: SparkSession, landing: str, target: str, direct
         if path_exists(spark, marker):
             return
         # only a missing target is a first batch; one that can't be read fails the batch, and nothing is ever overwritten
-        exists = path_exists(spark, target)
-        existing = spark.read.format(fmt).load(target) if exists else spark.createDataFrame([], "CASE_REFERENCE string")
-        existing = existing.withColumnRenamed("CASE_REFERENCE", "case_reference").select("case_reference")
-        enrich_postcode(once_per_case(batch), existing, directory).write.mode("append").format(fmt).save(target)
+        report = unseen(normalise_columns(once_per_case(batch)), "case_reference", target, "CASE_REFERENCE", fmt)
+        enrich_postcode(report, None, directory).write.mode("append").format(fmt).save(target)
         mark(spark, marker)
 
     writer = reports.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
