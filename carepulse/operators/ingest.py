@@ -9,7 +9,7 @@ import functools
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
@@ -291,6 +291,28 @@ def table_metadata(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def landed_metadata(spark: SparkSession, paths: Mapping[tuple[str, str], str]) -> DataFrame:
+    """As ``table_metadata``, of Parquet tables by their paths, without reading a row: counts are pushed into the scan, which
+    takes them from the files' footers, and times come from the listing (so a table whose files hold no row has one).
+
+    The result belongs to a session of its own with the same settings but for the two that let counts be pushed down."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    parts = []
+    for (database, table), path in paths.items():
+        named = F.lit(database).alias("database"), F.lit(table).alias("table_name")
+        counted, files = own.read.parquet(path).agg(F.count(F.lit(1)).alias("n")), own.read.format("binaryFile").load(path)
+        parts += [counted.select(*named, F.col("n").alias("row_count"), F.lit(None).cast("timestamp_ntz").alias("last_altered")),
+                  files.agg(F.max("modificationTime").cast("timestamp_ntz").alias("t")).select(*named, F.lit(None).cast("bigint").alias("row_count"), F.col("t").alias("last_altered"))]
+    both = functools.reduce(DataFrame.unionByName, parts)
+    # files without a row have no count in their footers: the pushed count of a table of such files is NULL
+    return both.groupBy("database", "table_name").agg(F.coalesce(F.max("row_count"), F.lit(0)).cast("bigint").alias("row_count"), F.max("last_altered").alias("last_altered"))
+
+
 def table_staleness(metadata: DataFrame, now: str, databases: Sequence[str], stale_days: int = STALE_DAYS,
                     ordered: bool = False) -> DataFrame:
     """Days since last change (day boundaries crossed) and stale/fresh; a table without a change time is neither."""

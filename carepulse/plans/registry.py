@@ -560,9 +560,9 @@ def q_findings(spark, sf):
 
 @register("table_metadata")
 def q_table_metadata(spark, sf):
-    """Row counts of every landed table; the files' times are only checked to be there."""
+    """Row counts of every landed table, from the files' footers; the files' times are only checked to be there."""
     tables = TableSet(spark, sf)
-    found = ingest.table_metadata({("LANDED", n.upper()): tables(n) for n in DRIVER_TABLES})
+    found = ingest.landed_metadata(spark, {("LANDED", n.upper()): tables.path(n) for n in DRIVER_TABLES})
     return found.select(F.col("database").alias("DATABASE"), F.col("table_name").alias("TABLE_NAME"),
                         F.col("row_count").alias("ROW_COUNT"), F.col("last_altered").isNotNull().alias("HAS_CHANGE_TIME"))
 

@@ -3,6 +3,7 @@ append-only targets (A2, A8, A16, A20)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -115,29 +116,45 @@ def replace_datasets(rows: DataFrame, path: str, key: str = "dataset_id") -> Non
 
 
 # A20 --------------------------------------------------------------------------
+def _replace_folder(spark: SparkSession, written: str, to: str | None) -> None:
+    """Make ``written`` the folder ``to``, or drop it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(written)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if to is None:
+        fs.delete(source, True)
+        return
+    fs.delete(hadoop.Path(to), True)
+    if not fs.rename(source, hadoop.Path(to)):
+        raise OSError(f"{written} could not be renamed to {to}")
+
+
 #: Marts with raw counts: an export refuses them unless told otherwise.
 UNSUPPRESSED = ("mart_la_query_summary",)
 
 
 def export_json(tables: Iterable[tuple[str, DataFrame]], folder: str,
                 refuse_unsuppressed: Sequence[str] = UNSUPPRESSED) -> dict[str, str]:
-    """Write each table as JSON Lines keeping NULL keys; skip empty tables;
-    collect failures and raise at the end.  Tables are processed in name
+    """Write each table as JSON Lines keeping NULL keys; skip empty tables
+    (what they exported before stays); collect failures and raise at the end.
+    Each table is worked out once: its rows are counted while they are written
+    beside the export, which they replace when the write is done, so a write
+    that fails leaves the export before.  Tables are processed in name
     order; names in ``refuse_unsuppressed`` are refused and reported
     (small-number suppression must not be bypassed by an export)."""
+    from pyspark.sql import Observation
     results: dict[str, str] = {}
     failures: list[str] = []
     for name, df in sorted(tables, key=lambda t: t[0]):
         if name in refuse_unsuppressed:
             results[name] = "refused"
             continue
+        to, beside = f"{folder.rstrip('/')}/{name}", f"{folder.rstrip('/')}/_writing-{name}-{uuid.uuid4().hex}"
         try:
-            if df.isEmpty():
-                results[name] = "empty"
-                continue
-            (df.write.mode("overwrite").option("ignoreNullFields", "false")
-             .json(f"{folder.rstrip('/')}/{name}"))
-            results[name] = "ok"
+            obs = Observation(f"exported {name}")
+            df.observe(obs, F.count(F.lit(1)).alias("n")).write.option("ignoreNullFields", "false").json(beside)
+            results[name] = "ok" if obs.get["n"] else "empty"
+            _replace_folder(df.sparkSession, beside, to if obs.get["n"] else None)
         except Exception as e:  # noqa: BLE001
             results[name] = f"failed: {e}"
             failures.append(name)

@@ -123,6 +123,17 @@ def test_export_reports_broken_and_refused_tables(spark, tmpdir_path):
     assert files.export_json([("mart_la_query_summary", good)], tmpdir_path) == {"mart_la_query_summary": "refused"}
 
 
+def test_a_failing_or_empty_export_keeps_the_one_before(spark, tmpdir_path):
+    import pytest
+    good = spark.createDataFrame([("LA", "1-5")], "LA_NAME string, QUERY_COUNT_DISPLAY string")
+    assert files.export_json([("a", good), ("b", good)], tmpdir_path) == {"a": "ok", "b": "ok"}
+    with pytest.raises(RuntimeError, match="export failures: a"):
+        files.export_json([("a", good.select(F.raise_error(F.lit("broken")).alias("x"))), ("b", good.limit(0))], tmpdir_path)
+    assert [spark.read.json(f"{tmpdir_path}/{n}").count() for n in ("a", "b")] == [1, 1]
+    assert files.export_json([("a", good.union(good))], tmpdir_path) == {"a": "ok"}
+    assert spark.read.json(f"{tmpdir_path}/a").count() == 2
+
+
 def _stream(spark, folder, name, text, target):
     from carepulse.streaming.locality import start_locality_stream
     landing = os.path.join(folder, "landing")

@@ -187,6 +187,23 @@ def test_table_metadata_feeds_monitoring(spark, tmpdir_path):
     assert {r.TABLE_NAME: r.STATUS for r in stale.collect()} == {"FULL": "stale", "NONE": "unknown"}
 
 
+def test_landed_metadata_reads_footers_only(spark, tmpdir_path):
+    from test_plans import plan
+    spark.range(30).repartition(3).write.parquet(tmpdir_path + "/lm_full")
+    spark.range(0).write.parquet(tmpdir_path + "/lm_none")
+    spark.range(0).write.mode("append").parquet(tmpdir_path + "/lm_full")
+    found = ingest.landed_metadata(spark, {("CASEWORK", "FULL"): tmpdir_path + "/lm_full", ("CASEWORK", "NONE"): tmpdir_path + "/lm_none"})
+    p = plan(found)
+    assert p.count("PushedAggregation: [COUNT(*)]") == 2 and "ReadSchema: struct<id" not in p
+    rows = {r.table_name: r for r in found.collect()}
+    assert (rows["FULL"].row_count, rows["NONE"].row_count) == (30, 0)
+    by_scan = ingest.table_metadata({("CASEWORK", "FULL"): spark.read.parquet(tmpdir_path + "/lm_full")}).first()
+    assert rows["FULL"].last_altered == by_scan.last_altered and rows["NONE"].last_altered is not None
+    stale = ingest.table_staleness(found, "2999-01-01 00:00:00", ["CASEWORK"])
+    assert {r.TABLE_NAME: r.STATUS for r in stale.collect()} == {"FULL": "stale", "NONE": "stale"}
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
 def test_declared_sources_in_full(spark, tmpdir_path):
     from carepulse.sources.schemas import FURTHER_COLUMNS, OPEN_SOURCES, SOURCE_SCHEMAS, full_schema
     from carepulse.sources.tables import scan_declared
