@@ -135,6 +135,7 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, ca
     classes = made.groupBy("fp").agg(F.min("__id").alias("least"))
     groups = connected_components(links(made.select("fp").distinct(), bits)).withColumnRenamed("node", "fp")
     rooted = classes.join(groups, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # a table of its own: the join is of two shuffles and a giant component can be split, which it can't be on the aggregate's own shuffle
+    least = C.checkpoint_table(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     by_fp = rooted.join(least, "root").select("fp", "component_id", *["root"] * root)
     return made.join(by_fp, "fp").drop("__id").withColumn("fingerprint", F.lpad(F.lower(F.hex("fp")), 16, "0")).drop("fp")
