@@ -284,3 +284,14 @@ def test_empty_tables(spark, none):
     assert decontaminate.decontaminate(none, bench).count() == 0
     assert bpe.bpe_round_trip(none, BPE_FILE).count() == 0
     assert token_counts.token_counts(none, PIECES).count() == 0
+
+
+@pytest.mark.parametrize("sample", [1, 40, 5000])
+def test_examples_are_the_smallest_hashes_of_each_class(spark, sample):
+    from pyspark.sql import functions as F
+    rows = [(i, i % 3 % 2) for i in range(900)] + [(3, 1), (None, 1), (901, None), (902, 2), (4, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    hashes = {r.doc_id: r.h for r in labels.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    valid = {i: i % 3 % 2 for i in range(900) if i != 3}
+    want = [(i, g) for g in (0, 1) for i in sorted((i for i in valid if valid[i] == g), key=lambda i: (hashes[i], i))[:sample]]
+    assert sorted(map(tuple, quality_rules.examples(labels, sample).collect())) == sorted(want)
