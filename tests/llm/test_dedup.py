@@ -214,6 +214,70 @@ def test_exact_windows_match_brute_force(docs, messy):
     assert n > 500
 
 
+def brute_passage(x, y):
+    """Length of the best-scoring stretch of two equally long passages (1 for a word that agrees, -4 for one that doesn't)."""
+    best = (0, 0)
+    for i in range(len(x)):
+        score = 0
+        for j in range(i, len(x)):
+            score += 1 if x[j] == y[j] else -4
+            best = max(best, (score, j + 1 - i))
+    return best[1]
+
+
+def test_recall_of_edited_passages_against_brute_force(spark):
+    """10 and 15 % of the words replaced, evenly and at random; decoys hold the seeds in another order, but no passage."""
+    rnd, n = random.Random(5), iter(range(10**9))
+    w = lambda k: [f"w{next(n)}" for _ in range(k)]
+    rows, want, decoys = [], collections.defaultdict(list), []
+    for length, share, even, extra in [(80, 0.1, 0, 0), (80, 0.1, 1, 0), (80, 0.15, 0, 0), (80, 0.15, 1, 0), (120, 0.15, 0, 0), (120, 0.15, 1, 0), (200, 0.15, 0, 0), (200, 0.15, 1, 0), (80, 0.06, 0, 2), (80, 0.1, 0, 2)]:
+        for _ in range(40):
+            p, d, m = w(length), len(rows), round(length * share)
+            q = list(p)
+            for i in [int((i + 0.5) * length / m) for i in range(m)] if even else rnd.sample(range(length), m):
+                q[i] = next(iter(w(1)))
+            rows += [(d + i, " ".join(w(rnd.randint(5, 60)) + x + w(rnd.randint(5, 60)))) for i, x in enumerate((p, q))]
+            for _ in range(extra):
+                cut = [p[s:s + 12] for s in range(0, length - 11, 9)]
+                rnd.shuffle(cut)
+                decoys.append(len(rows))
+                rows.append((len(rows), " ".join(sum((c + w(25) for c in cut), []))))
+            if brute_passage(p, q) >= 50:
+                want[length, share, even, extra].append(d)
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    recall = {k: sum(got[d].n_passages > 0 and got[d].class_id == got[d + 1].class_id for d in v) / len(v) for k, v in want.items()}
+    assert min(recall.values()) >= 0.9 and len(recall) == 10, recall
+    assert not any(got[d].n_passages for d in decoys)
+
+
+def test_copies_of_a_text_are_one_class_and_counted(spark):
+    """Copies share the whole text; a text of too few words is none; rows that repeat id and text, and null ids, are told apart."""
+    rnd = random.Random(9)
+    w = lambda k: " ".join(f"{rnd.choice('abc')}{rnd.randint(0, 10**6)}" for _ in range(k))
+    long, short, own, unnamed = w(60), w(40), w(90), w(70)
+    rows = [(i, long) for i in range(3, 2003)] + [(5000, short), (5001, short), (6000, own), (6000, own), (None, unnamed), (7000, unnamed)]
+    got = collections.Counter((r.doc_id, r.n_words, r.n_shared_words, r.n_links, r.class_id) for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == collections.Counter([(i, 60, 60, 1, 3) for i in range(3, 2003)] + [(5000, 40, 0, 0, 5000), (5001, 40, 0, 0, 5001)] + [(6000, 90, 0, 0, 6000)] * 2 + [(None, 70, 70, 1, 7000), (7000, 70, 70, 1, 7000)])
+
+
+def test_alignments_made_together_match_one_by_one():
+    """Diagonals compared in one pass give what an alignment of its own gives each of them."""
+    rnd = np.random.default_rng(3)
+    pairs = []
+    for _ in range(150):
+        x = rnd.integers(0, 1 << 30, rnd.integers(60, 200)).astype("<u4")
+        y = np.where(rnd.random(len(x)) < rnd.choice([0, 0.05, 0.15, 0.5]), 7, x).astype("<u4")
+        i = int(rnd.integers(0, len(x) - 40))
+        y[i:i + 5], y[i + 20:i + 25] = x[i:i + 5], x[i + 20:i + 25]
+        pairs.append((x, np.concatenate([rnd.integers(0, 99, rnd.integers(0, 9)).astype("<u4"), y]), i))
+    size = lambda a: np.cumsum([0, *map(len, a)])
+    xs, ys, i = [p[0] for p in pairs], [p[1] for p in pairs], np.array([p[2] for p in pairs])
+    j = i + np.array([len(y) - len(x) for x, y, _ in pairs])
+    got = substring_dedup.straight(np.concatenate(xs), np.concatenate(ys), size(xs)[:-1], np.diff(size(xs)), size(ys)[:-1], np.diff(size(ys)), i, j, np.full(len(i), 20), 50)
+    want = [(r, *f) for r, (x, y, _) in enumerate(pairs) for f in substring_dedup.align(x, y, np.array([[i[r], j[r]], [i[r] + 20, j[r] + 20]]), 50)]
+    assert sorted(got) == sorted(want) and len(got) > 60
+
+
 def test_chains_match_quadratic_dynamic_programme():
     rnd = random.Random(4)
     for _ in range(200):
