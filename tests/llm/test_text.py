@@ -295,3 +295,30 @@ def test_examples_are_the_smallest_hashes_of_each_class(spark, sample):
     valid = {i: i % 3 % 2 for i in range(900) if i != 3}
     want = [(i, g) for g in (0, 1) for i in sorted((i for i in valid if valid[i] == g), key=lambda i: (hashes[i], i))[:sample]]
     assert sorted(map(tuple, quality_rules.examples(labels, sample).collect())) == sorted(want)
+
+
+def test_every_labelled_document_is_an_example(spark):
+    """Counts and cut are of all labelled documents, beyond 20,000 of a class too."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice("abcdefgh" if i % 11 else "efghijkl") + str(rnd.randint(0, 60)) for _ in range(50 + i % 3))) for i in range(22_600)]
+    labels = [(i, int(i % 11 > 0)) for i, _ in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    model, cut = quality_rules.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    count = lambda x: quality_rules.count_ngrams(x, quality_rules.ORDERS, quality_rules.BUCKETS)
+    assert (model == quality_rules.ratio(count(docs.where("doc_id % 11 > 0")), count(docs))).all()
+    raw = [t.encode() for _, t in rows]
+    off = np.cumsum([0, *map(len, raw)])
+    score = quality_rules.scores(np.frombuffer(b"".join(raw), np.uint8), off, model, quality_rules.ORDERS)
+    good, passed = np.array([g for _, g in labels]) == 1, ~quality_rules.base_stats(np.frombuffer(b"".join(raw), np.uint8), off)["base_failed"]
+    assert (good & passed).sum() > 20_000
+    assert cut == quality_rules.threshold(score[good & passed], score[~good & passed])
+
+
+@pytest.mark.parametrize("kind", range(6))
+def test_threshold_of_a_table_is_that_of_arrays(spark, kind):
+    rnd = np.random.default_rng(kind)
+    good, junk = [(rnd.normal(1, 1, 3000), rnd.normal(0, 1, 500)), (rnd.integers(2, 9, 400) / 4, rnd.integers(0, 6, 300) / 4), (rnd.normal(size=20), np.zeros(0)),
+                  (np.zeros(0), rnd.normal(size=20)), (np.ones(5), np.ones(3)), (np.array([1.0, 2.0]), np.array([-1.0, 0.0]))][kind]
+    rows = [(1, float(x)) for x in good] + [(0, float(x)) for x in junk]
+    seen = spark.createDataFrame(rows, "good int, score double").repartition(7)
+    assert quality_rules.find_threshold(seen) == quality_rules.threshold(good, junk)
