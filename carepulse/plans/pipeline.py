@@ -125,7 +125,7 @@ def build_models(spark: SparkSession, src: Sources, out_dir: str, parts: dict[st
     out, built, results = out_dir.rstrip("/"), {}, []
     parts = parts or staged_parts(src)
     union = functools.reduce(DataFrame.unionByName, [p.withColumn(_PART, F.lit(name)) for name, p in parts.items()])
-    mentions = _tested("stg_la_topic_mentions", layout.by_month(union), f"{out}/stg_la_topic_mentions", results, [windows.MONTH_COL])
+    mentions = _tested("stg_la_topic_mentions", layout.by_month(layout.made_once(union, "staged")), f"{out}/stg_la_topic_mentions", results, [windows.MONTH_COL])
     built["stg_la_topic_mentions"] = mentions
     monthly = _tested("helplines_advicepro_accessava", staging.monthly_theme_counts(mentions), f"{out}/helplines_advicepro_accessava", results)
     built["helplines_advicepro_accessava"] = monthly

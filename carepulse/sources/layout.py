@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carepulse.operators.windows import MONTH_COL
+from carepulse.session import ensure_checkpoint_dir
+
+
+def made_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the checkpoint folder: ranges are found by a pass over all rows before they are dealt out, and each
+    of the two passes would run what ``df`` is made of, its joins included."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def by_month(mentions: DataFrame, area: str = "LA_NAME", date_col: str = "QUERY_DATE") -> DataFrame:

@@ -104,3 +104,25 @@ def test_filters_reach_the_scan(spark, small_sf):
     assert "EqualTo(o_orderstatus,F)" in p
     scan = [line for line in p.splitlines() if line.startswith("ReadSchema") and "o_orderkey" in line][0]
     assert "o_totalprice" not in scan     # column pruning
+
+
+def _counted(spark, df):
+    """``df`` and the number of rows that were made for it so far."""
+    made = spark.sparkContext.accumulator(0)
+    return spark.createDataFrame(df.rdd.map(lambda r: (made.add(1), tuple(r))[1]), df.schema), made
+
+
+def test_staged_mentions_are_made_once(spark, small_sf, tmpdir_path, monkeypatch):
+    """Finding the ranges of the layout does not run what the mentions are made of again, nor do two readers of the bridge."""
+    from carepulse.plans import pipeline, registry
+    fx = Fixtures(spark, small_sf)
+    staged = {n: _counted(spark, p) for n, p in pipeline.staged_parts(pipeline.Sources.from_fixtures(fx)).items()}
+    pipeline.build_models(spark, pipeline.Sources.from_fixtures(fx), tmpdir_path, {n: p for n, (p, _) in staged.items()})
+    for name, (p, made) in staged.items():
+        n = made.value
+        assert n == p.count() > 0, name
+    fx.case_topic_bridge, made = _counted(spark, fx.case_topic_bridge)
+    monkeypatch.setattr(Fixtures, "of", classmethod(lambda cls, *a: fx))
+    rows = registry.REGISTRY["declared_tests"](spark, small_sf).collect()
+    n = made.value
+    assert rows and n == fx.case_topic_bridge.count() > 0
