@@ -250,6 +250,28 @@ def test_recall_of_edited_passages_against_brute_force(spark):
     assert not any(got[d].n_passages for d in decoys)
 
 
+@pytest.mark.parametrize("others", [6, 90])
+def test_edited_passages_are_found_whatever_the_hubs_of_seeds_and_pairs_hold(spark, others):
+    """Others have all of the passage in pieces of 40 words, so their hash decides who is the hub of its seeds and pairs of seeds; none has
+    the passage.  With 90 others no place of the passage has few."""
+    rnd, n = random.Random(7), iter(range(10**9))
+    w = lambda k: [f"w{next(n)}" for _ in range(k)]
+    rows, want, pieces = [], [], []
+    for _ in range(40 if others < 10 else 4):
+        p = w(120)
+        q = [f"e{next(n)}" if i % 14 == 9 else x for i, x in enumerate(p)]
+        want.append(len(rows))
+        rows += [(len(rows) + i, " ".join(w(rnd.randint(5, 60)) + x + w(rnd.randint(5, 60)))) for i, x in enumerate((p, q))]
+        for _ in range(others):
+            cut = [x[s:s + 40] for x in (p, q) for s in range(rnd.randint(0, 3), 90, 39)]
+            rnd.shuffle(cut)
+            pieces.append(len(rows))
+            rows.append((len(rows), " ".join(sum((c + w(30) for c in cut), []))))
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[d].class_id == got[d + 1].class_id == d and min(got[d + i].n_shared_words for i in (0, 1)) >= 50 for d in want)
+    assert not any(got[d].n_passages for d in pieces)
+
+
 def test_copies_of_a_text_are_one_class_and_counted(spark):
     """Copies share the whole text; a text of too few words is none; rows that repeat id and text, and null ids, are told apart."""
     rnd = random.Random(9)
