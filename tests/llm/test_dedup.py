@@ -317,6 +317,46 @@ def test_chains_match_quadratic_dynamic_programme():
         assert max(map(score, chain)) == pytest.approx(max(best))
 
 
+def test_places_meet_by_three_words_as_in_brute_force(spark):
+    """Each place of a pair of seeds once for each three words, however often they stand around it; sliced, whole and as rows the same."""
+    rnd = random.Random(5)
+    texts = {d: [w for _ in range(12) for w in ([rnd.choice("abcdefghi")] * 25 if rnd.random() < 0.3 else rnd.choices("abcdefghi", k=rnd.randint(5, 30)))] for d in range(14)}
+    places = sorted({(k, d, p, p + 7, rnd.randint(1, 2) * 100, rnd.random() < 0.3) for k in (1, 2, 3) for d in texts for p in rnd.sample(range(len(texts[d]) - 12), 4)})
+    n = collections.Counter(p[0] for p in places)
+    many, want = 12, set()
+    for key in n:
+        parts = collections.defaultdict(set)
+        for x in places:
+            text = texts[x[1]]
+            for t in substring_dedup.STEPS.tolist():
+                if x[0] == key and 0 <= x[2] + t <= len(text) - 3:
+                    parts[(t > 0, *text[x[2] + t:x[2] + t + 3])].add(x)
+        for part in map(sorted, parts.values()):
+            for i, x in enumerate(part):
+                for y in part[i + 1:] if len(part) <= many else part[:1]:
+                    a, b = sorted((x, y))
+                    if a[1] != b[1] and (len(part) > many or a[4] != b[4] or a[5] or b[5]):
+                        want |= {(b[1], a[1], b[2], a[2]), (b[1], a[1], b[3], a[3])}
+    packed = substring_dedup.packed_texts(spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "rid long, text string"))
+    leads = spark.createDataFrame([(*p, True, n[p[0]]) for p in places], "key long, rid long, pos long, next long, root long, open boolean, lead boolean, n long")
+    for got in (substring_dedup.met_in_zones(packed, leads, many), substring_dedup.met_in_zones(packed, leads, many, 10), substring_dedup.met_by_threes(packed, leads, many)):
+        assert {tuple(r) for r in got.collect()} == want
+    assert len(want) > 300
+
+
+def test_chains_of_many_pairs_match_those_of_each(spark):
+    rnd = random.Random(6)
+    rows = {(a, b, p, p + rnd.choice([-40, 0, 0, 0, 0, 7])) for a in range(40) for b in range(a) if rnd.random() < 0.2 for p in rnd.sample(range(50, 400), rnd.randint(1, 6))}
+    got = substring_dedup.chains(spark.createDataFrame(sorted(rows), "rid long, hub long, pos long, hpos long"), 5, 0.05, 48).collect()
+    want = set()
+    for pair in {r[:2] for r in rows}:
+        pos, hpos = np.array(sorted(r[2:] for r in rows if r[:2] == pair)).T
+        for c in substring_dedup.best_chains(pos, hpos, 5, 0.05):
+            p, h = pos[c], hpos[c]
+            want.add((*pair, *(max(0, int(x - 48) // 32 * 32) if i % 2 == 0 else -(-int(x + 53) // 32) * 32 for x, i in ((p[0], 0), (p[-1], 1), (h[0], 0), (h[-1], 1))), np.stack([p, h], 1).astype("<i8").tobytes()))
+    assert sorted((*r[:6], bytes(r[6])) for r in got) == sorted(want) and len(want) > len({r[:2] for r in rows})
+
+
 def test_empty_tables(none):
     assert suffix_dedup.suffix_dedup(none).count() == 0
     assert line_dedup.line_dedup(none).count() == 0
