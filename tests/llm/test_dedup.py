@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -357,6 +358,73 @@ def test_chains_of_many_pairs_match_those_of_each(spark):
     assert sorted((*r[:6], bytes(r[6])) for r in got) == sorted(want) and len(want) > len({r[:2] for r in rows})
 
 
+@pytest.mark.parametrize(("held", "hot"), [(1 << 20, 1 << 10), (40, 5)])
+def test_places_of_keys_cross_the_shuffle_packed(spark, monkeypatch, held, hot):
+    """Keys of one text end where they meet; a key with many places meets its hub in a join.  Rows that cross are packs, not places."""
+    rnd = random.Random(11)
+    rows = sorted({(rnd.choice([1, 2, 2, 2, 3] + [rnd.randint(10, 400)] * 4), rnd.randint(-50, 50), rnd.randint(0, 10**6), i) for i in range(1500)} | {(5, 7, p, 0) for p in range(60)})
+    first = {}
+    for k, r, p, _ in rows:
+        first.setdefault(k, []).append((r, p))
+    want = collections.Counter((k, r, p, n, *min(first[k])) for k, r, p, n in rows if len({r for r, _ in first[k]}) > 1)
+
+    def find(batches):
+        for b in batches:
+            k, r, p, n = (b.column(i).to_numpy() for i in range(4))
+            yield k.view(np.uint64), r, np.stack([p, n], 1)
+
+    met, crossed = substring_dedup.map_batches, []
+    monkeypatch.setattr(substring_dedup, "map_batches", lambda df, f, schema: crossed.append(met(df, f, schema)) or crossed[-1])
+    df = spark.createDataFrame(rows, "key long, rid long, pos long, next long").repartition(3)
+    got = substring_dedup.meeting(df, find, ["pos", "next"], "met", held, hot)
+    assert collections.Counter(map(tuple, got.collect())) == want and len(want) > 500
+    assert (crossed[0].where("kind = 2").isEmpty()) == (hot > 1000)
+    packs = spark.conf.get("spark.sql.shuffle.partitions")
+    assert hot < 1000 or crossed[0].count() <= 3 * substring_dedup.BUCKETS * int(packs)
+
+
+def test_merged_spans_match_brute_force(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.randint(0, 20), rnd.randint(-9, -1), a, a + rnd.randint(1, 40), h, h + rnd.randint(1, 9)) for a, h in [(rnd.randint(0, 900), rnd.randint(0, 60)) for _ in range(400)]]
+    inside = collections.defaultdict(set)
+    for r, hub, a, b, ha, hb in rows:  # places in halves, so that spans that touch are one and those a word apart are two
+        inside[r] |= set(range(2 * a, 2 * b + 1))
+        inside[hub] |= set(range(2 * ha, 2 * hb + 1))
+    inside[3] |= set(range(0, 2 * 55 + 1))
+    want = {r: [(p // 2, next(q for q in range(p, 10**4) if q + 1 not in x) // 2) for p in sorted(x) if p - 1 not in x] for r, x in inside.items()}
+    found = spark.createDataFrame(rows, "rid long, hub long, a long, b long, ha long, hb long").repartition(4)
+    got = substring_dedup.merged_spans(found, spark.createDataFrame([(3, 0, 55)], "rid long, a long, b long")).collect()
+    assert {r.rid: [tuple(p) for p in r.passages] for r in got} == want and len(got) == len(want)
+
+
+def test_alignments_over_several_diagonals_match_one_by_one():
+    """How far alignments reach is found for many in one pass; those that are too short for a passage aren't aligned."""
+    rnd = np.random.default_rng(5)
+    pairs = []
+    for _ in range(120):
+        x = rnd.integers(0, 1 << 30, rnd.integers(60, 160)).astype("<u4")
+        n, cut = len(x), int(rnd.integers(20, 30))
+        y = np.concatenate([x[:cut], rnd.integers(0, 99, rnd.integers(1, 6)).astype("<u4"), x[cut:]])
+        y = np.where(rnd.random(len(y)) < rnd.choice([0, 0.05, 0.3]), 7, y).astype("<u4")
+        skip = len(y) - n
+        y[10:15], y[cut + skip + 5:cut + skip + 10] = x[10:15], x[cut + 5:cut + 10]
+        pairs.append((x, y, np.array([[10, 10], [cut + 5, cut + 5 + skip]])))
+    pack = lambda v, t: pa.array([np.asarray(x).astype(t).tobytes() for x in v], pa.binary())
+    zero = pa.array(np.zeros(len(pairs), np.int64))
+    batch = pa.RecordBatch.from_arrays([zero, zero, zero, zero, pack([p[2] for p in pairs], "<i8"), pack([p[0] for p in pairs], "<u4"), pack([p[1] for p in pairs], "<u4")], names=list("abcdefg"))
+    want = [(r, *f) for r, (x, y, m) in enumerate(pairs) for f in substring_dedup.align(x, y, m, 50)]
+    assert substring_dedup.align_batch(batch, 50) == want and 40 < len(want) < 119
+    for r, a, b, ha, hb, m in want:
+        x, y, _ = pairs[r]
+        assert 50 <= min(b - a, hb - ha) and m <= min(b - a, hb - ha) and x[a] == y[ha] and x[b - 1] == y[hb - 1]
+
+
+def test_chains_have_each_match_once(spark):
+    rows = [(2, 1, 100 + 9 * i, 200 + 9 * i) for i in range(6)] + [(3, 1, 50, 60), (3, 1, 50, 10), (3, 1, 90, 100)]
+    one, two = (substring_dedup.chains(spark.createDataFrame(x, "rid long, hub long, pos long, hpos long"), 5, 0.05, 48).collect() for x in (rows, rows * 3))
+    assert sorted(one) == sorted(two) and len(one) == 3
+
+
 def test_empty_tables(none):
     assert suffix_dedup.suffix_dedup(none).count() == 0
     assert line_dedup.line_dedup(none).count() == 0
